@@ -1,12 +1,14 @@
 """The queries of this subpackage and, where SQL can express one, its DuckDB SQL."""
 
-from . import byte_bpe, mixing, simhash, token_counts
+from . import byte_bpe, mixing, quality, secrets, simhash, token_counts
 
 QUERIES = {
+    "op1_quality_rules": quality.op1_quality_rules,
+    "op5_secrets": secrets.op5_secrets,
     "op2_token_counts": token_counts.op2_token_counts,
     "op4_simhash": simhash.op4_simhash,
     "op6_mixing": mixing.op6_mixing,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
 }
 
-ORACLES = {"op6_mixing": mixing.OP6_SQL}
+ORACLES = {"op1_quality_rules": quality.OP1_SQL, "op6_mixing": mixing.OP6_SQL}
