@@ -1,8 +1,9 @@
 """The queries of this subpackage and, where SQL can express one, its DuckDB SQL."""
 
-from . import byte_bpe, fingerprints, mixing, quality, secrets, simhash, token_counts
+from . import byte_bpe, fingerprints, mixing, quality, secrets, simhash, token_counts, toxicity
 
 QUERIES = {
+    "op3_toxicity": toxicity.op3_toxicity,
     "op10_fingerprints": fingerprints.op10_fingerprints,
     "op1_quality_rules": quality.op1_quality_rules,
     "op5_secrets": secrets.op5_secrets,
