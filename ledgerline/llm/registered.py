@@ -1,8 +1,9 @@
 """The queries of this subpackage and, where SQL can express one, its DuckDB SQL."""
 
-from . import byte_bpe, fingerprints, html_text, mixing, quality, secrets, simhash, token_counts, toxicity
+from . import byte_bpe, fingerprints, html_text, language, mixing, quality, secrets, simhash, token_counts, toxicity
 
 QUERIES = {
+    "op9_language": language.op9_language,
     "op8_html_text": html_text.op8_html_text,
     "op3_toxicity": toxicity.op3_toxicity,
     "op10_fingerprints": fingerprints.op10_fingerprints,
