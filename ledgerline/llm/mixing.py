@@ -73,22 +73,22 @@ def _beside(rows: DataFrame, sources: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(named) if few else named, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, most: int = MOST_COPIES, with_text: bool = False) -> DataFrame:
-    """Per row of ``docs``: doc_id, size, source_size, target, taken; with ``with_text`` also text.
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, most: int = MOST_COPIES, with_row: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, size, source_size, target, taken; with ``with_row`` also row, all its columns.
 
     A null text has size 0; null is a source of its own, the last. Sources without words have target 0. Repeated rows
     are documents of their own; ties of the draw go by doc_id. An empty table gives no rows.
     """
-    base = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), docs[text_col].alias("text"))
-    base = base.select("doc_id", "source", n_words(F.col("text")).alias("size"), draw(F.col("doc_id")).alias("u"), *["text"] * with_text)
-    sized = common.materialised(base.drop("text"))  # narrow: the texts are not read again for the sums
+    base = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), docs[text_col].alias("text"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    base = base.select("doc_id", "source", n_words(F.col("text")).alias("size"), draw(F.col("doc_id")).alias("u"), *["row"] * with_row)
+    sized = common.materialised(base.drop("row"))  # narrow: the texts are not read again for the sums
     sources = common.materialised(plan(sized, weights, most))
     place = F.least(F.floor(F.col("u") * F.col("ranges")), F.col("ranges") - 1).alias("place")
     sums = _beside(sized, sources).where("rest > 0").groupBy("source", place).agg(F.sum("size").alias("size"), F.first("rest").alias("rest"))
     sums = sums.withColumn("upto", F.sum("size").over(Window.partitionBy("source").orderBy("place")))
     border = sums.where("upto >= rest and upto - size < rest").groupBy("source").agg(F.min(F.struct("place", (F.col("upto") - F.col("size")).alias("before"))).alias("border"))
     ends = _beside(sources, common.materialised(border.select("source", "border.place", "border.before").withColumnRenamed("place", "last")))
-    rows = _beside(base if with_text else sized, common.materialised(ends)).withColumn("place", place)
+    rows = _beside(base if with_row else sized, common.materialised(ends)).withColumn("place", place)
     rank = F.col("u") / (1 - F.col("u")) / F.col("odds")
     inside = F.when(F.col("place") < F.col("last"), F.col("size")).otherwise(0)
     on = (F.col("rest") > 0) & (F.col("place") == F.col("last"))
@@ -96,7 +96,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     part = F.least(F.greatest(F.col("rest") - F.col("before") - F.coalesce(so_far, F.lit(0)), F.lit(0)), F.col("size"))
     on = F.coalesce(on, F.lit(False))
     rows = rows.where(~on).withColumn("part", F.when(F.col("rest") > 0, inside).otherwise(0)).unionByName(rows.where(on).withColumn("part", part))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size") + F.col("part")).cast("long").alias("taken"), *["text"] * with_text)
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size") + F.col("part")).cast("long").alias("taken"), *["row"] * with_row)
+
+
+def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+    """The mix itself: the rows of ``docs``, all columns, as often as taken. The document on a source's border, one a source,
+    adds a copy that ends after the words it gives; documents of which nothing is taken are left out."""
+    taken = mix(docs, id_col, text_col, source_col, weights, most, with_row=True).where("taken > 0")
+    text = F.col("row")[text_col]
+    whole = F.floor(F.col("taken") / F.col("size")).cast("int")
+    words = (F.col("taken") - whole * F.col("size")).cast("int")
+    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit("[\\x20\\x09-\\x0D]*" + common.WORD), F.lit(0)), 1, words), "")
+    texts = F.concat(F.array_repeat(text, whole), F.when(words > 0, F.array(cut)).otherwise(F.array().cast("array<string>")))
+    copies = taken.select("row", F.explode(texts).alias("copy"))
+    return copies.select(*(F.col("copy").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
