@@ -58,7 +58,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def links(fps: DataFrame) -> DataFrame:
     """Links (a, b) between distinct values of ``fp`` that differ in one or two bits, enough to connect all that are."""
     masks = F.array(*(F.lit(0 if k < 0 else (1 << k) - (1 << 64 if k == 63 else 0)).cast("long") for k in range(-1, 64)))
-    emitted = fps.select("fp", F.explode(masks).alias("mask")).select(F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), "mask")
+    # Dealt out before and after they grow 65-fold: nearly all variants are single, so summing them up before the shuffle
+    # would only fill memory, and few rows before must not mean few tasks.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    emitted = fps.repartition(parts, "fp").select("fp", F.explode(masks).alias("mask")).select(F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), "mask")
+    emitted = emitted.repartition(parts, "variant")
     met = emitted.groupBy("variant").agg(F.bit_or("mask").alias("flips"), F.max(F.col("mask") == 0).alias("own"))
     met = met.where(F.bit_count("flips") + F.col("own").cast("int") > 1)
     members = F.filter(masks, lambda m: F.when(m == 0, F.col("own")).otherwise(F.col("flips").bitwiseAND(m) != 0))
