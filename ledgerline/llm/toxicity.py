@@ -165,7 +165,7 @@ class Restorer:
         for start, end, spaced in self.spans(text):
             span = text[start:end]
             if span not in self.known:
-                if len(self.known) > 100_000:
+                if len(self.known) > 30_000:
                     self.known.clear()
                 self.known[span] = self.decode(span, spaced)
             out += [text[at:start], self.known[span]]
@@ -199,7 +199,7 @@ class Model:
         for word in set(_word.findall(self.restorer.restore(text))):
             own = known.get(word)
             if own is None:
-                if len(known) > 300_000:
+                if len(known) > 100_000:
                     known.clear()
                 own = known[word] = tuple(f for f in _features(word) if f in weights)
             found.update(own)
@@ -210,6 +210,11 @@ class Model:
         return float(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
 
 
+def _counts(seen: Counter, toxic: Counter) -> pa.RecordBatch:
+    names = list(seen)
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([seen[x] for x in names], pa.int64()), pa.array([toxic[x] for x in names], pa.int64())], names=["feature", "n", "toxic"])
+
+
 def _select(sample: DataFrame, restorer: Restorer, n: int) -> list[str]:
     """The features that set the labels apart most, by z-score of their documents' labels."""
 
@@ -221,8 +226,10 @@ def _select(sample: DataFrame, restorer: Restorer, n: int) -> list[str]:
                 seen.update(own)
                 if label:
                     toxic.update(own)
-        names = list(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([seen[x] for x in names], pa.int64()), pa.array([toxic[x] for x in names], pa.int64())], names=["feature", "n", "toxic"])
+                if len(seen) > 100_000:
+                    yield _counts(seen, toxic)
+                    seen, toxic = Counter(), Counter()
+        yield _counts(seen, toxic)
 
     rate = sample.agg(F.avg("label")).first()[0]
     if not rate or rate == 1:
