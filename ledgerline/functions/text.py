@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ILLEGAL = '[\\\\/:*?"<>|]'
 CONTROL = "[\\x00-\\x1F]"
@@ -81,7 +82,7 @@ def sanitize_name(c: Column, fallback: Column | None = None) -> Column:
     return name if fallback is None else F.coalesce(F.nullif(name, F.lit("")), fallback)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def slug(names: pd.Series) -> pd.Series:
     """Letters and digits of ASCII in lower case, what lies between as one hyphen; accents go. Spark has no Unicode decomposition."""
 
