@@ -186,7 +186,7 @@ def per_group_export(t: Tables) -> DataFrame:
     return rows.join(projects, "item").select("project", "order_key")
 
 
-@query("select path, 'FILE-' || printf('%04d', 498 + row_number() over (order by ord)) as file_id from (select c_name as path, min(c_custkey) as ord from customer where c_custkey % 3 > 0 group by c_name)")
+@query("select path, 'FILE-' || printf('%04d', (select max(c_custkey % 501) from customer where c_custkey % 3 = 0) + row_number() over (order by ord)) as file_id from (select c_name as path, min(c_custkey) as ord from customer where c_custkey % 3 > 0 group by c_name)")
 def append_if_absent_numbered(t: Tables) -> DataFrame:
     log = t.customer.where("c_custkey % 3 = 0").select(C("c_name").alias("path"), F.concat(L("FILE-"), F.format_string("%04d", C("c_custkey") % 501)).alias("file_id"))
     new = t.customer.select(C("c_name").alias("path"), C("c_custkey").alias("ord"))
