@@ -27,18 +27,20 @@ FOLDS = 5
 SAMPLE_ROWS = 20_000
 FEATURES = 512
 LEAST_DOCS = 5
-STEPS, DECAY = 800, 1e-5
+STEPS, DECAY, RATE = 1500, 3e-5, 1.0
 BEGINNINGS = (3, 4, 5, 6)
 
 #: What a sign may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "*": "aeiou"}
 SIGNS = "".join(LOOKALIKES)
 SEPARATORS = " .-_*"
+TAILS = "!.,;:?"
 COSTS = {"stands for": 1.0, "stays": 9.0, "repeated": 0.7, "kept apart": 4.0, "dropped": 0.3}
 #: Language-model symbols: 0 between words, 1 to 26 letters without their accents, 27 other letters.
 SYMBOLS = 28
 
 _sign = re.compile(f"[{re.escape(SIGNS)}]+")
+_closing = re.compile(r"!+|(.)\1\1+")  # after a word, these are punctuation or noise
 _repeat = re.compile(r"([^\W\d_])\1\1")
 _spaced = re.compile(rf"(?<![^\W_])[^\W_](?:[{re.escape(SEPARATORS)}][^\W_]){{3,}}(?![^\W_])")
 _word = re.compile(r"[^\W\d_]+")
@@ -137,7 +139,7 @@ class Restorer:
         hits = []
         for m in _sign.finditer(text):
             i, j = m.span()
-            if (i and text[i - 1].isalpha()) or (j < len(text) and text[j].isalpha()):
+            if j < len(text) and text[j].isalpha() or i and text[i - 1].isalpha() and not _closing.fullmatch(m[0]):
                 hits.append(i)
         hits += [m.start() for m in _repeat.finditer(text)]
         found = [(*m.span(), True) for m in _spaced.finditer(text)]
@@ -148,7 +150,7 @@ class Restorer:
                 while start and not text[start - 1].isspace():
                     start -= 1
                 end = _token_end.search(text, at).start()
-                found.append((start, end, False))
+                found.append((start, max(at + 1, self._without_tail(text, start, end)), False))
         found.sort()
         apart: list[tuple[int, int, bool]] = []
         for span in found:
@@ -158,6 +160,16 @@ class Restorer:
                 apart.append(span)
         return apart
 
+    @staticmethod
+    def _without_tail(text: str, start: int, end: int) -> int:
+        """The end of ``text[start:end]`` without punctuation, and without a run of three of one sign or more."""
+        while end > start and text[end - 1] in TAILS:
+            end -= 1
+        same = end
+        while same > start and text[same - 1] == text[end - 1] and not text[same - 1].isalnum():
+            same -= 1
+        return same if end - same > 2 else end
+
     def restore(self, text: str) -> str:
         """``text`` in lower case with its disguised spans restored."""
         text = text.lower()
@@ -268,7 +280,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, feat
     decay[-1] = 0
     for _ in range(STEPS):
         p = 1 / (1 + np.exp(-(x @ w)))
-        speed = 0.9 * speed - 0.3 * (x.T @ (p - y) / len(y) + decay * w)
+        speed = 0.9 * speed - RATE * (x.T @ (p - y) / len(y) + decay * w)
         w += speed
     return Model(restorer, {f: round(float(v), 4) for f, v in zip(names, w)}, round(float(w[-1]), 4))
 

@@ -42,6 +42,9 @@ def test_disguises_are_restored(spark):
     restorer = toxicity.Restorer(toxicity.trigram_counts(docs))
     for given, clear in {"1d10t": "idiot", "m0r0n": "moron", "stuuuupid": "stupid", "l o s e r": "loser", "p.a.t.h.e.t.i.c": "pathetic", "tr@sh": "trash", "cl0wn": "clown", "the moron": "the moron"}.items():
         assert restorer.restore(given) == clear
+    for given in ("scum!!", "scum$$$ of", "moron, the"):  # punctuation and noise after a word are no disguise
+        assert restorer.restore(given) == given
+    assert restorer.restore("m0r0n!!") == "moron!!"
     for plain in ("", "in 2024 of 3 | 4", "a b", "the idiot, and", "x@y"):
         assert len(restorer.restore(plain)) <= len(plain)
 
