@@ -52,7 +52,7 @@ def _names_outside(tag: str, attrs: list) -> bool:
                 return True
         elif key == "role" and value and not ROLES.isdisjoint(value.lower().split()):
             return True
-        elif key == "hidden" or (key == "aria-hidden" and value == "true"):
+        elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and value and "display:none" in value.replace(" ", "").lower()):
             return True
     return False
 

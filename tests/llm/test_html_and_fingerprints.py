@@ -13,6 +13,7 @@ PAGES = {
     "<body><header>head</header><article><p><b>Bold <i>text</b> on.<br><p>Next&nbsp;one &amp; more.</article><footer>f</footer>": "Bold text on.\nNext one & more.",
     '<div id="top-menu"><a>Home</a></div><div class="content"><h1>Title here</h1><p>Long paragraph of the real text goes here, with many words.<p>Short.<p>Another long paragraph with quite a number of words in it.</div>'
     '<div class="comments"><p>A reader comment that is very long and should not be taken into the text at all.</p></div><div class=cookie-notice>We use cookies</div>': "Title here\nLong paragraph of the real text goes here, with many words.\nShort.\nAnother long paragraph with quite a number of words in it.",
+    '<article><p style="display: none">no</p><p hidden>no</p><p>yes</article>': "yes",
     "<article><header><h1>Own heading</h1></header><p>Text</article>": "Own heading\nText",
 }
 
