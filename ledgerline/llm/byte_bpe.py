@@ -15,7 +15,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -28,10 +27,11 @@ def load_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line.strip())}
 
 
-def merge(ranks: dict[bytes, int], piece: bytes) -> list[int]:
-    """Plain merging, lowest rank first and leftmost among equals; used on one or two tokens' bytes only."""
+def merge(ranks: dict[bytes, int], piece: bytes, least: int = 1, made: list | None = None) -> list[int]:
+    """Plain merging, lowest rank first and leftmost among equals, until ``least`` parts are left; used on the bytes of one
+    or two tokens only. ``made`` gets the ranks as they come."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
+    while len(parts) > least:
         at, best = -1, None
         for i in range(len(parts) - 1):
             rank = ranks.get(parts[i] + parts[i + 1])
@@ -40,6 +40,8 @@ def merge(ranks: dict[bytes, int], piece: bytes) -> list[int]:
         if best is None:
             break
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        if made is not None:
+            made.append(best)
     return [ranks[p] for p in parts]
 
 
@@ -75,7 +77,8 @@ class Transducer:
             self.below[node] = sum(self.below[x] + (self.ends[x] >= 0) for x in self.children[node].values())
         self.reduced: dict[int, int] = {}
         self.sound: dict[int, bool] = {}
-        self.agrees: dict[int, bool] = {}
+        self.ordered: set[int] = set()  # sound tokens whose merges come in the order of their ranks
+        self.halves: dict[int, list[int]] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -87,17 +90,39 @@ class Transducer:
     def _is_sound(self, token: int) -> bool:
         known = self.sound.get(token)
         if known is None:
-            known = self.sound[token] = merge(self.ranks, self.bytes_of[token]) == [token]
+            made: list[int] = []
+            known = self.sound[token] = merge(self.ranks, self.bytes_of[token], made=made) == [token]
+            if known and made == sorted(made):
+                self.ordered.add(token)
         return known
 
-    def _agree(self, left: int, right: int) -> bool:
-        key = left << self.BITS | right
-        known = self.agrees.get(key)
+    def _half(self, token: int, which: int) -> int:
+        known = self.halves.get(token)
         if known is None:
-            if len(self.agrees) > 500_000:
-                self.agrees.clear()
-            known = self.agrees[key] = merge(self.ranks, self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-        return known
+            known = self.halves[token] = merge(self.ranks, self.bytes_of[token], 2)
+        return known[which]
+
+    def _agree(self, left: int, right: int) -> bool:
+        """Whether the bytes of two sound tokens encode to just these two.
+
+        Where merges come in the order of their ranks, they are undone from the last: the halves that then meet at the
+        border must not have a merge of their own that would have come before the one undone. Of equal ranks the left one
+        comes first. Single bytes come from no merge.
+        """
+        ranks, bytes_of, limit = self.ranks, self.bytes_of, 1 << 62
+        if left not in self.ordered or right not in self.ordered:
+            return merge(ranks, bytes_of[left] + bytes_of[right]) == [left, right]
+        while True:
+            a, b = bytes_of[left], bytes_of[right]
+            joined = ranks.get(a + b)
+            if joined is not None and joined < limit:
+                return False
+            if len(a) > 1 and (left > right or len(b) == 1):
+                limit, left = left, self._half(left, 1)
+            elif len(b) > 1:
+                limit, right = right + 1, self._half(right, 0)
+            else:
+                return True
 
     def _determinise(self, state: int, byte: int) -> tuple[int, int]:
         """The state after ``byte``, and the token that ends there or -1."""
@@ -115,7 +140,7 @@ class Transducer:
                     if run:
                         moved.append(run)
                 token = ends[node]
-                if token >= 0 and ending < 0 and (not last or self._agree(last - 1, token)) and self._is_sound(token):
+                if token >= 0 and ending < 0 and self._is_sound(token) and (not last or self._agree(last - 1, token)):
                     ending = token
                     moved.append(token + 1 << self.BITS)
         if not moved:
@@ -160,13 +185,14 @@ class Transducer:
         if len(self.runs) > self.max_states:
             self._reset()
         state, done, endings, table = 0, [], [], self.next
-        for byte in piece:
-            state, token = table[state].get(byte) or self._determinise(state, byte)
-            endings.append(token)
-            if len(endings) >= self.commit:
+        for start in range(0, len(piece), self.commit):
+            if start:
                 keep = self._passed(state, endings)
                 done += self._back(endings, keep)
                 del endings[:keep]
+            for byte in piece[start : start + self.commit]:
+                state, token = table[state].get(byte) or self._determinise(state, byte)
+                endings.append(token)
         if endings and endings[-1] < 0:
             raise ValueError("bytes that no token sequence covers")
         return done + self._back(endings, len(endings))
@@ -219,22 +245,23 @@ class Codec:
         self.bytes_of = self.transducer.bytes_of
         self.split = regex.compile(pattern).findall
         self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}  # the full cache before this one, so that frequent pieces stay known
         self.max_pieces = max_pieces
 
-    def pieces(self, text: str) -> Iterator[list[int]]:
-        known = self.known
+    def encode(self, text: str) -> list[int]:
+        known, older, out = self.known, self.older, []
         for piece in self.split(text):
             ids = known.get(piece)
             if ids is None:
-                ids = self.transducer.encode(piece.encode())
+                ids = older.get(piece)
+                if ids is None:
+                    ids = self.transducer.encode(piece.encode())
                 if len(piece) <= 64:
-                    if len(known) >= self.max_pieces:
-                        known.clear()
+                    if 2 * len(known) >= self.max_pieces:
+                        self.older, self.known = older, known = known, {}
                     known[piece] = ids
-            yield ids
-
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.pieces(text)))
+            out += ids
+        return out
 
     def decode_bytes(self, ids: list[int], block: int = 8192) -> Iterator[bytes]:
         for i in range(0, len(ids), block):
