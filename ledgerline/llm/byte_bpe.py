@@ -296,11 +296,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def batches(parts: Iterable[pa.RecordBatch]):
         codec = _codec(ranks.value, pattern)
-        for part in parts:
-            for i in range(0, part.num_rows, 256):  # the ids of a whole batch as lists would take much memory
-                some = part.slice(i, 256)
-                ids = pa.array([codec.encode(x or "") for x in some.column(1).to_pylist()], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids.value_lengths(), pa.int64()), ids], names=["doc_id", "n_tokens", "ids"])
+        for part in common.sliced(parts):
+            ids = pa.array([codec.encode(x or "") for x in part.column(1).to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids.value_lengths(), pa.int64()), ids], names=["doc_id", "n_tokens", "ids"])
 
     return view.mapInArrow(batches, common.with_id(view, "n_tokens long, ids array<int>"))
 
@@ -312,7 +310,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str = "", id_col: str =
 
     def batches(parts):
         codec = _codec(ranks.value, pattern)
-        for part in parts:
+        for part in common.sliced(parts):
             texts = pa.array(["".join(codec.decode(ids or [])) for ids in part.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([part.column(0), texts], names=["doc_id", "text"])
 
@@ -329,7 +327,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "do
 
     def batches(parts):
         codec = _codec(ranks.value, pattern)
-        for part in parts:
+        for part in common.sliced(parts):
             rows: tuple[list, list, list, list] = ([], [], [], [])
             for text in part.column(1).to_pylist():
                 ids = codec.encode(text or "")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,13 @@ def with_id(docs: DataFrame, fields: str) -> T.StructType:
     return T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *rest.fields])
 
 
+def sliced(parts: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The rows of ``parts`` in smaller batches: what Python holds of texts at a time stays small, however long they are."""
+    for part in parts:
+        for start in range(0, part.num_rows, rows):
+            yield part.slice(start, rows)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -48,7 +48,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     view = common.docs_view(docs, id_col, text_col)
 
     def batches(parts):
-        for part in parts:
+        for part in common.sliced(parts):
             fps = [fingerprint(x, width, seed) if x else 0 for x in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 

@@ -67,7 +67,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     def batches(parts):
         total = np.zeros(SYMBOLS**3, np.int64)
-        for part in parts:
+        for part in common.sliced(parts):
             block: list[str] = []
             chars = 0
             for text in [*part.column(0).to_pylist(), None]:
@@ -232,7 +232,7 @@ def _select(sample: DataFrame, restorer: Restorer, n: int) -> list[str]:
 
     def batches(parts):
         seen, toxic = Counter(), Counter()
-        for part in parts:
+        for part in common.sliced(parts):
             for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 own = {f for w in set(_word.findall(restorer.restore(text))) for f in _features(w)}
                 seen.update(own)
@@ -264,7 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, feat
     model, place = Model(restorer, dict.fromkeys(names, 0.0), 0.0), {x: k for k, x in enumerate(names)}
 
     def batches(parts):
-        for part in parts:
+        for part in common.sliced(parts):
             own = [[place[f] for f in model.features(t)] for t in part.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(1), pa.array(own, pa.list_(pa.int32()))], names=["label", "own"])
 
@@ -296,7 +296,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def batches(parts):
         model = shared.value
-        for part in parts:
+        for part in common.sliced(parts):
             scores = pa.array([model.score(x or "") for x in part.column(1).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([part.column(0), scores], names=["doc_id", "score"])
 
@@ -311,7 +311,7 @@ def keep_civil(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
 
     def batches(parts):
         model = shared.value
-        for part in parts:
+        for part in common.sliced(parts):
             yield part.filter(pa.array([model.score(x or "") < 0.5 for x in part.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(batches, docs.schema)
