@@ -2,7 +2,8 @@
 
 The standard library's parser is fed a page in pieces and sends events. Text gathers in lines, one to each block element;
 what stands in menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles is marked as it
-comes. Each line has a ratio of its characters to the tags met with it. Ratios are smoothed along the page by a Gaussian
+comes. Tags, roles and hidden attributes mark for good; names in class and id are hints that are decided at the end of
+the page, innermost first: they never silence what holds an article, main or most of the text outside links. Each line has a ratio of its characters to the tags met with it. Ratios are smoothed along the page by a Gaussian
 and clustered in two by a threshold; lines above it are seeds. The region with the most seed text is the article or, where
 a page has none, the part between the first and the last seed with what shares their parent; its unmarked lines are
 the text, short ones included.
@@ -33,6 +34,11 @@ NAMES = frozenset(
     "sidebar side nav navbar navigation menu breadcrumb breadcrumbs pagination pager header masthead footer share sharing social related recommended newsletter subscribe "
     "signup login popup modal overlay comment comments disqus replies reply respond widget toolbar skip copyright disclaimer".split()
 )
+#: Beside one of these a name tells of something elsewhere, as in no-sidebar.
+MODIFIERS = frozenset("with without no not non has".split())
+#: Inside an article, on headings, and beside what names an article's own parts, these are the text's own heading.
+HEADINGS = frozenset("header masthead banner".split())
+OWNERS = frozenset("article post entry story content".split())
 OF_ARTICLES = frozenset("ad ads advert advertisement sponsored promo promotion related recommended comment comments reply replies".split())
 P_ENDS = BLOCKS - {"html", "body"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -43,28 +49,49 @@ _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _white = re.compile(r"\s+")
 
 
-def _names_outside(tag: str, attrs: list) -> bool:
+def _outside(tag: str, attrs: list) -> bool:
     if tag in OUTSIDE:
         return True
     for key, value in attrs:
-        if key in ("class", "id") and value and tag not in ("html", "body", "main"):
-            if not (OF_ARTICLES if tag == "article" else NAMES).isdisjoint(_part.findall(_camel.sub(" ", value).lower())):
-                return True
-        elif key == "role" and value and not ROLES.isdisjoint(value.lower().split()):
+        if key == "role" and value and not ROLES.isdisjoint(value.lower().split()):
             return True
-        elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and value and "display:none" in value.replace(" ", "").lower()):
+        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and value and "display:none" in value.replace(" ", "").lower()):
             return True
     return False
 
 
+def _hints(tag: str, attrs: list, in_article: bool) -> set[str]:
+    """The names in class and id that hint at what is no article."""
+    found: set[str] = set()
+    if tag in ("html", "body", "main"):
+        return found
+    for key, value in attrs:
+        if key in ("class", "id") and value:
+            for name in value.split():
+                parts = set(_part.findall(_camel.sub(" ", name).lower()))
+                if MODIFIERS.isdisjoint(parts):
+                    hints = parts & (OF_ARTICLES if tag == "article" else NAMES)
+                    own = in_article or re.fullmatch("h[1-6]", tag) or not OWNERS.isdisjoint(parts)
+                    found |= hints - HEADINGS if own else hints
+    return found
+
+
 class Lines(HTMLParser):
-    """Gathers lines from events: text, tags met, whether outside, the article they are in, the parent block."""
+    """Gathers lines from events: text, tags met, whether outside, the article they are in, the parent block.
+
+    The text of a line stays in parts, each with the innermost element around it that has hints, until ``close_all``.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int, int]] = []  # tag, outside, article, number
+        self.stack: list[tuple[str, bool, int, int, int, bool]] = []  # tag, outside, article, number, hinted, in a link
         self.lines: list[tuple[str, int, bool, int, int]] = []
-        self.text: list[str] = []
+        self.gathered: list[tuple[list[tuple[str, int]], int, bool, int, int]] = []
+        self.text: list[tuple[str, int]] = []
+        self.hinted: list[tuple[int, bool, bool]] = [(-1, False, False)]  # the one around it, in an article, names of OF_ARTICLES only
+        self.free: list[int] = [0]  # characters outside links, directly in each of hinted
+        self.articles: dict[int, tuple[int, bool]] = {}  # the hinted around it, whether main
+        self.filled: set[int] = set()  # articles that have text
         self.tags, self.count, self.dark, self.spot = 0, 0, False, (False, 0, 0)
 
     def here(self) -> tuple[bool, int, int]:
@@ -75,18 +102,41 @@ class Lines(HTMLParser):
         return False, self.stack[-1][2], blocks[-2][3] if len(blocks) > 1 else 0
 
     def flush(self) -> None:
-        line = _white.sub(" ", "".join(self.text)).strip()
-        if line:
-            self.lines.append((line, self.tags, *self.spot))
-        elif self.dark:
-            self.lines.append(("", self.tags, True, 0, 0))
-        if line or self.dark:
+        if self.text or self.dark:
+            self.gathered.append((self.text, self.tags, *self.spot))
             self.tags, self.dark = 0, False
         self.text = []
 
     def close_all(self) -> None:
         HTMLParser.close(self)
         self.flush()
+        silent = self.silenced()
+        for parts, tags, *spot in self.gathered:
+            line = _white.sub(" ", "".join(text for text, hinted in parts if not silent[hinted])).strip()
+            self.lines.append((line, tags, *spot) if line else ("", tags, True, 0, 0))
+
+    def silenced(self) -> list[bool]:
+        """Of each element with hints: whether it is outside. Its own text counts without what is silenced inside it."""
+        n = len(self.hinted)
+        free, holds, main = list(self.free), [0] * n, [False] * n
+        for number, (around, is_main) in self.articles.items():
+            if number in self.filled:
+                holds[around] += 1
+                main[around] |= is_main
+        left, articles, silent = sum(free), sum(holds), [False] * n
+        for k in range(n - 1, 0, -1):
+            around, in_article, apart = self.hinted[k]
+            most = free[k] > 0 and 2 * free[k] >= left
+            if main[k] or holds[k] and (most or not apart) or most and (in_article or not articles):
+                free[around] += free[k]
+                holds[around] += holds[k]
+                main[around] |= main[k]
+            else:
+                silent[k] = True
+                left -= free[k]
+        for k in range(1, n):
+            silent[k] |= silent[max(self.hinted[k][0], 0)]
+        return silent
 
     def pop_to(self, k: int) -> None:
         del self.stack[k:]
@@ -103,14 +153,22 @@ class Lines(HTMLParser):
             self.handle_data("\n")
         if tag in VOID:
             return
-        outside, article = (self.stack[-1][1], self.stack[-1][2]) if self.stack else (False, 0)
+        outside, article, hinted, link = (*self.stack[-1][1:3], *self.stack[-1][4:]) if self.stack else (False, 0, 0, False)
         self.count += 1
-        own = _names_outside(tag, attrs)
+        own = _outside(tag, attrs)
         if tag == "header" and article and not outside:
             own = False  # an article's own heading
+        outside = outside or own
+        hints = set() if outside else _hints(tag, attrs, article > 0)
+        if hints:
+            self.hinted.append((hinted, article > 0, hints <= OF_ARTICLES))
+            self.free.append(0)
+            hinted = len(self.hinted) - 1
         if tag in ("article", "main") and not outside:
             article = self.count
-        self.stack.append((tag, outside or own, article, self.count))
+            if not hints:
+                self.articles[article] = hinted, tag == "main"
+        self.stack.append((tag, outside, article, self.count, hinted, link or tag == "a"))
 
     def shut(self, tags: set, until: frozenset | set) -> None:
         """Close the innermost of ``tags`` that is still open, unless one of ``until`` is open inside it."""
@@ -143,7 +201,12 @@ class Lines(HTMLParser):
             if data.isspace():
                 return
             self.spot = self.here()
-        self.text.append(data)
+        hinted, link = self.stack[-1][4:] if self.stack else (0, False)
+        self.text.append((data, hinted))
+        if not link:
+            self.free[hinted] += len(data.strip())
+        if self.spot[1] and not data.isspace():
+            self.filled.add(self.spot[1])
 
 
 def _threshold(values: np.ndarray) -> float:

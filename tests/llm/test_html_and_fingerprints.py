@@ -23,6 +23,24 @@ def test_main_text(html):
     assert html_text.main_text(html) == PAGES[html]
 
 
+BODY = "<p>The first paragraph of the article, long enough to be its text.<p>A second one."
+CLEAR = "The first paragraph of the article, long enough to be its text.\nA second one."
+
+
+@pytest.mark.parametrize("wrapper", ['div class="layout with-sidebar"', 'div id="page" class="no-sidebar"', 'div class="header-fixed"', 'section class="comment-page"', 'div class="sidebar-right social"'])
+def test_wrappers_with_telling_names(wrapper):
+    page = f"<body><{wrapper}><nav>menu</nav>{{}}<div class='sidebar'><a>One</a> <a>Two</a></div></{wrapper.split()[0]}></body>"
+    assert html_text.main_text(page.format(f"<article>{BODY}</article>")) == CLEAR
+    assert html_text.main_text(page.format(f"<main>{BODY}</main>")) == CLEAR
+    assert html_text.main_text(page.format(f"<div>{BODY}</div>")) == CLEAR
+
+
+def test_headings_with_telling_names():
+    for title in ('<h1 class="header">Title</h1>', '<div class="article-header"><h1>Title</h1></div>', '<div class="masthead">Title</div>'):
+        assert html_text.main_text(f"<article>{title}{BODY}</article>") == "Title\n" + CLEAR
+    assert html_text.main_text(f'<div class="header">Site</div><article>{BODY}<div class="related"><article>Other</article></div></article><div class="comments"><p>{CLEAR * 3}</div>') == CLEAR
+
+
 def test_pages(spark, sf_dir):
     rows = [(1, "u", None, "x"), (2, None, "<p>t</p>", "x"), (2, None, "<p>t</p>", "x"), (3, "v", "<p>" + "long text " * 50_000, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
