@@ -4,9 +4,9 @@ The standard library's parser is fed a page in pieces and sends events. Text gat
 what stands in menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles is marked as it
 comes. Tags, roles and hidden attributes mark for good; names in class and id are hints that are decided at the end of
 the page, innermost first: they never silence what holds an article, main or most of the text outside links. Each line has a ratio of its characters to the tags met with it. Ratios are smoothed along the page by a Gaussian
-and clustered in two by a threshold; lines above it are seeds. The region with the most seed text is the article or, where
-a page has none, the part between the first and the last seed with what shares their parent; its unmarked lines are
-the text, short ones included.
+and clustered in two by a threshold; lines above it are seeds. The text is the part from the first to the last line that is
+a seed or stands in an article or main, with the lines around it that share a parent with those seeds or with an article
+or main (other than the body); all its unmarked lines are kept, short ones included.
 """
 
 from __future__ import annotations
@@ -92,6 +92,7 @@ class Lines(HTMLParser):
         self.free: list[int] = [0]  # characters outside links, directly in each of hinted
         self.articles: dict[int, tuple[int, bool]] = {}  # the hinted around it, whether main
         self.filled: set[int] = set()  # articles that have text
+        self.beside: set[int] = set()  # the blocks around articles that are in no other, unless that is the body
         self.tags, self.count, self.dark, self.spot = 0, 0, False, (False, 0, 0)
 
     def here(self) -> tuple[bool, int, int]:
@@ -165,6 +166,9 @@ class Lines(HTMLParser):
             self.free.append(0)
             hinted = len(self.hinted) - 1
         if tag in ("article", "main") and not outside:
+            block = next((e for e in reversed(self.stack) if e[0] in BLOCKS), None)
+            if not article and not hints and block and block[0] not in ("html", "body"):
+                self.beside.add(block[3])
             article = self.count
             if not hints:
                 self.articles[article] = hinted, tag == "main"
@@ -239,17 +243,9 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
     ratios = _smooth(np.array([0.0 if x[2] else len(x[0]) / max(1, x[1]) for x in parser.lines]), sigma)
     ratios = np.array([r for r, x in zip(ratios, parser.lines) if not x[2]])
     seeds = ratios >= _threshold(ratios)
-    weight: dict[int, int] = {}
-    for line, seed in zip(inside, seeds):
-        if line[3]:
-            weight[line[3]] = weight.get(line[3], 0) + len(line[0]) * (1 if seed else 0)
-    if weight:
-        most = max(weight.values())
-        articles = {a for a, w in weight.items() if 2 * w >= most}  # a page may hold its text in several
-        return "\n".join(x[0] for x in inside if x[3] in articles)
-    at = np.flatnonzero(seeds)
-    parents = {inside[k][4] for k in at}
-    first, last = int(at[0]), int(at[-1])
+    at = [k for k, x in enumerate(inside) if seeds[k] or x[3]]
+    parents = {inside[k][4] for k in at if not inside[k][3]} | parser.beside
+    first, last = at[0], at[-1]
     while first and inside[first - 1][4] in parents:
         first -= 1
     while last + 1 < len(inside) and inside[last + 1][4] in parents:

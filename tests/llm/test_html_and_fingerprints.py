@@ -41,6 +41,15 @@ def test_headings_with_telling_names():
     assert html_text.main_text(f'<div class="header">Site</div><article>{BODY}<div class="related"><article>Other</article></div></article><div class="comments"><p>{CLEAR * 3}</div>') == CLEAR
 
 
+def test_text_around_and_between_articles():
+    long, short = "A long part of the text. " * 40, "A shorter part of it. " * 18
+    lines = lambda *parts: "\n".join(x.strip() for x in parts)
+    assert html_text.main_text(f"<article><p>{long}</article><article><p>{short}</article>") == lines(long, short)
+    assert html_text.main_text(f"<main><h1>Title</h1><p>Lead</p><article><p>{long}</article><p>End</main>") == lines("Title", "Lead", long, "End")
+    assert html_text.main_text(f"<article><p>{short}<article><p>{long}</article><p>End</article>") == lines(short, long, "End")
+    assert html_text.main_text(f"<div><h1>Title</h1><article><p>{long}</article><h2>Next</h2><article><p>{short}</article><article class='related'><p>x</article></div>") == lines("Title", long, "Next", short)
+
+
 def test_pages(spark, sf_dir):
     rows = [(1, "u", None, "x"), (2, None, "<p>t</p>", "x"), (2, None, "<p>t</p>", "x"), (3, "v", "<p>" + "long text " * 50_000, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
