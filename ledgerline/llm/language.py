@@ -2,8 +2,8 @@
 
 Two recurrent layers read the UTF-8 bytes of a stretch forwards and backwards. At every position both states give the
 languages' probabilities; a document's are the mean of their logarithms over all its positions. The network is trained by
-backpropagation through time on stretches of at most SAMPLE_DOCS documents outside the held-out fold, chosen by a hash of
-the doc_id. Texts are read whole, in stretches of STRETCH bytes that go through the network many at a time.
+backpropagation through time on stretches of about SAMPLE_DOCS documents outside the held-out fold, drawn language by
+language by a hash of their texts. Texts are read whole, in stretches of STRETCH bytes that go through the network many at a time.
 """
 
 from __future__ import annotations
@@ -109,11 +109,12 @@ class Network:
         return loss, found
 
     def train(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray, steps: int = STEPS, rows: int = ROWS, rate: float = RATE, seed: int = 2) -> list[float]:
-        """Adam over random rows of ``x`` (N, T); the losses."""
+        """Adam over random rows of ``x`` (N, T); the losses. A label comes up as often as the root of its share asks, so that rare ones are learned."""
         rng, losses = np.random.default_rng(seed), []
+        upto = np.cumsum(1 / np.sqrt(np.bincount(y)[y]))
         m, v = ({k: np.zeros_like(w) for k, w in self.w.items()} for _ in range(2))
         for step in range(1, steps + 1):
-            some = rng.integers(0, len(x), min(rows, len(x)))
+            some = np.minimum(np.searchsorted(upto, rng.random(min(rows, len(x))) * upto[-1], "right"), len(x) - 1)
             loss, found = self.gradients(np.ascontiguousarray(x[some].T), np.ascontiguousarray(mask[some].T), y[some])
             losses.append(loss)
             norm = np.sqrt(sum(float((g * g).sum()) for g in found.values()))
@@ -150,27 +151,56 @@ def _held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
-    """A network from the texts and languages of at most ``sample_docs`` documents; None if no document has both.
+def _level(counts: list[int], total: int) -> int:
+    """How many of each language fit ``total`` if all have as many, or all they hold; at least one."""
+    left = total
+    for k, n in enumerate(sorted(counts)):
+        if n * (len(counts) - k) > left:
+            return max(1, left // (len(counts) - k))
+        left -= n
+    return max(1, *counts)
+
+
+def sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
+    """(lang, SAMPLE_BYTES characters from the middle) of the texts to learn from.
 
-    A sample is about as large from any table: ids are drawn by their hash, by a share that their number sets. Only
-    SAMPLE_BYTES from the middle of each come to the driver.
+    What counts is a text with a letter, a language and an id outside the held-out fold; equal texts of a language count
+    once. Every language gives all its texts or as many as any other, so that they are ``sample_docs`` in all; it gives one at
+    least, so there are more if there are more languages than that. Texts are drawn by their hash. One row per language,
+    then about two drawn texts for each that is kept and thirty more a language come to the driver.
     """
-    known = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang")).where("lang is not null and text is not null and doc_id is not null")
-    known = known.where(~_held_out(F.col("doc_id")))
-    total = docs.count()
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / F.lit(float(1 << 32))
-    drawn = known.where(draw < min(1.0, 2.0 * sample_docs / max(1, total)))
+    known = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang")).where("lang is not null and doc_id is not null")
+    known = known.where(F.col("text").rlike("\\p{L}") & ~_held_out(F.col("doc_id"))).withColumn("hash", F.xxhash64("text"))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).collect()}
+    if not counts:
+        return []
+    level = _level(list(counts.values()), sample_docs)
+    shares = docs.sparkSession.createDataFrame([(k, min(1.0, (2.0 * level + 30) / max(1, n))) for k, n in counts.items()], "_lang string, share double")
+    draw = F.pmod("hash", F.lit(1 << 32)) / F.lit(float(1 << 32))
+    drawn = known.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).where(draw < F.col("share"))
     middle = F.substring("text", F.greatest(F.lit(1), (F.char_length("text") / 2).cast("int") - SAMPLE_BYTES // 2), SAMPLE_BYTES)
-    rows = drawn.select("doc_id", "lang", middle.alias("text"), draw.alias("draw")).orderBy("draw", "doc_id", "lang", "text").limit(sample_docs).collect()
-    labels = sorted({r["lang"] for r in rows})
+    rows = drawn.select("lang", "hash", middle.alias("text")).groupBy("lang", "hash").agg(F.min("text").alias("text")).collect()
+    found: list[tuple[str, str]] = []
+    taken = dict.fromkeys(counts, 0)
+    for r in sorted(rows, key=lambda r: (r["hash"] % (1 << 32), r["hash"], r["lang"])):
+        if taken[r["lang"]] < level:
+            taken[r["lang"]] += 1
+            found.append((r["lang"], r["text"]))
+    return found
+
+
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
+    """A network of all languages of ``docs``, from a ``sample`` of the texts; None if no document has both."""
+    rows = sample(docs, sample_docs, id_col, text_col, lang_col)
+    labels = sorted({lang for lang, _ in rows})
+    place = {lang: k for k, lang in enumerate(labels)}
     pieces, y = [], []
-    for r in rows:
-        data = r["text"].encode()
+    for lang, text in rows:
+        data = text.encode()
         for k in range(0, len(data), STRETCH):
             if len(data) - k >= STRETCH or not k:
                 pieces.append(data[k : k + STRETCH])
-                y.append(labels.index(r["lang"]))
+                y.append(place[lang])
     if not pieces:
         return None
     x, mask = np.zeros((len(pieces), STRETCH), np.intp), np.zeros((len(pieces), STRETCH), np.float32)

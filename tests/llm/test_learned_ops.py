@@ -1,5 +1,7 @@
 """Toxicity and language: held-out accuracy, gradients, decoding."""
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -101,3 +103,16 @@ def test_language_edges_and_batches(spark):
     assert [r.lang_pred for r in rows[:3]] == ["und"] * 3 and rows[3].lang_pred in ("x", "y") and len(rows) == 6
     assert {r.lang_pred for r in language.identify(docs, language.fit(docs.selectExpr("*", "cast(null as string) as lang"))).collect()} == {"und"}
     assert language.identify(docs.where("false"), net).count() == 0
+
+
+def test_every_language_is_drawn(spark):
+    rows = [(k, f"words of text number {k}", None) for k in range(3000)] + [(k, f"a text that is the {k}th", "a") for k in range(3000, 3600)]
+    rows += [(k, "the same text again", "a") for k in range(4000, 4900)] + [(k, f"qx zq xxq {k} zzq", "rare") for k in range(5000, 5009)] + [(6000, "...", "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    found = language.sample(docs, 100)
+    rare = {t for i, t, lang in rows if lang == "rare" and zlib.crc32(str(i).encode()) % language.FOLDS != language.HELD_OUT}
+    assert len(found) == len(set(found)) == 100 and {t for lang, t in found if lang == "rare"} == rare
+    assert {lang for lang, _ in language.sample(docs, 1)} == {"a", "rare"}
+    network = language.fit(docs)
+    best = {r.doc_id: r.lang_pred for r in language.identify(docs, network).collect()}
+    assert all(best[k] == "rare" for k in range(5000, 5009)) and best[3001] == "a"
