@@ -1,7 +1,7 @@
 """Toxicity of texts by noisy-channel deobfuscation.
 
 Spans that look disguised (digits or signs among letters, spaced-out letters, letters repeated thrice) become lattices: a
-sign stands for letters it resembles, a repeated character or a sign between spaced letters may be nothing. Viterbi
+sign stands for letters it resembles, a repeated character or up to three separators between spaced letters or signs may be nothing. Viterbi
 decoding under a character language model picks the likeliest reading; text outside such spans has one reading only and
 stays. A logistic model over the words, and the beginnings of words, of the restored text gives the score.
 
@@ -33,7 +33,9 @@ BEGINNINGS = (3, 4, 5, 6)
 #: What a sign may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "*": "aeiou"}
 SIGNS = "".join(LOOKALIKES)
-SEPARATORS = " .-_*"
+#: Members of spaced-out words beside letters and digits; * is a separator that may be a vowel.
+MEMBERS = SIGNS.translate(dict.fromkeys(map(ord, "0123456789*")))
+MOST_APART = 3
 TAILS = "!.,;:?"
 COSTS = {"stands for": 1.0, "stays": 9.0, "repeated": 0.7, "kept apart": 4.0, "dropped": 0.3}
 #: Language-model symbols: 0 between words, 1 to 26 letters without their accents, 27 other letters.
@@ -42,7 +44,11 @@ SYMBOLS = 28
 _sign = re.compile(f"[{re.escape(SIGNS)}]+")
 _closing = re.compile(r"!+|(.)\1\1+")  # after a word, these are punctuation or noise
 _repeat = re.compile(r"([^\W\d_])\1\1")
-_spaced = re.compile(rf"(?<![^\W_])[^\W_](?:[{re.escape(SEPARATORS)}][^\W_]){{3,}}(?![^\W_])")
+_member, _apart = rf"(?:[^\W_]|[{re.escape(MEMBERS)}])", rf"(?:[^\w{re.escape(MEMBERS)}]|_)"
+#: No character is both a member and a separator, so matching takes no more than linear time. A last ! is punctuation.
+_more = rf"(?:{_apart}{{1,{MOST_APART}}}{_member})"
+_spaced = re.compile(rf"(?<![^\W_])(?:{_member}{_more}{{2,}}|(?<!\S)\*\s{{1,{MOST_APART}}}{_member}{_more}+)(?<!!)(?![^\W_])")
+_run = re.compile(rf"{_apart}+")
 _word = re.compile(r"[^\W\d_]+")
 _token_end = re.compile(r"\s|\Z")
 
@@ -102,11 +108,14 @@ class Restorer:
     def readings(self, span: str, k: int, spaced: bool) -> list[tuple[str, float]]:
         """What the character at ``k`` may be, with costs: itself, letters it resembles, or nothing."""
         char = span[k]
-        found = [(char, COSTS["kept apart"] if spaced and char in SEPARATORS else COSTS["stays"] if char in LOOKALIKES else 0.0)]
+        run = _run.match(span, k) if spaced else None
+        if run and k and _run.match(span, k - 1):  # kept or dropped with the first of the run
+            return [("", 0.0)] + [(x, COSTS["stands for"]) for x in LOOKALIKES.get(char, "")]
+        found = [(run[0] if run else char, COSTS["kept apart"] if run else COSTS["stays"] if char in LOOKALIKES else 0.0)]
         found += [(x, COSTS["stands for"]) for x in LOOKALIKES.get(char, "")]
         if k and char == span[k - 1]:
             found.append(("", COSTS["repeated"]))
-        if spaced and char in SEPARATORS:
+        if run and len(run[0]) <= MOST_APART:
             found.append(("", COSTS["dropped"]))
         return found
 
@@ -142,7 +151,7 @@ class Restorer:
             if j < len(text) and text[j].isalpha() or i and text[i - 1].isalpha() and not _closing.fullmatch(m[0]):
                 hits.append(i)
         hits += [m.start() for m in _repeat.finditer(text)]
-        found = [(*m.span(), True) for m in _spaced.finditer(text)]
+        found = [(*m.span(), True) for m in _spaced.finditer(text) if any(map(str.isalpha, m[0])) or sum(map(str.isalnum, m[0])) > 3]
         end = -1
         for at in sorted(hits):
             if at >= end:

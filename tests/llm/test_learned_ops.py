@@ -51,6 +51,17 @@ def test_disguises_are_restored(spark):
         assert len(restorer.restore(plain)) <= len(plain)
 
 
+def test_spacing_and_signs_together(spark):
+    words = "the idiot and the loser are stupid and worthless clown moron trash of a pathetic scum ass disgusting people with that of " * 40
+    restorer = toxicity.Restorer(toxicity.trigram_counts(spark.createDataFrame([(1, words)], "doc_id long, text string")))
+    given = {"$ c u m": "scum", "$ t u p i d": "stupid", "! d 1 o t": "idiot", "a $ s": "ass", "s  c  u  m": "scum", "l . o . s . e . r": "loser", "c,l,o,w,n": "clown", "m/o/r/o/n": "moron", "t~r~@~s~h": "trash"}
+    given |= {"s\tc\tu\tm": "scum", "s\nc\nu\nm": "scum", "s\u200bc\u200bu\u200bm": "scum", "* s s": "ass", "l * s e r": "loser", "s c u m !": "scum !"}
+    assert {x: restorer.restore(x) for x in given} == given
+    for plain in ("1 | 2 | 3", "! ! ! ! !", "the idiot, and"):
+        assert restorer.restore(plain) == plain
+    assert restorer.restore("$ " * 20_000) and restorer.restore("_!" * 20_000)  # in linear time
+
+
 def test_toxicity_edges(spark, model):
     docs = spark.createDataFrame([(1, None, 0.5), (2, "", 0.5), (3, "1" * 50_000 + "a", 0.5), (None, "a idiot", 0.5), (5, "idiot", 0.5), (5, "idiot", 0.5)], "doc_id long, text string, score double")
     rows = toxicity.score(docs, model).collect()
