@@ -43,16 +43,18 @@ def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """Per row of ``docs``: doc_id, fp (signed long). Null texts and texts without words have fingerprint zero."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, seed: int = SEED, hashed: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, fp (signed long); with ``hashed`` also text_hash, the text's XXH64. Null texts and texts without words have fingerprint zero."""
     view = common.docs_view(docs, id_col, text_col)
+    view = view.withColumn("text_hash", F.xxhash64("text")) if hashed else view
+    names = ["doc_id", "fp", *view.columns[2:]]
 
     def batches(parts):
         for part in common.sliced(parts):
             fps = [fingerprint(x, width, seed) if x else 0 for x in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps, pa.int64()), *part.columns[2:]], names=names)
 
-    return view.mapInArrow(batches, common.with_id(view, "fp long"))
+    return view.mapInArrow(batches, common.with_id(view, "fp long, text_hash long" if hashed else "fp long"))
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -78,25 +80,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     like any other. Repeated rows give a row each; an empty table gives none; other columns are ignored.
     """
     marked = common.materialised(fingerprints(docs, id_col, text_col))  # narrow; texts are read once
+    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return marked.join(_components(marked), "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+def _components(marked: DataFrame) -> DataFrame:
+    """Per distinct fp of ``marked``: fp, the root of its component, component_id."""
     least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(links(least.select("fp")), "a", "b")
     rooted = least.join(roots, least["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = rooted.join(of_root, "root").select("fp", "component_id")
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return marked.join(of_fp, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    return rooted.join(of_root, "root").select("fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that stand for their component: the one with the least id, once if repeated.
+    """The rows of ``docs``, all columns, that stand for their component: one each.
 
-    Documents whose component has null ids only are kept all: nothing tells them apart.
+    It is the one with the least id, null ids last, and of several texts under that id the one with the least XXH64. Rows
+    alike in id and text are kept once.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.where(docs[id_col].isNotNull()).join(kept, F.col(id_col) == F.col("_kept"), "left_semi").dropDuplicates([id_col])
-    lone = docs.where(docs[id_col].isNull()).join(kept.where("_kept is null"), F.lit(True), "left_semi")
-    return named.unionByName(lone)
+    marked = common.materialised(fingerprints(docs, id_col, text_col, hashed=True))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    best = marked.join(_components(marked), "fp").groupBy("root").agg(F.min(order).alias("best"))
+    pair = ["_row", "_text"]  # two hashes, never null: the join's keys are also those of dropDuplicates
+    kept = best.select(F.xxhash64("best.doc_id", "best.text_hash").alias("_row"), F.col("best.text_hash").alias("_text"))
+    hashes = F.xxhash64(docs[text_col].cast("string"))
+    rows = docs.select("*", F.xxhash64(docs[id_col], hashes).alias("_row"), hashes.alias("_text"))
+    return rows.join(kept, pair, "left_semi").dropDuplicates(pair).select(*docs.columns)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,3 +100,11 @@ def test_documents(spark, rows):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted({r.component_id or 0 for r in found})
     assert simhash.near_duplicates(docs.where("false")).count() == 0
+
+
+def test_one_row_stands_for_each_component(spark):
+    long, other = "one two three four five six seven eight", "nothing here is like the rest of it at all"
+    rows = [(5, long, "x"), (5, other, "x"), (3, other, "x"), (None, "alone without an id here", "x"), (None, "alone without an id here", "x"), (None, long, "x"), (None, "another text of its own", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more string").repartition(3)
+    kept = sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(docs).collect())
+    assert kept == [(0, "alone without an id here"), (0, "another text of its own"), (3, other), (5, long)]
