@@ -1,5 +1,5 @@
 """A pipeline over the documents table: drop toxic texts, keep one of each group of near-duplicates, redact secrets, mix the
-sources to their weights, encode to byte-level BPE tokens."""
+sources to their weights, encode to byte-level BPE tokens and decode them again."""
 
 from __future__ import annotations
 
@@ -32,7 +32,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, decoded=True)
 
 
 STAGES = [

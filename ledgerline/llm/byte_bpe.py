@@ -290,17 +290,27 @@ def _ranks(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_tokens, ids. Null texts count as empty and give no ids; repeated rows give a row each."""
+def _digest(chunks: Iterable[bytes]) -> str:
+    digest = hashlib.sha256()
+    for data in chunks:
+        digest.update(data)
+    return digest.hexdigest()
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_tokens, ids; with ``decoded`` also decoded_sha256, of the bytes the ids decode to. Null texts count as empty and give no ids; repeated rows give a row each."""
     ranks, view = _ranks(docs.sparkSession, ranks_path), common.docs_view(docs, id_col, text_col)
 
     def batches(parts: Iterable[pa.RecordBatch]):
         codec = _codec(ranks.value, pattern)
         for part in common.sliced(parts):
             ids = pa.array([codec.encode(x or "") for x in part.column(1).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids.value_lengths(), pa.int64()), ids], names=["doc_id", "n_tokens", "ids"])
+            columns = [part.column(0), pa.array(ids.value_lengths(), pa.int64()), ids]
+            if decoded:
+                columns.append(pa.array([_digest(codec.decode_bytes(x.as_py())) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded_sha256"][: len(columns)])
 
-    return view.mapInArrow(batches, common.with_id(view, "n_tokens long, ids array<int>"))
+    return view.mapInArrow(batches, common.with_id(view, "n_tokens long, ids array<int>" + ", decoded_sha256 string" * decoded))
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str = "", id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

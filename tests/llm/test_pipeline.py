@@ -1,5 +1,7 @@
 """The pipeline's stages, each on what the one before kept."""
 
+import hashlib
+
 import public_tokenizers
 import tiktoken
 
@@ -36,3 +38,9 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_tokens_are_decoded_again(spark):
+    texts = {1: "plain words", 2: "", 3: None, 4: "é 漢字 \U0001f600"}
+    found = corpus_pipeline.tokenize(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "").collect()
+    assert {r.doc_id: r.decoded_sha256 for r in found} == {k: hashlib.sha256((t or "").encode()).hexdigest() for k, t in texts.items()}
