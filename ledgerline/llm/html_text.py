@@ -1,17 +1,21 @@
 """Main text of web pages: parser events, text-to-tag ratios, Gaussian smoothing and a threshold between two clusters.
 
-The standard library's parser is fed a page in pieces and sends events. Text gathers in lines, one to each block element;
-what stands in menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles is marked as it
-comes. Tags, roles and hidden attributes mark for good; names in class and id are hints that are decided at the end of
-the page, innermost first: they never silence what holds an article, main or most of the text outside links. Each line has a ratio of its characters to the tags met with it. Ratios are smoothed along the page by a Gaussian
-and clustered in two by a threshold; lines above it are seeds. The text is the part from the first to the last line that is
-a seed or stands in an article or main, with the lines around it that share a parent with those seeds or with an article
-or main (other than the body); all its unmarked lines are kept, short ones included.
+The standard library's parser is fed a page in pieces and sends events. Text gathers in lines, one to each block element.
+Tags, roles and hidden attributes that can hold no article (menus, footers, forms, scripts, styles) exclude what is in
+them. Names in class and id exclude nothing: an element that has one is a zone of its own, in which a character counts
+for a thousandth, unless it holds an article, main or most of the text outside links.
+
+What is content is decided by ratios. Each line has a ratio of its characters, those in links at a tenth, to the tags met
+with it. Ratios are smoothed along the page by a Gaussian that does not reach across the border of a zone, and split in
+two clusters by a threshold at their standard deviation; the upper one is the seeds. A zone without a seed goes. The text is
+the region from the first to the last line that is a seed or stands in an article or main that has one, or in one beside
+it, with the lines around it that share a parent with those; all lines of the region are kept, short ones included.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from html.parser import HTMLParser
 
 import numpy as np
@@ -23,10 +27,11 @@ from . import common
 
 PIECE = 1 << 16
 SIGMA = 1.0
+IN_LINKS, IN_ZONES = 0.1, 0.001
 
 BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-OUTSIDE = frozenset("nav header footer aside form button select textarea script style noscript template iframe svg head title dialog object canvas audio video menu".split())
+OUTSIDE = frozenset("nav header footer aside button select textarea script style noscript template iframe svg head title dialog object canvas audio video menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 #: Parts of class and id values, split at anything but letters, that name what is no article.
 NAMES = frozenset(
@@ -40,9 +45,8 @@ MODIFIERS = frozenset("with without no not non has".split())
 HEADINGS = frozenset("header masthead banner".split())
 OWNERS = frozenset("article post entry story content".split())
 OF_ARTICLES = frozenset("ad ads advert advertisement sponsored promo promotion related recommended comment comments reply replies".split())
-P_ENDS = BLOCKS - {"html", "body"}
-SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SCOPES = frozenset("ul ol dl table select article section div main body".split())
+SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+LISTS, TABLES = ("ul", "ol", "dl", "table", "select"), ("table", "select")
 
 _part = re.compile(r"[a-z]+")
 _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -61,8 +65,8 @@ def _outside(tag: str, attrs: list) -> bool:
 
 
 def _hints(tag: str, attrs: list, in_article: bool) -> set[str]:
-    """The names in class and id that hint at what is no article."""
-    found: set[str] = set()
+    """The names in class and id, or a form, that hint at what is no article."""
+    found: set[str] = {"form"} if tag == "form" else set()
     if tag in ("html", "body", "main"):
         return found
     for key, value in attrs:
@@ -77,180 +81,187 @@ def _hints(tag: str, attrs: list, in_article: bool) -> set[str]:
 
 
 class Lines(HTMLParser):
-    """Gathers lines from events: text, tags met, whether outside, the article they are in, the parent block.
+    """Gathers lines from events: (parts, tags, article, group, parent).
 
-    The text of a line stays in parts, each with the innermost element around it that has hints, until ``close_all``.
+    A part is (text, the innermost hinted element around it, whether in a link); ``parts`` is empty for what is excluded.
+    ``article`` numbers the innermost article or main, ``group`` the block around the outermost one, -1 for none, and
+    ``parent`` the block around the line's own. Open elements are also listed by tag, so no event walks the stack.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int, int, int, bool]] = []  # tag, outside, article, number, hinted, in a link
-        self.lines: list[tuple[str, int, bool, int, int]] = []
-        self.gathered: list[tuple[list[tuple[str, int]], int, bool, int, int]] = []
-        self.text: list[tuple[str, int]] = []
-        self.hinted: list[tuple[int, bool, bool]] = [(-1, False, False)]  # the one around it, in an article, names of OF_ARTICLES only
+        self.stack: list[tuple[str, bool, int, int, int, int, bool]] = []  # tag, outside, article, group, number, hinted, in a link
+        self.open: dict[str, list[int]] = defaultdict(list)  # where each tag is in the stack
+        self.blocks: list[int] = []  # where blocks are
+        self.lines: list[tuple[list, int, int, int, int]] = []
+        self.parts: list[tuple[str, int, bool]] = []
+        self.hinted: list[tuple[int, bool, bool]] = [(0, False, False)]  # the one around it, in an article, names of OF_ARTICLES only
         self.free: list[int] = [0]  # characters outside links, directly in each of hinted
         self.articles: dict[int, tuple[int, bool]] = {}  # the hinted around it, whether main
         self.filled: set[int] = set()  # articles that have text
-        self.beside: set[int] = set()  # the blocks around articles that are in no other, unless that is the body
-        self.tags, self.count, self.dark, self.spot = 0, 0, False, (False, 0, 0)
+        self.tags, self.count, self.dark, self.spot = 0, 0, False, (0, -1, 0)
 
-    def here(self) -> tuple[bool, int, int]:
-        """Not outside; the article and the parent of the innermost open block."""
-        if not self.stack:
-            return False, 0, 0
-        blocks = [e for e in self.stack if e[0] in BLOCKS]
-        return False, self.stack[-1][2], blocks[-2][3] if len(blocks) > 1 else 0
+    def innermost(self, tags) -> int:
+        """Where the innermost open element of one of ``tags`` is in the stack, -1 if there is none."""
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=-1)
+
+    def parent(self, up: int) -> int:
+        """The number of the ``up``-th open block from within; 0 for the body, the page or none."""
+        if len(self.blocks) < up:
+            return 0
+        tag, *_, number, _, _ = self.stack[self.blocks[-up]]
+        return 0 if tag in ("html", "body") else number
 
     def flush(self) -> None:
-        if self.text or self.dark:
-            self.gathered.append((self.text, self.tags, *self.spot))
+        if self.parts or self.dark:
+            self.lines.append((self.parts, self.tags, *self.spot))
             self.tags, self.dark = 0, False
-        self.text = []
+        self.parts = []
 
-    def close_all(self) -> None:
-        HTMLParser.close(self)
+    def close(self) -> None:
+        super().close()
         self.flush()
-        silent = self.silenced()
-        for parts, tags, *spot in self.gathered:
-            line = _white.sub(" ", "".join(text for text, hinted in parts if not silent[hinted])).strip()
-            self.lines.append((line, tags, *spot) if line else ("", tags, True, 0, 0))
 
-    def silenced(self) -> list[bool]:
-        """Of each element with hints: whether it is outside. Its own text counts without what is silenced inside it."""
+    def zones(self) -> list[int]:
+        """The zone of each hinted element: itself, or that of the one around it if it holds an article or most of the text."""
         n = len(self.hinted)
         free, holds, main = list(self.free), [0] * n, [False] * n
         for number, (around, is_main) in self.articles.items():
             if number in self.filled:
                 holds[around] += 1
                 main[around] |= is_main
-        left, articles, silent = sum(free), sum(holds), [False] * n
-        for k in range(n - 1, 0, -1):
-            around, in_article, apart = self.hinted[k]
+        left, articles, apart = sum(free), sum(holds), [False] * n
+        for k in range(n - 1, 0, -1):  # innermost first: what is inside comes after
+            around, in_article, of_articles = self.hinted[k]
             most = free[k] > 0 and 2 * free[k] >= left
-            if main[k] or holds[k] and (most or not apart) or most and (in_article or not articles):
+            if main[k] or holds[k] and (most or not of_articles) or most and (in_article or not articles):
                 free[around] += free[k]
                 holds[around] += holds[k]
                 main[around] |= main[k]
             else:
-                silent[k] = True
+                apart[k] = True
                 left -= free[k]
+        zones = [0] * n
         for k in range(1, n):
-            silent[k] |= silent[max(self.hinted[k][0], 0)]
-        return silent
+            zones[k] = k if apart[k] else zones[self.hinted[k][0]]
+        return zones
 
     def pop_to(self, k: int) -> None:
-        del self.stack[k:]
+        while len(self.stack) > k:
+            tag = self.stack.pop()[0]
+            self.open[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
             self.flush()
-            if tag in P_ENDS:
-                self.shut({"p"}, SCOPES)
+            if tag not in ("html", "body") and self.blocks and self.stack[self.blocks[-1]][0] == "p":
+                self.pop_to(self.blocks[-1])  # a block ends the paragraph before it
         if tag in SIBLINGS:
-            self.shut(SIBLINGS[tag], SCOPES - {"div", "section", "article", "main", "body"} if tag in ("li", "dt", "dd") else {"table", "select"})
+            at = self.innermost(SIBLINGS[tag])
+            if at > self.innermost(LISTS if tag in ("li", "dt", "dd") else TABLES):
+                self.flush()
+                self.pop_to(at)
         self.tags += 1
         if tag == "br":
             self.handle_data("\n")
         if tag in VOID:
             return
-        outside, article, hinted, link = (*self.stack[-1][1:3], *self.stack[-1][4:]) if self.stack else (False, 0, 0, False)
+        _, outside, article, group, _, hinted, link = self.stack[-1] if self.stack else ("", False, 0, -1, 0, 0, False)
         self.count += 1
-        own = _outside(tag, attrs)
-        if tag == "header" and article and not outside:
-            own = False  # an article's own heading
-        outside = outside or own
+        # an article's own heading is not the page's
+        outside = outside or (_outside(tag, attrs) and not (tag == "header" and article))
         hints = set() if outside else _hints(tag, attrs, article > 0)
         if hints:
             self.hinted.append((hinted, article > 0, hints <= OF_ARTICLES))
             self.free.append(0)
             hinted = len(self.hinted) - 1
         if tag in ("article", "main") and not outside:
-            block = next((e for e in reversed(self.stack) if e[0] in BLOCKS), None)
-            if not article and not hints and block and block[0] not in ("html", "body"):
-                self.beside.add(block[3])
+            group = self.parent(1) if group < 0 else group
             article = self.count
             if not hints:
                 self.articles[article] = hinted, tag == "main"
-        self.stack.append((tag, outside, article, self.count, hinted, link or tag == "a"))
-
-    def shut(self, tags: set, until: frozenset | set) -> None:
-        """Close the innermost of ``tags`` that is still open, unless one of ``until`` is open inside it."""
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] in tags:
-                self.flush()
-                return self.pop_to(k)
-            if self.stack[k][0] in until or self.stack[k][0] in BLOCKS and self.stack[k][0] != "p" and tags == {"p"}:
-                return None
-        return None
+        self.open[tag].append(len(self.stack))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, outside, article, group, self.count, hinted, link or tag == "a"))
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                if tag in BLOCKS:
-                    self.flush()
-                return self.pop_to(k)
-            if tag not in BLOCKS and tag not in OUTSIDE and self.stack[k][0] in BLOCKS:
-                return None  # a stray inline end tag does not close blocks
         if tag in BLOCKS:
             self.flush()
-        return None
+        at = self.innermost((tag,))
+        if at >= 0 and (tag in BLOCKS or tag in OUTSIDE or not self.blocks or at > self.blocks[-1]):  # a stray inline end tag does not close blocks
+            self.pop_to(at)
 
     def handle_data(self, data: str) -> None:
-        if self.stack and self.stack[-1][1]:
-            self.dark = self.dark or not data.isspace()
+        _, outside, article, group, _, hinted, link = self.stack[-1] if self.stack else ("", False, 0, -1, 0, 0, False)
+        blank = data.isspace()
+        if outside:
+            self.dark = self.dark or not blank
             return
-        if not self.text:
-            if data.isspace():
+        if not self.parts:
+            if blank:
                 return
-            self.spot = self.here()
-        hinted, link = self.stack[-1][4:] if self.stack else (0, False)
-        self.text.append((data, hinted))
+            self.spot = article, group, self.parent(2)
+        self.parts.append((data, hinted, link))
         if not link:
             self.free[hinted] += len(data.strip())
-        if self.spot[1] and not data.isspace():
-            self.filled.add(self.spot[1])
+        if article and not blank:
+            self.filled.add(article)
 
 
-def _threshold(values: np.ndarray) -> float:
-    """Between the means of two clusters, by iterated means from the overall mean."""
-    at = float(values.mean())
-    for _ in range(20):
-        high, low = values[values >= at], values[values < at]
-        new = (float(high.mean()) + float(low.mean())) / 2 if len(high) and len(low) else at
-        if abs(new - at) < 1e-9:
-            break
-        at = new
-    return at
+def smooth(ratios: np.ndarray, zones: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
+    """``ratios`` smoothed by a Gaussian over their places; only those of the same zone, and excluded lines (-1), take part."""
+    reach = max(1, int(3 * sigma))
+    total, mass = np.zeros(len(ratios)), np.zeros(len(ratios))
+    for d in range(-reach, reach + 1):
+        to, at = slice(max(0, -d), len(ratios) - max(0, d)), slice(max(0, d), len(ratios) - max(0, -d))
+        if abs(d) < len(ratios):
+            weight = np.exp(-0.5 * (d / sigma) ** 2) * ((zones[at] == zones[to]) | (zones[at] < 0))
+            total[to] += weight * ratios[at]
+            mass[to] += weight
+    return total / mass
 
 
-def _smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
-    reach = max(1, int(3 * sigma))
-    kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
-    mass = np.convolve(np.ones_like(ratios), kernel)[reach : reach + len(ratios)]
-    return np.convolve(ratios, kernel)[reach : reach + len(ratios)] / mass
+def seeds(smoothed: np.ndarray) -> np.ndarray:
+    """Which are of the upper cluster: not below the standard deviation of all."""
+    return smoothed >= smoothed.std() * (1 - 1e-9)
 
 
 def main_text(html: str, sigma: float = SIGMA) -> str:
-    parser = Lines()
+    page = Lines()
     for k in range(0, len(html), PIECE):
-        parser.feed(html[k : k + PIECE])
-    parser.close_all()
-    inside = [x for x in parser.lines if not x[2]]
-    if not inside:
+        page.feed(html[k : k + PIECE])
+    page.close()
+    zones = page.zones()
+    cells: list[tuple[int, int, float]] = []  # line, zone, ratio: a line's text in one zone
+    for k, (parts, tags, *_) in enumerate(page.lines):
+        size: dict[int, float] = {}
+        for text, hinted, link in parts:
+            zone = zones[hinted]
+            size[zone] = size.get(zone, 0.0) + len(text.strip()) * (IN_LINKS if link else 1.0) * (IN_ZONES if zone else 1.0)
+        cells += [(k, zone, n / max(1, tags)) for zone, n in size.items()] or [(k, -1, 0.0)]
+    if not cells:
+        return ""
+    of_line, of_zone, ratios = (np.array(x) for x in zip(*cells))
+    seed = seeds(smooth(ratios.astype(float), of_zone, sigma)) & (of_zone >= 0)
+    kept_zones = {0} | set(of_zone[seed].tolist())
+    seeded = set(of_line[seed].tolist())
+    texts = ["".join(text for text, hinted, _ in parts if zones[hinted] in kept_zones) for parts, *_ in page.lines]
+    inside = [(k, _white.sub(" ", t).strip()) for k, t in enumerate(texts) if t and not t.isspace()]
+    groups = {page.lines[k][3] for k in seeded} - {-1}
+    at = [n for n, (k, _) in enumerate(inside) if k in seeded or page.lines[k][3] in groups]
+    if not at:
         return ""
-    ratios = _smooth(np.array([0.0 if x[2] else len(x[0]) / max(1, x[1]) for x in parser.lines]), sigma)
-    ratios = np.array([r for r, x in zip(ratios, parser.lines) if not x[2]])
-    seeds = ratios >= _threshold(ratios)
-    at = [k for k, x in enumerate(inside) if seeds[k] or x[3]]
-    parents = {inside[k][4] for k in at if not inside[k][3]} | parser.beside
+    parents = {page.lines[k][4] for k in seeded if page.lines[k][3] < 0} | groups - {0}
     first, last = at[0], at[-1]
-    while first and inside[first - 1][4] in parents:
+    while first and page.lines[inside[first - 1][0]][4] in parents:
         first -= 1
-    while last + 1 < len(inside) and inside[last + 1][4] in parents:
+    while last + 1 < len(inside) and page.lines[inside[last + 1][0]][4] in parents:
         last += 1
-    return "\n".join(x[0] for x in inside[first : last + 1])
+    return "\n".join(t for _, t in inside[first : last + 1])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -1,5 +1,10 @@
 import hashlib
+import math
+import random
+import re
+import time
 
+import numpy as np
 import pytest
 
 from ledgerline.llm import fingerprints, html_text
@@ -50,6 +55,116 @@ def test_text_around_and_between_articles():
     assert html_text.main_text(f"<div><h1>Title</h1><article><p>{long}</article><h2>Next</h2><article><p>{short}</article><article class='related'><p>x</article></div>") == lines("Title", long, "Next", short)
 
 
+@pytest.mark.parametrize("wrapper", ['div class="content has-sidebar"', 'div class="main side-by-side"', 'div class="entry share-enabled"', "form"])
+def test_wrappers_around_the_whole_page(wrapper):
+    for inner in (BODY, f"<article>{BODY}</article>"):
+        assert html_text.main_text(f"<body><nav>menu</nav><{wrapper}>{inner}</{wrapper.split()[0]}><footer>f</footer></body>") == CLEAR
+
+
+@pytest.mark.parametrize("given", [lambda r: np.ones(len(r)), lambda r: np.roll(r, -2), lambda r: r.max() - r])
+def test_ratios_decide(monkeypatch, given):
+    page = f"<nav>menu</nav><div class='ad'>Buy this today, it is new.</div><article><h1>T</h1>{BODY}</article><div><a>One link</a> <a>and another</a></div><footer>f</footer>"
+    assert html_text.main_text(page) == "T\n" + CLEAR
+    smooth = html_text.smooth
+    monkeypatch.setattr(html_text, "smooth", lambda ratios, zones, sigma: given(smooth(ratios, zones, sigma)))
+    assert html_text.main_text(page) != "T\n" + CLEAR
+
+
+def test_deep_pages_take_linear_time():
+    def seconds(page):
+        began = time.process_time()
+        assert html_text.main_text(page)
+        return time.process_time() - began
+
+    for make in (lambda n: "<div>" * n + "text", lambda n: "<div>" * n + "<li>x</li>" * n + "</section>" * n, lambda n: "<div class=ad><span>" * n + "text"):
+        small, large = min(seconds(make(2500)) for _ in range(3)), min(seconds(make(20_000)) for _ in range(2))
+        assert large < 8 * small * 4
+
+
+def plainly(page):
+    """The main text of a page of <p>, <a>, <nav>, <div>, <article> and <div class="ad">, all closed, by lists and loops."""
+    lines, ads, stack, tags, dark, number = [], [], [], 0, False, 0
+    text = None
+    for token in re.findall("<[^>]+>|[^<]+", page):
+        name = re.match("</?([a-z]+)", token)
+        if not name:
+            if any(e["tag"] == "nav" for e in stack):
+                dark = True
+            else:
+                blocks = [e for e in stack if e["tag"] != "a"]
+                articles = [k for k, e in enumerate(stack) if e["tag"] == "article"]
+                text = text or {"parts": [], "parent": blocks[-2]["n"] if len(blocks) > 1 else 0, "group": (stack[articles[0] - 1]["n"] if articles[0] else 0) if articles else -1}
+                text["parts"].append((token, stack[-1]["ad"] if stack else 0, any(e["tag"] == "a" for e in stack)))
+            continue
+        opening = token[1] != "/"
+        tags += not opening
+        if name[1] != "a":
+            if text or dark:
+                lines.append((text, tags))
+                tags, dark = 0, False
+            text = None
+        tags += opening
+        if opening:
+            number += 1
+            ad = stack[-1]["ad"] if stack else 0
+            if "ad" in token.split('"'):
+                ads.append({"free": 0, "in_article": any(e["tag"] == "article" for e in stack)})
+                ad = len(ads)
+            stack.append({"tag": name[1], "n": number, "ad": ad})
+        else:
+            stack.pop()
+    if text or dark:
+        lines.append((text, tags))
+    free = [0] * (len(ads) + 1)
+    for line, _ in lines:
+        for part, ad, link in line["parts"] if line else ():
+            free[ad] += 0 if link else len(part.strip())
+    articles, left, zone = any(line and line["group"] >= 0 for line, _ in lines), sum(free), list(range(len(ads) + 1))
+    for k in range(len(ads), 0, -1):  # no ad holds another
+        if free[k] and 2 * free[k] >= left and (ads[k - 1]["in_article"] or not articles):
+            zone[k] = 0
+        else:
+            left -= free[k]
+    ratios = [(zone[line["parts"][0][1]], sum(len(t.strip()) * (0.1 if link else 1) for t, _, link in line["parts"]) * (0.001 if zone[line["parts"][0][1]] else 1) / tags) if line else (-1, 0.0) for line, tags in lines]
+    smoothed = []
+    for k, (z, _) in enumerate(ratios):
+        near = [(math.exp(-((j - k) ** 2) / 2), ratios[j][1]) for j in range(max(0, k - 3), min(len(ratios), k + 4)) if ratios[j][0] in (z, -1)]
+        smoothed.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+    mean = sum(smoothed) / max(1, len(smoothed))
+    cut = math.sqrt(sum((x - mean) ** 2 for x in smoothed) / max(1, len(smoothed)))
+    seeds = [k for k, (z, _) in enumerate(ratios) if z >= 0 and smoothed[k] >= cut * (1 - 1e-9)]
+    zones, groups = {0} | {ratios[k][0] for k in seeds}, {lines[k][0]["group"] for k in seeds} - {-1}
+    left = [k for k, (z, _) in enumerate(ratios) if z in zones]
+    at = [n for n, k in enumerate(left) if k in seeds or lines[k][0]["group"] in groups]
+    if not at:
+        return ""
+    parents = {lines[k][0]["parent"] for k in seeds if lines[k][0]["group"] < 0} | groups - {0}
+    first, last = at[0], at[-1]
+    while first and lines[left[first - 1]][0]["parent"] in parents:
+        first -= 1
+    while last + 1 < len(left) and lines[left[last + 1]][0]["parent"] in parents:
+        last += 1
+    return "\n".join(" ".join("".join(t for t, _, _ in lines[k][0]["parts"]).split()) for k in left[first : last + 1])
+
+
+def test_pages_against_plain_code():
+    rnd = random.Random(8)
+    words = lambda n: " ".join(rnd.choice(["alpha", "be", "gammas", "d"]) for _ in range(n))
+
+    def line():
+        n = rnd.choice([1, 3, 8, 30, 90])
+        return rnd.choice([f"<p>{words(n)}</p>"] * 4 + [f"<p><a>{words(3)}</a> {words(1)} <a>{words(2)}</a></p>", f'<div class="ad">{words(n)}</div>', f"<nav><a>{words(2)}</a></nav>"])
+
+    def section():
+        inner = "".join(line() for _ in range(rnd.randint(0, 5)))
+        return rnd.choice([inner, f"<div>{inner}</div>", f"<article>{inner}</article>", f"<div>{inner}<article>{line()}{line()}</article>{line()}</div>"])
+
+    pages = ["".join(section() for _ in range(rnd.randint(0, 5))) for _ in range(1500)]
+    found = [html_text.main_text(p) for p in pages]
+    assert found == [plainly(p) for p in pages]
+    assert sum("\n" in t for t in found) > 800 and len(set(found)) > 1200
+
+
 def test_pages(spark, sf_dir):
     rows = [(1, "u", None, "x"), (2, None, "<p>t</p>", "x"), (2, None, "<p>t</p>", "x"), (3, "v", "<p>" + "long text " * 50_000, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
