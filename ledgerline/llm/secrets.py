@@ -2,8 +2,8 @@
 
 Three patterns give the base spans. The method adds tokens that look random: over each long run of token characters a
 window of WINDOW characters slides, and its Shannon entropy is kept by counts: a character that enters or leaves changes
-the sum of n * log2(n) by a difference read from a table, so no window is counted anew. A token is a secret if some
-window's entropy reaches the threshold of its character class and the allow-list does not clear it. Entropies are
+its own count and the sum of n * log2(n), by a difference read from a table, so no window is counted anew. Runs end at base
+spans; what is left of them is looked at too. A token is a secret if some window's entropy reaches the threshold of its character class and the allow-list does not clear it. Entropies are
 compared as whole numbers (millionths), so that no rounding decides.
 
 Positions are code points. SQL has no function that gives the places of all matches; they are had from the lengths of
@@ -38,18 +38,20 @@ ALLOW = (
 )
 KINDS = ("assign", "access", "hex", "entropy")
 SCALE = 1_000_000
+#: Token characters lie between + and z; a count under 32 takes five bits.
+FIRST_CODE, LAST_CODE, COUNT_BITS, COUNTS_A_LONG = ord("+"), ord("z"), 5, 12
+CHUNK = 2048
 SPAN = "array<struct<start:long,rank:int,end:long,kind:string>>"
 
 
-def running(values: Column) -> Column:
-    """Sums of each value and those before it. Work grows as the length to the power 1.5."""
+def running(values: Column, both=lambda a, b: a + b) -> Column:
+    """Sums of each value and those before it, or what else ``both`` makes of two values that are 0 or more. Work grows as the length to the power 1.5."""
 
     def blocked(a: Column) -> Column:
         def of(blocks: Column) -> Column:
-            total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda s, v: s + v)
-            sums = F.transform(blocks, total)
-            within = lambda x, h: F.transform(x, lambda v, j: h + total(F.slice(x, 1, j + 1)))
-            return let(sums, lambda s: F.flatten(F.zip_with(blocks, F.transform(s, lambda v, k: total(F.slice(s, 1, k + 1)) - v), within)))
+            total = lambda x: F.aggregate(x, F.lit(0).cast("long"), both)
+            within = lambda x, h: F.transform(x, lambda v, j: both(h, total(F.slice(x, 1, j + 1))))
+            return let(F.transform(blocks, total), lambda s: F.flatten(F.zip_with(blocks, F.transform(s, lambda v, k: total(F.slice(s, 1, k))), within)))
 
         width = F.ceil(F.sqrt(F.size(a))).cast("int")
         return let(width, lambda w: let(F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / w).cast("int")), lambda k: F.slice(a, k * w + 1, w)), of))
@@ -80,28 +82,48 @@ def _spans(text: Column, gate: str, pattern: str, kind: str, keep, group: int =
 
 
 def lowest(token: Column, window: int = WINDOW) -> Column:
-    """The least sum of n * log2(n) over the counts of any window of ``token``, in millionths; its entropy is greatest there."""
+    """The least sum of n * log2(n) over the counts of any window of ``token``, in millionths; its entropy is greatest there.
+
+    The counts of all characters a token can have are the state, packed in longs of COUNTS_A_LONG: one step takes one
+    from the character that leaves and adds one to the one that enters. ``window`` is under 32.
+    """
     table = F.array(*(F.lit(round(SCALE * n * log2(n)) if n else 0).cast("long") for n in range(window + 2)))
+    units = F.array(*(F.lit(1 << COUNT_BITS * k).cast("long") for k in range(COUNTS_A_LONG)))
+    longs = -(-(LAST_CODE - FIRST_CODE + 1) // COUNTS_A_LONG)
 
-    def slide(chars: Column) -> Column:
+    def slot(char: Column) -> Column:
+        """The long that counts ``char``, where its count begins in it, and one of it."""
+        code = F.ascii(char) - FIRST_CODE
+        at = code % COUNTS_A_LONG
+        return F.struct(F.floor(code / COUNTS_A_LONG).cast("int").alias("long"), (at * COUNT_BITS).alias("shift"), F.get(units, at).alias("one"))
+
+    def slide(slots: Column) -> Column:
         def step(acc: Column, i: Column) -> Column:
-            inside = F.slice(chars, F.greatest(i - window, F.lit(1)), F.least(i - 1, F.lit(window)))  # before i enters
-            count = lambda c: F.size(F.filter(inside, lambda x: x == c))
-            come, gone = F.get(chars, i - 1), F.get(chars, i - window - 1)
+            count = lambda c: F.call_function("shiftright", F.get(acc["counts"], c["long"]), c["shift"]).bitwiseAND(F.lit((1 << COUNT_BITS) - 1)).cast("int")
+            add = lambda v, j, c: F.when(j == c["long"], c["one"]).otherwise(0)
+
+            def enter(come: Column) -> Column:
+                m = count(come)
+                return F.struct(
+                    (acc["sum"] + F.get(table, m + 1) - F.get(table, m)).alias("sum"),
+                    F.transform(acc["counts"], lambda v, j: v + add(v, j, come)).alias("counts"),
+                )
 
-            def move(n: Column) -> Column:
-                """n: how often the entering and the leaving character are in the window; a leaving one may be the entering one."""
-                leave = F.when(i > window, F.get(table, n["gone"] - 1) - F.get(table, n["gone"])).otherwise(0)
-                m = n["come"] - F.when((i > window) & (come == gone), 1).otherwise(0)
-                return acc["sum"] + leave + F.get(table, m + 1) - F.get(table, m)
+            def move(come: Column, gone: Column) -> Column:
+                n, m = count(gone), count(come) - F.when(come == gone, 1).otherwise(0)
+                return F.struct(
+                    (acc["sum"] + F.get(table, n - 1) - F.get(table, n) + F.get(table, m + 1) - F.get(table, m)).alias("sum"),
+                    F.transform(acc["counts"], lambda v, j: v + add(v, j, come) - add(v, j, gone)).alias("counts"),
+                )
 
-            now = let(F.struct(count(come).alias("come"), F.when(i > window, count(gone)).otherwise(0).alias("gone")), move)
-            return let(now, lambda s: F.struct(s.alias("sum"), F.when(i >= window, F.least(acc["least"], s)).otherwise(acc["least"]).alias("least")))
+            now = F.when(i > window, let(F.get(slots, i - window - 1), lambda gone: move(F.get(slots, i - 1), gone))).otherwise(enter(F.get(slots, i - 1)))
+            least = lambda s: F.when(i >= window, F.least(acc["least"], s["sum"])).otherwise(acc["least"])
+            return let(now, lambda s: F.struct(s["sum"].alias("sum"), least(s).alias("least"), s["counts"].alias("counts")))
 
-        zero = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(1 << 60).cast("long").alias("least"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(chars)), zero, step)["least"]
+        zero = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(1 << 60).cast("long").alias("least"), F.array(*[F.lit(0).cast("long")] * longs).alias("counts"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(slots)), zero, step)["least"]
 
-    return let(F.split(token, "(?!^)(?!$)", -1), slide)
+    return let(F.transform(F.split(token, "(?!^)(?!$)", -1), slot), slide)
 
 
 def looks_random(token: Column, window: int = WINDOW) -> Column:
@@ -111,6 +133,29 @@ def looks_random(token: Column, window: int = WINDOW) -> Column:
     return F.when(cleared, False).otherwise(lowest(token, window) <= limit)
 
 
+def _cut(text: Column, start: Column, end: Column) -> Column:
+    """``text`` from ``start`` to ``end``, where ``text`` is an array of pieces of CHUNK characters: no call reads all of a long text."""
+    first, last = F.floor(start / CHUNK).cast("int"), F.floor(end / CHUNK).cast("int")
+    of = lambda k, begin, n: F.coalesce(F.substring(F.get(text, k), (begin + 1).cast("int"), n.cast("int")), F.lit(""))
+    between = F.array_join(F.slice(text, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    apart = F.concat(of(first, start % CHUNK, F.lit(CHUNK)), between, of(last, F.lit(0), end % CHUNK))
+    return F.when(end <= start, "").when(first == last, of(first, start % CHUNK, end - start)).otherwise(apart)
+
+
+def replaced(text: Column, spans: Column, filler) -> Column:
+    """``text`` with the characters in any of the sorted ``spans`` gone and ``filler(span, reach)`` in the place of each; ``reach`` is where those before it end."""
+
+    def cut(pieces: Column, reach: Column) -> Column:
+        """Before each span the text since the end of all before it; a span that begins inside another adds none."""
+        before = lambda k: F.coalesce(F.get(reach, k - 1), F.lit(0))
+        parts = F.transform(spans, lambda s, k: F.concat(_cut(pieces, before(k), s["start"]), filler(s, before(k))))
+        return F.concat(F.array_join(parts, ""), _cut(pieces, F.array_max(reach), F.char_length(text).cast("long")))
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    ends = running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    return F.when(F.size(spans) > 0, let(pieces, lambda p: let(ends, lambda r: cut(p, r)))).otherwise(text)
+
+
 def with_spans(docs: DataFrame, text: Column) -> DataFrame:
     """``docs`` with ``_assign``, ``_access``, ``_hex`` and ``_entropy``, arrays of spans; a null text has none."""
     text = F.coalesce(text, F.lit(""))
@@ -122,10 +167,10 @@ def with_spans(docs: DataFrame, text: Column) -> DataFrame:
             "_hex": _spans(text, HEX, HEX, "hex", lambda s: F.lit(True)),
         }
     )
-    base = F.concat("_assign", "_access", "_hex")
-    known = lambda s, b: F.exists(b, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))
-    new = lambda b: _spans(text, TOKEN, TOKEN, "entropy", lambda s: F.when(known(s, b), False).otherwise(looks_random(s["value"])))
-    return found.withColumn("_entropy", let(base, new))
+    # Blanks in the place of base spans: what is left of a run beside one is looked at like any other, at the same places.
+    blanks = lambda s, reach: F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], reach), F.lit(0)).cast("int"))
+    rest = let(F.array_sort(F.concat("_assign", "_access", "_hex")), lambda base: replaced(text, base, blanks))
+    return found.withColumn("_entropy", let(rest, lambda t: _spans(t, TOKEN, TOKEN, "entropy", lambda s: looks_random(s["value"]))))
 
 
 def _listed(spans: Column) -> Column:
@@ -151,25 +196,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs``, all columns and rows, with each secret of ``text_col`` replaced by ``mark``; spans that overlap by one mark.
 
-    Null texts stay null. Columns named _assign, _access, _hex, _entropy are not kept.
+    Null texts stay null, empty ones empty; an empty table gives none; no name of a column can clash.
     """
-    text = F.col(text_col)
-    all_spans = F.array_sort(F.concat("_assign", "_access", "_hex", "_entropy"))
-
-    def cut(spans: Column) -> Column:
-        """Text up to each span from the end of all before it; a span that begins inside another adds nothing."""
-        reach = F.transform(spans, lambda s, k: F.coalesce(F.array_max(F.transform(F.slice(spans, 1, k), lambda x: x["end"])), F.lit(0)))
-
-        def pieces(r: Column) -> Column:
-            kept = F.zip_with(spans, r, lambda s, e: F.when((s["start"] >= e), F.concat(F.substr(text, (e + 1).cast("int"), (s["start"] - e).cast("int")), F.lit(mark))).otherwise(""))
-            last = F.array_max(F.transform(spans, lambda s: s["end"]))
-            return F.concat(F.array_join(kept, ""), F.substr(text, (last + 1).cast("int")))
-
-        return let(reach, pieces)
-
-    found = with_spans(docs, text)
-    cleaned = let(all_spans, lambda s: F.when(F.size(s) > 0, cut(s)).otherwise(text))
-    return found.withColumn(text_col, cleaned).select(*docs.columns)
+    text = F.col("row")[text_col]
+    found = with_spans(docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row")), text)
+    marks = lambda s, reach: F.when(s["start"] >= reach, mark).otherwise("")
+    cleaned = let(F.array_sort(F.concat("_assign", "_access", "_hex", "_entropy")), lambda s: replaced(text, s, marks))
+    return found.select(*(cleaned.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
