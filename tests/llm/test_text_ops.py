@@ -157,35 +157,95 @@ def targets(sizes, most=3):
     return out
 
 
+def drawn(doc_id):
+    return (int(hashlib.md5(f"{'' if doc_id is None else doc_id}:mix-1".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+
+
+def plainly_mixed(rows, rest):
+    """(doc_id, size) of one source's ``rows`` that an order sample of ``rest`` words takes, by plain sorting; one range only."""
+    sizes, left, certain = sorted((n for _, n in rows if n), reverse=True), rest, 0
+    if not rest or not sizes:
+        return set()
+    while (left / sum(n * n for n in sizes[certain:])) * sizes[certain] > 1:
+        same = sizes[certain]
+        while certain < len(sizes) and sizes[certain] == same:
+            left, certain = left - same, certain + 1
+    factor = left / sum(n * n for n in sizes[certain:])
+
+    def key(i, n):
+        u, p = drawn(i), min(1.0, factor * n)
+        return u * (1 - p) / ((1 - u) * p), u, -1 if i is None else i, n
+
+    units = Counter()
+    for i, n in rows:
+        if n:
+            units[(i, n)] += n
+    order, taken, upto = sorted(units, key=lambda x: key(*x)), set(), 0
+    while order and upto + units[order[0]] <= rest:
+        taken.add(order[0])
+        upto += units[order.pop(0)]
+    missing = rest - upto
+    for unit in [x for x in order if x[1] <= missing]:
+        if upto + units[unit] > rest:
+            break
+        taken.add(unit)
+        upto += units[unit]
+        order.remove(unit)
+    best = min(order, key=lambda x: (abs(units[x] - (rest - upto)), key(*x)))
+    return taken | {best} if abs(units[best] - (rest - upto)) < rest - upto else taken
+
+
 def test_mixing(spark):
     rnd = random.Random(9)
     rows = [(k, " w" * rnd.choice([0, 1, 5, 40, 900]), rnd.choice(["a", "B", "é", "z" if k % 9 == 0 else "a", "tiny" if k % 50 == 0 else "c", None, "", "a", "a"])) for k in range(700)]
-    rows += [(1, "w w w", "a"), (1, "w w w", "a"), (None, "w w", "a"), (900, None, "none"), (901, "", "none")]
-    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, size int")
+    rows += [(1, "w w w", "a"), (1, "w w w", "a"), (None, "w w", "a"), (900, None, "none"), (901, "", "none"), (902, "w " * 30, "one")]
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, source string, size int, col string")
     found = mixing.mix(docs, with_row=True).selectExpr("*", "row.source as source").collect()
     assert len(found) == len(rows)
-    sizes = Counter()
-    for _, t, s in rows:
+    sizes, of = Counter(), {}
+    for i, t, s in rows:
         sizes[s] += len((t or "").split())
+        of.setdefault(s, []).append((i, len((t or "").split())))
     expected = targets(sizes)
     taken = Counter()
+    sampled = {s: plainly_mixed(of[s], math.floor(expected[s] + Fraction(1, 2)) % sizes[s] if sizes[s] else 0) for s in sizes}
     for r in found:
         assert r.source_size == sizes[r.source]
         assert abs(r.target - float(expected[r.source])) < 1e-6
-        assert 0 <= r.taken <= 3 * r.size
+        copies = math.floor(expected[r.source] + Fraction(1, 2)) // sizes[r.source] if sizes[r.source] else 0
+        assert r.taken == (copies + ((r.doc_id, r.size) in sampled[r.source])) * r.size <= 3 * r.size
         taken[r.source] += r.taken
     for s in sizes:
-        assert abs(taken[s] - float(expected[s])) <= 1
-        cut = [r for r in found if r.source == s and r.size and r.taken % r.size]
-        assert len(cut) <= 1
+        off = float(expected[s]) - taken[s]
+        left = [n for i, n in of[s] if n and (i, n) not in sampled[s]]
+        assert abs(off) <= 20 or all(abs(off - n) >= abs(off) for n in left)  # half a document of 40 words, or no one left to help
     again = mixing.mix(docs.repartition(7)).collect()
     assert sorted((r.doc_id or -1, r.size, r.taken) for r in again) == sorted((r.doc_id or -1, r.size, r.taken) for r in found)
-    copies = mixing.mixture(docs).collect()
-    assert sum(len(r.text.split()) for r in copies) == sum(taken.values())
-    assert mixing.mix(docs.where("false")).count() == 0
+    copies = mixing.mixture(docs)
+    assert copies.columns == docs.columns
+    copies = Counter(map(tuple, copies.collect()))
+    assert sum(n * len(r[1].split()) for r, n in copies.items()) == sum(taken.values()) and set(copies) <= {(*r, 1, "x") for r in rows}
+    assert mixing.mix(docs.where("false")).count() == 0 and mixing.mixture(docs.where("false")).count() == 0
     assert mixing.mix(docs.where("source = 'none'")).selectExpr("sum(taken)").first()[0] == 0
 
 
+def test_chances_follow_the_odds(spark):
+    docs = spark.range(60_000).selectExpr("id as doc_id", "repeat('w ', cast(pow(2, id % 5) as int)) as text", "case when id < 40000 then 'a' when id < 50000 then 'b' else 'c' end as source")
+    rows = mixing.mix(docs).where("source_size > 0").selectExpr("source_size", "target", "size", "taken").collect()
+    sources = {r.source_size: r.target for r in rows}
+    assert len(sources) == 2  # b and c are alike in size
+    for total in sources:
+        for target in {r.target for r in rows if r.source_size == total}:
+            own = [r for r in rows if r.source_size == total and r.target == target]
+            rest = target % total
+            factor = rest / sum(r.size**2 for r in own)
+            if factor * 16 <= 1 and rest:
+                for size in (1, 2, 4, 8, 16):
+                    these = [r.taken // r.size - target // total for r in own if r.size == size]
+                    p = factor * size
+                    assert abs(sum(these) / len(these) - p) < 4 * math.sqrt(p * (1 - p) / len(these)), (target, size)
+
+
 def test_small_chances_are_met_on_average(spark):
     docs = spark.range(20000).selectExpr("id as doc_id", "'w w' as text", "case when id < 10000 then 'a' else 'c' end as source")
     rows = mixing.mix(docs).where("source_size > 0").selectExpr("target / source_size as rate", "taken / size as copies", "doc_id < 10000 as a").groupBy("a").agg({"rate": "avg", "copies": "avg"}).collect()
