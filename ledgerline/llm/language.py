@@ -3,7 +3,8 @@
 Two recurrent layers read the UTF-8 bytes of a stretch forwards and backwards. At every position both states give the
 languages' probabilities; a document's are the mean of their logarithms over all its positions. The network is trained by
 backpropagation through time on stretches of about SAMPLE_DOCS documents outside the held-out fold, drawn language by
-language by a hash of their texts. Texts are read whole, in stretches of STRETCH bytes that go through the network many at a time.
+language by a hash of their texts; training visits a document some DRAWS times, each time at another stretch, drawn from
+all of its text. Texts are read whole, in stretches of STRETCH bytes that go through the network many at a time.
 """
 
 from __future__ import annotations
@@ -19,10 +20,10 @@ from . import common
 
 FOLDS, HELD_OUT = 3, 1
 SAMPLE_DOCS = 4000
-SAMPLE_BYTES = 512
 STRETCH = 96
 HIDDEN = 8
 STEPS, ROWS, RATE = 240, 256, 0.02
+DRAWS = -(-STEPS * ROWS // SAMPLE_DOCS)  # as many stretches in all as training visits
 LANES = 4096
 UNKNOWN = "und"
 
@@ -115,7 +116,7 @@ class Network:
         m, v = ({k: np.zeros_like(w) for k, w in self.w.items()} for _ in range(2))
         for step in range(1, steps + 1):
             some = np.minimum(np.searchsorted(upto, rng.random(min(rows, len(x))) * upto[-1], "right"), len(x) - 1)
-            loss, found = self.gradients(np.ascontiguousarray(x[some].T), np.ascontiguousarray(mask[some].T), y[some])
+            loss, found = self.gradients(np.ascontiguousarray(x[some].T).astype(np.intp), np.ascontiguousarray(mask[some].T), y[some])
             losses.append(loss)
             norm = np.sqrt(sum(float((g * g).sum()) for g in found.values()))
             pace = rate * min(1.0, 4 * (1 - (step - 1) / steps)) * min(1.0, 1 / max(norm, 1e-12))
@@ -161,54 +162,61 @@ def _level(counts: list[int], total: int) -> int:
     return max(1, *counts)
 
 
-def sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """(lang, SAMPLE_BYTES characters from the middle) of the texts to learn from.
+def _drawn(text: str, seed: int) -> list[bytes]:
+    """All stretches of ``text``, or DRAWS of them at random, each as likely as any other; short ends only where there is no other."""
+    data = text.encode()
+    n = max(1, len(data) // STRETCH)
+    some = range(n) if n <= DRAWS else sorted(np.random.default_rng(seed % (1 << 63)).choice(n, DRAWS, replace=False).tolist())
+    return [data[k * STRETCH : (k + 1) * STRETCH] for k in some]
+
+
+def sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """lang, hash, stretches of the texts to learn from; a row a text.
 
     What counts is a text with a letter, a language and an id outside the held-out fold; equal texts of a language count
     once. Every language gives all its texts or as many as any other, so that they are ``sample_docs`` in all; it gives one at
-    least, so there are more if there are more languages than that. Texts are drawn by their hash. One row per language,
-    then about two drawn texts for each that is kept and thirty more a language come to the driver.
+    least, so there are more if there are more languages than that. Texts are drawn by their hash and read whole in the
+    tasks, and a text gives DRAWS stretches at most. Two numbers of each drawn text come to the driver, about twice
+    ``sample_docs`` and thirty more a language.
     """
     known = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang")).where("lang is not null and doc_id is not null")
     known = known.where(F.col("text").rlike("\\p{L}") & ~_held_out(F.col("doc_id"))).withColumn("hash", F.xxhash64("text"))
+    spark = docs.sparkSession
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).collect()}
-    if not counts:
-        return []
-    level = _level(list(counts.values()), sample_docs)
-    shares = docs.sparkSession.createDataFrame([(k, min(1.0, (2.0 * level + 30) / max(1, n))) for k, n in counts.items()], "_lang string, share double")
+    level = _level(list(counts.values()), sample_docs) if counts else 0
+    shares = spark.createDataFrame([(k, min(1.0, (2.0 * level + 30) / max(1, n))) for k, n in counts.items()], "_lang string, share double")
     draw = F.pmod("hash", F.lit(1 << 32)) / F.lit(float(1 << 32))
     drawn = known.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).where(draw < F.col("share"))
-    middle = F.substring("text", F.greatest(F.lit(1), (F.char_length("text") / 2).cast("int") - SAMPLE_BYTES // 2), SAMPLE_BYTES)
-    rows = drawn.select("lang", "hash", middle.alias("text")).groupBy("lang", "hash").agg(F.min("text").alias("text")).collect()
-    found: list[tuple[str, str]] = []
-    taken = dict.fromkeys(counts, 0)
-    for r in sorted(rows, key=lambda r: (r["hash"] % (1 << 32), r["hash"], r["lang"])):
+    taken, chosen = dict.fromkeys(counts, 0), []
+    for r in sorted(drawn.select("lang", "hash").distinct().collect(), key=lambda r: (r["hash"] % (1 << 32), r["hash"], r["lang"])):
         if taken[r["lang"]] < level:
             taken[r["lang"]] += 1
-            found.append((r["lang"], r["text"]))
-    return found
+            chosen.append((r["lang"], r["hash"]))
+    chosen = spark.createDataFrame(chosen, "_lang string, _hash long")
+    rows = known.join(F.broadcast(chosen), (F.col("lang") == F.col("_lang")) & (F.col("hash") == F.col("_hash"))).select("lang", "hash", "text")
+
+    def batches(parts):
+        for part in common.sliced(parts):
+            found = [_drawn(*x) for x in zip(part.column(2).to_pylist(), part.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.binary()))], names=["lang", "hash", "stretches"])
+
+    return rows.mapInArrow(batches, "lang string, hash long, stretches array<binary>").dropDuplicates(["lang", "hash"])
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
     """A network of all languages of ``docs``, from a ``sample`` of the texts; None if no document has both."""
-    rows = sample(docs, sample_docs, id_col, text_col, lang_col)
-    labels = sorted({lang for lang, _ in rows})
-    place = {lang: k for k, lang in enumerate(labels)}
-    pieces, y = [], []
-    for lang, text in rows:
-        data = text.encode()
-        for k in range(0, len(data), STRETCH):
-            if len(data) - k >= STRETCH or not k:
-                pieces.append(data[k : k + STRETCH])
-                y.append(place[lang])
-    if not pieces:
+    rows = sorted(sample(docs, sample_docs, id_col, text_col, lang_col).collect(), key=lambda r: (r["lang"], r["hash"]))
+    if not rows:
         return None
-    x, mask = np.zeros((len(pieces), STRETCH), np.intp), np.zeros((len(pieces), STRETCH), np.float32)
-    for k, data in enumerate(pieces):
+    labels = sorted({r["lang"] for r in rows})
+    place = {lang: k for k, lang in enumerate(labels)}
+    pieces = [(data, place[r["lang"]]) for r in rows for data in r["stretches"]]
+    x, mask = np.zeros((len(pieces), STRETCH), np.uint8), np.zeros((len(pieces), STRETCH), np.float32)
+    for k, (data, _) in enumerate(pieces):
         x[k, : len(data)] = np.frombuffer(data, np.uint8)
         mask[k, : len(data)] = 1
     network = Network(labels)
-    network.train(x, mask, np.array(y))
+    network.train(x, mask, np.array([y for _, y in pieces]))
     return network
 
 

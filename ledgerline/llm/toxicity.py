@@ -29,6 +29,7 @@ FEATURES = 512
 LEAST_DOCS = 5
 STEPS, DECAY, RATE = 1500, 3e-5, 1.0
 BEGINNINGS = (3, 4, 5, 6)
+CACHED = 64  # no longer words or spans are kept in the caches of a task
 
 #: What a sign may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "*": "aeiou"}
@@ -185,11 +186,14 @@ class Restorer:
         out, at = [], 0
         for start, end, spaced in self.spans(text):
             span = text[start:end]
-            if span not in self.known:
-                if len(self.known) > 30_000:
-                    self.known.clear()
-                self.known[span] = self.decode(span, spaced)
-            out += [text[at:start], self.known[span]]
+            reading = self.known.get(span)
+            if reading is None:
+                reading = self.decode(span, spaced)
+                if len(span) <= CACHED:
+                    if len(self.known) > 30_000:
+                        self.known.clear()
+                    self.known[span] = reading
+            out += [text[at:start], reading]
             at = end
         return "".join(out) + text[at:] if out else text
 
@@ -203,10 +207,13 @@ def _held_out(doc_id: Column) -> Column:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """text, label of at most ``rows`` labelled documents outside the held-out fold; a doc_id labelled twice counts as toxic if once."""
+    """text, label of at most ``rows`` labelled documents outside the held-out fold, one of each doc_id.
+
+    A doc_id labelled twice counts as toxic if once; of texts with one doc_id the one with the least hash is taken."""
     known = labels.where("toxic is not null and doc_id is not null").where(~_held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return common.docs_view(docs).join(F.broadcast(known), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "label")
+    found = common.docs_view(docs).join(F.broadcast(known), "doc_id").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label")
+    return found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label")).drop("doc_id")
 
 
 class Model:
@@ -220,9 +227,11 @@ class Model:
         for word in set(_word.findall(self.restorer.restore(text))):
             own = known.get(word)
             if own is None:
-                if len(known) > 100_000:
-                    known.clear()
-                own = known[word] = tuple(f for f in _features(word) if f in weights)
+                own = tuple(f for f in _features(word) if f in weights)
+                if len(word) <= CACHED:
+                    if len(known) > 100_000:
+                        known.clear()
+                    known[word] = own
             found.update(own)
         return found
 

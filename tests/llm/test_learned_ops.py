@@ -1,5 +1,8 @@
 """Toxicity and language: held-out accuracy, gradients, decoding."""
 
+import itertools
+import math
+import random
 import zlib
 
 import numpy as np
@@ -120,10 +123,107 @@ def test_every_language_is_drawn(spark):
     rows = [(k, f"words of text number {k}", None) for k in range(3000)] + [(k, f"a text that is the {k}th", "a") for k in range(3000, 3600)]
     rows += [(k, "the same text again", "a") for k in range(4000, 4900)] + [(k, f"qx zq xxq {k} zzq", "rare") for k in range(5000, 5009)] + [(6000, "...", "none")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
-    found = language.sample(docs, 100)
+    found = [(r.lang, b"".join(r.stretches).decode()) for r in language.sample(docs, 100).collect()]
     rare = {t for i, t, lang in rows if lang == "rare" and zlib.crc32(str(i).encode()) % language.FOLDS != language.HELD_OUT}
     assert len(found) == len(set(found)) == 100 and {t for lang, t in found if lang == "rare"} == rare
-    assert {lang for lang, _ in language.sample(docs, 1)} == {"a", "rare"}
+    assert {r.lang for r in language.sample(docs, 1).collect()} == {"a", "rare"}
     network = language.fit(docs)
     best = {r.doc_id: r.lang_pred for r in language.identify(docs, network).collect()}
     assert all(best[k] == "rare" for k in range(5000, 5009)) and best[3001] == "a"
+
+
+def test_stretches_come_from_all_of_a_text(spark):
+    text = "".join(f"{k:05d} " for k in range(40_000))
+    found = language._drawn(text, -5)
+    at = [text.index(x.decode()) for x in found]
+    assert len(set(at)) == language.DRAWS and all(k % language.STRETCH == 0 for k in at)
+    reached = {text.index(x.decode()) * 10 // len(text) for seed in range(20) for x in language._drawn(text, seed)}
+    assert reached == set(range(10))
+    assert b"".join(language._drawn(text[:960], 1)) == text[:960].encode() and language._drawn("é", 1) == ["é".encode()]
+    few = spark.range(200_000).selectExpr("id as doc_id", "concat('text number ', id) as text", "if(id % 100 = 0, concat('l', id % 300), null) as lang")
+    assert language.sample(few, 600).count() == 600  # drawn from the labelled rows, though they are one in a hundred
+
+
+def test_repeated_ids_do_not_grow_the_sample(spark):
+    docs = spark.range(5000).selectExpr("id % 10 as doc_id", "concat('text ', id) as text")
+    labels = spark.range(10).selectExpr("id as doc_id", "id % 2 as toxic")
+    assert toxicity._sample(docs, labels, 20).count() <= 10
+    assert toxicity._sample(docs, labels, 3).count() == 3
+    assert toxicity._sample(docs.repartition(3), labels, 20).collect() and sorted(map(tuple, toxicity._sample(docs.repartition(3), labels, 20).collect())) == sorted(map(tuple, toxicity._sample(docs, labels, 20).collect()))
+
+
+def test_caches_hold_no_long_words(spark):
+    model = toxicity.Model(toxicity.Restorer(np.ones(28**3, np.int64)), {"a-": 1.0}, 0.0)
+    model.score("x1y" * 5000 + " " + "abc" * 5000 + " short sh0rt")
+    assert model.restorer.known.keys() == {"sh0rt"} and "short" in model.of_word
+    assert all(len(x) <= toxicity.CACHED for x in model.of_word)
+
+
+def test_best_readings_are_the_best_of_all(spark):
+    rng = random.Random(6)
+    counts = np.array([rng.randint(0, 60) for _ in range(28**3)])
+    restorer = toxicity.Restorer(counts)
+
+    def price(reading):
+        a = b = 0
+        total = 0.0
+        for char in reading:
+            symbol = toxicity._class_of(char)
+            if symbol or b:
+                total += restorer.cost[a][b][symbol]
+                a, b = b, symbol
+            else:
+                a = 0
+        return total + (restorer.cost[a][b][0] if b else 0.0)
+
+    for _ in range(400):
+        spaced = rng.random() < 0.4
+        span = (" " if spaced else "").join(rng.choice("abs0134@$!|*eett") for _ in range(rng.randint(2, 4 if spaced else 6)))
+        ways = itertools.product(*(restorer.readings(span, k, spaced) for k in range(len(span))))
+        best = min((sum(cost for _, cost in way) + price("".join(char for char, _ in way)), "".join(char for char, _ in way)) for way in ways)
+        assert restorer.decode(span, spaced) == best[1], span
+
+
+def test_scores_by_hand(tables, model):
+    docs, _ = tables
+    for r, s in zip(docs.limit(60).collect(), toxicity.score(docs.limit(60), model).collect()):
+        assert r.doc_id == s.doc_id
+        words, now = set(), ""
+        for c in model.restorer.restore(r.text or "") + " ":
+            if c.isalpha():
+                now += c
+            elif now:
+                words.add(now)
+                now = ""
+        seen = {w for w in words} | {w[:k] + "-" for w in words for k in (3, 4, 5, 6) if len(w) > k}
+        z = model.bias + math.fsum(model.weights.get(f, 0) for f in seen)
+        assert abs(s.score - 1 / (1 + math.exp(-z))) < 1e-6
+
+
+def test_network_by_loops():
+    net = language.Network(["a", "b", "c"], 3, seed=4)
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+
+    def states(data, d):
+        h, out = [0.0] * 3, []
+        for byte in data if d == "f" else data[::-1]:
+            given = [net.w["x" + d][byte][k] + net.w["a" + d][k] for k in range(9)]
+            pushed = [sum(h[j] * net.w["h" + d][j][k] for j in range(3)) for k in range(9)]
+            z, r = [sigmoid(given[k] + pushed[k]) for k in range(3)], [sigmoid(given[k + 3] + pushed[k + 3]) for k in range(3)]
+            n = [math.tanh(given[k + 6] + r[k] * pushed[k + 6]) for k in range(3)]
+            h = [(1 - z[k]) * n[k] + z[k] * h[k] for k in range(3)]
+            out.append(h)
+        return out if d == "f" else out[::-1]
+
+    for data in (b"x", "é\n".encode(), bytes(range(256)), b"some longer text " * 30):
+        total = [0.0] * 3
+        for at in range(0, len(data), language.STRETCH):
+            part = data[at : at + language.STRETCH]
+            # a short stretch is padded with bytes of 0 behind, which the backward pass reads first
+            back = states(part + bytes(language.STRETCH - len(part)), "b")
+            for f, b in zip(states(part, "f"), back):
+                scores = [sum(v * net.w["o"][k][c] for k, v in enumerate(f + b)) + net.w["c"][c] for c in range(3)]
+                logs = [x - math.log(sum(map(math.exp, scores))) for x in scores]
+                total = [t + x for t, x in zip(total, logs)]
+        shares = [math.exp(t / len(data)) for t in total]
+        assert np.allclose(net.pooled([data])[0], np.array(shares) / sum(shares), atol=1e-4)
