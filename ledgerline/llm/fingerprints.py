@@ -17,8 +17,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import common
@@ -131,32 +132,29 @@ FIELDS = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerp
 def compare_with_next(docs: DataFrame, levels: tuple = LEVELS, bins: int = BINS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    The next row is that of the next greater (doc_id, text), nulls first and null texts as empty; after the last comes the
-    first. A row that is alone is its own next. Repeated rows give a row each and are each other's next; an empty table
-    gives none; other columns are ignored.
+    The next row is that of the next greater (doc_id, hash of the text, text), nulls first and null texts as empty; after the
+    last comes the first. A row that is alone is its own next. Repeated rows give a row each and are each other's next; an
+    empty table gives none; other columns are ignored.
 
     The order is had without one big sort: ids are cut into ranges at approximate quantiles, each range is sorted where
     it lies, and the first row of each range is sent to the range before it too. A range goes to one task, which keeps
-    two texts and a batch; rows of one id stay together. Texts are shuffled once.
+    two texts and a batch; an id with more rows than a range holds, null too, is cut further by the hash. Texts are shuffled once.
     """
     spark = docs.sparkSession
     view = common.docs_view(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    place = _ranges(view.select("doc_id"), parts * RANGES_A_PART)
-    ranged = view.withColumn("range", place)
-    ends = ranged.groupBy("range").agg(F.min("doc_id").alias("first"), F.max(F.col("doc_id").isNull()).alias("nulls")).orderBy("range").collect()  # a row a range
+    ranged = _ranged(view, parts * RANGES_A_PART)
+    nulls = F.max(F.col("doc_id").isNull())
+    ends = ranged.groupBy("range").agg(F.when(~nulls, F.min("doc_id")).alias("first")).orderBy("range").collect()  # a row a range
     if not ends:
         return view.mapInArrow(lambda parts: iter(()), common.with_id(view, FIELDS))
-    firsts, before = [None] * (ends[-1]["range"] + 1), [0] * (ends[-1]["range"] + 1)
-    for k, end in enumerate(ends):
-        firsts[end["range"]], before[end["range"]] = end["first"], ends[k - 1]["range"]
-    kind = view.schema["doc_id"].dataType
-    first = F.get(F.array(*(F.lit(x).cast(kind) for x in firsts)), F.col("range"))
-    is_first = F.when((F.col("range") == 0) & F.lit(ends[0]["nulls"]), F.col("doc_id").isNull()).otherwise(F.col("doc_id") == first)
-    own = F.struct(F.col("range"), F.lit(False).alias("guest"))
-    guest = F.struct(F.get(F.array(*map(F.lit, before)), F.col("range")).alias("range"), F.lit(True).alias("guest"))
-    sent = ranged.select("doc_id", "text", F.explode(F.when(is_first, F.array(own, guest)).otherwise(F.array(own))).alias("to"))
-    sent = sent.select("doc_id", "text", "to.*").repartition(parts, "range").sortWithinPartitions("range", "guest", "doc_id", "text")
+    schema = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("first", view.schema["doc_id"].dataType), T.StructField("before", T.IntegerType())])
+    table = spark.createDataFrame([(e["range"], e["first"], ends[k - 1]["range"]) for k, e in enumerate(ends)], schema)  # RANGES_A_PART rows a part at most
+    digest = F.xxhash64("text")
+    firsts = ranged.join(F.broadcast(table), (F.col("range") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("first")))
+    guests = firsts.groupBy("before", "doc_id").agg(F.min_by("text", F.struct(digest, "text")).alias("text"))
+    sent = ranged.select("doc_id", "text", "range", F.lit(False).alias("guest")).union(guests.select("doc_id", "text", "before", F.lit(True)))
+    sent = sent.repartition(parts, "range").sortWithinPartitions("range", "guest", "doc_id", digest, "text")
 
     def batches(found: Iterator[pa.RecordBatch]):
         waiting, chars = [], 0
@@ -169,26 +167,42 @@ def compare_with_next(docs: DataFrame, levels: tuple = LEVELS, bins: int = BINS,
         if waiting:
             yield _compared(waiting, levels, bins, id_type)
 
-    id_type = to_arrow_type(kind)
-    return sent.mapInArrow(batches, common.with_id(view, FIELDS))
+    id_type = to_arrow_type(view.schema["doc_id"].dataType)
+    return sent.select("doc_id", "text", "range", "guest").mapInArrow(batches, common.with_id(view, FIELDS))
 
 
-def _ranges(ids: DataFrame, n: int) -> Column:
-    """The number, 0 to ``n`` - 1, of the range that ``doc_id`` is in. Cuts come from a bounded sample of ids: they even
-    out the ranges and decide nothing else. Null is in range 0."""
+def _ranged(view: DataFrame, n: int) -> DataFrame:
+    """``view`` with the number, 0 to ``n`` - 1, of the ``range`` that a row is in.
+
+    Cuts come from a bounded sample of ids: they even out the ranges and decide nothing else. An id that is several cuts is
+    spread over as many ranges by the hash of its texts. The cuts are one row of two arrays, searched in two short steps.
+    """
+    ids = view.select("doc_id")
     total = ids.count()
-    sample = ids.sample(min(1.0, IDS_A_RANGE * n / total), 11).where("doc_id is not null") if total else ids
-    seen = sorted(r[0] for r in sample.limit(2 * IDS_A_RANGE * n).collect())
-    cuts = sorted({seen[len(seen) * k // n] for k in range(1, n)}) if seen else []
-    if not cuts:
-        return F.lit(0)
-    width = max(1, int(len(cuts) ** 0.5))
-    rows = [cuts[k : k + width] for k in range(0, len(cuts), width)]  # two short searches instead of a long one
+    sample = ids.sample(min(1.0, IDS_A_RANGE * n / total), 11) if total else ids
+    seen = sorted((r[0] for r in sample.limit(2 * IDS_A_RANGE * n).collect()), key=lambda x: (x is not None, x))
+    cuts = [seen[len(seen) * k // n] for k in range(1, n)] if seen else []
+    known = [x for x in cuts if x is not None]
+    several = {x for x, y in zip(known, known[1:]) if x == y}
+    cuts, known = [None] * (len(cuts) - len(known)), [x for k, x in enumerate(known) if x in several or k == 0 or x != known[k - 1]]
+    if not cuts and not known:
+        return view.withColumn("range", F.lit(0))
+    width = max(1, int(len(known) ** 0.5))
+    rows = [known[k : k + width] for k in range(0, len(known), width)]
+    kind = T.ArrayType(view.schema["doc_id"].dataType)
+    schema = T.StructType([T.StructField("_heads", kind), T.StructField("_rows", T.ArrayType(kind))])
+    table = view.sparkSession.createDataFrame([([r[0] for r in rows], rows)], schema)
     upto = lambda values: F.size(F.filter(values, lambda x: x <= F.col("doc_id")))
-    lists = F.array(*(F.array(*map(F.lit, r)) for r in rows))
-    row = F.greatest(upto(F.array(*(F.lit(r[0]) for r in rows))) - 1, F.lit(0))
-    found = common.let(row, lambda k: k * width + upto(F.get(lists, k)))
-    return F.when(F.col("doc_id").isNull(), 0).otherwise(found).cast("int")
+    found = common.let(F.greatest(upto(F.col("_heads")) - 1, F.lit(0)), lambda k: k * width + upto(F.get("_rows", k)))
+    place = F.lit(len(cuts)) + (found if known else 0)
+    share = F.xxhash64("text") / F.lit(2.0**64) + 0.5
+    spread = lambda last, times: last - F.least(F.floor((1 - share) * times).cast("int"), times - 1)
+    if several:
+        times = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for y in several for x in (y, known.count(y)))), F.col("doc_id")), F.lit(1))
+        place = F.when(F.col("doc_id").isin(*several), spread(place, times)).otherwise(place)
+    of_null = spread(F.lit(len(cuts)), F.lit(len(cuts) + 1)) if cuts else F.lit(0)
+    found = view.crossJoin(F.broadcast(table))  # one row
+    return found.select(*view.columns, F.when(F.col("doc_id").isNull(), of_null).otherwise(place).cast("int").alias("range"))
 
 
 def _with_next(found: Iterator[pa.RecordBatch]):

@@ -6,6 +6,7 @@ import time
 
 import numpy as np
 import pytest
+import xxhash
 
 from ledgerline.llm import fingerprints, html_text
 
@@ -190,9 +191,10 @@ def test_shared_parts_share_names():
     assert fingerprints.likeness(*fingerprints.sketches(["", ""])) == 1
 
 
+@pytest.mark.parametrize("hot", [[], [(77, f"of one id {k}") for k in range(400)] + [(None, f"of none {k}") for k in range(400)]])
 @pytest.mark.parametrize("parts", [1, 5])
-def test_next_documents(spark, parts):
-    rows = [(k * 7 % 301, f"text number {k} " * (k % 13)) for k in range(300)] + [(5, "twice"), (5, "twice"), (None, "no id"), (7_000, None)]
+def test_next_documents(spark, parts, hot):
+    rows = [(k * 7 % 301, f"text number {k} " * (k % 13)) for k in range(300)] + [(5, "twice"), (5, "twice"), (None, "no id"), (7_000, None)] + hot
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, range string").repartition(4)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", parts)
@@ -200,7 +202,11 @@ def test_next_documents(spark, parts):
         found = fingerprints.compare_with_next(docs).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    order = sorted(((i if i is not None else -1, t or "") for i, t in rows))
+    order = sorted(((i if i is not None else -1, t or "") for i, t in rows), key=lambda x: (x[0], xxhash.xxh64_intdigest(x[1].encode(), 42) + 2**63 & 2**64 - 1))
+    if hot:
+        view = fingerprints.common.docs_view(docs).select("doc_id", fingerprints.F.coalesce("text", fingerprints.F.lit("")).alias("text"))
+        ranges = [r["count"] for r in fingerprints._ranged(view, 40).groupBy("range").count().collect()]
+        assert max(ranges) < len(rows) / 8 and sum(ranges) == len(rows)
     expected = []
     for k, (i, t) in enumerate(order):
         n, cut = order[(k + 1) % len(order)][1], len(t) // 4
@@ -210,6 +216,60 @@ def test_next_documents(spark, parts):
     assert sorted((r.doc_id if r.doc_id is not None else -1, *r[1:]) for r in found) == sorted(expected)
 
 
+def plain_fingerprint(text, levels, bins):
+    """By loops over Python numbers."""
+    top = 2**64 - 1
+
+    def mix(x):
+        for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = (x ^ (x >> 33)) * factor & top
+        return x ^ (x >> 33)
+
+    def toss(labels):
+        out = []
+        for k, x in enumerate(labels):
+            other = labels[k - 1] if k else x ^ top
+            place = next(b for b in range(64) if (x ^ other) >> b & 1)
+            out.append(2 * place + (x >> place & 1))
+        return out
+
+    golden, least = 0x9E3779B97F4A7C15, [0xFFFF] * bins
+    symbols = [mix(ord(c) + 1) for c in text]
+    for level in range(1, max(levels) + 1):
+        if not symbols:
+            break
+        runs = []
+        for x in symbols:
+            if runs and runs[-1][0] == x:
+                runs[-1][1] += 1
+            else:
+                runs.append([x, 1])
+        symbols = [mix((x + n * golden) & top) if n > 1 else x for x, n in runs]
+        labels = symbols
+        for _ in range(3):
+            labels = toss(labels)
+        phrases = []
+        for k, x in enumerate(symbols):
+            inner = 1 < k < len(symbols) - 1
+            if not phrases or inner and labels[k] < labels[k - 1] and labels[k] <= labels[k + 1]:
+                phrases.append([])
+            phrases[-1].append(x)
+        symbols = [mix(sum(x * pow(golden, k + 1, 2**64) for k, x in enumerate(p)) & top) for p in phrases]
+        if level in levels:
+            for x in symbols:
+                x = mix(x ^ level)
+                at = (x >> 32) % bins
+                least[at] = min(least[at], x & 0xFFFF, 0xFFFE)
+    return "".join(f"{x:04x}" for x in least)
+
+
+def test_sketches_against_loops():
+    rnd = random.Random(1)
+    texts = ["", "a", "ab", "aa", "aab", "abc", "🙂" * 9] + ["".join(rnd.choice("abc é漢\n" + "a" * rnd.choice([0, 9])) for _ in range(rnd.randint(1, 300))) for _ in range(150)]
+    assert fingerprints.sketches(texts) == [plain_fingerprint(t, fingerprints.LEVELS, fingerprints.BINS) for t in texts]
+    assert fingerprints.sketches(texts, (1, 3), 8) == [plain_fingerprint(t, (1, 3), 8) for t in texts]
+
+
 def test_few_documents(spark):
     docs = spark.createDataFrame([(1, "alone with no next one")], "doc_id long, text string")
     assert fingerprints.compare_with_next(docs).first().near_next == 1
