@@ -49,6 +49,28 @@ def test_cascade_orders_by_rejections_per_cost_and_order_changes_no_verdict(spar
     assert rows == {tuple(k for k in range(4000) if k % 2 and k % 100 != 1)}
 
 
+def test_costs_stand_above_the_clock(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('some text with words ', 40) as text")
+    words = "size(split(text, '[ ]+')) > 0"
+    rules = (
+        quality.Rule("dear", f"{words} and {words.replace('+', '{1,2}')} and {words.replace('+', '{1,3}')} and doc_id % 3 = 0"),
+        quality.Rule("cheap", "doc_id % 3 = 1"),
+        quality.Rule("fair", "length(replace(text, 'with', 'w')) > 0 and doc_id % 3 = 2"),
+    )
+    for seed in (1, 2, 3):
+        order = quality.ordered(docs, lambda d: d, rules, seed=seed)
+        cost = {r.name: c for r, c, _ in order}
+        assert [r.name for r, _, _ in order] == ["cheap", "fair", "dear"] and cost["dear"] > 3 * cost["fair"] > 9 * cost["cheap"]
+
+
+def test_only_rows_that_reach_the_cascade_are_asked(spark):
+    docs = spark.range(4000).selectExpr("id as doc_id", "'x' as text")
+    rules = (quality.Rule("one", "doc_id % 10 < 3"), quality.Rule("two", "doc_id % 10 = 9"))
+    shares = {r.name: s for r, _, s in quality.ordered(docs, lambda d: d, rules, asked="doc_id % 10 >= 3")}
+    assert shares["one"] == 0 and abs(shares["two"] - 1 / 7) < 0.04
+    assert [r.name for r, _, _ in quality.ordered(docs, lambda d: d, rules, asked="false")] == ["one", "two"]
+
+
 ASSIGN = re.compile(
     r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
