@@ -41,10 +41,13 @@ def let(value: Column, body) -> Column:
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
-    """Use the shared folder of ``spark.checkpoint.dir``; a folder of our own only where the session has none."""
+    """Use the shared folder of ``spark.checkpoint.dir``; a folder of our own only in local mode, where one machine is all there is."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(shared or "/tmp/checkpoints")
 
 
 def materialised(df: DataFrame) -> DataFrame:
