@@ -12,7 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -22,6 +22,9 @@ RADIUS = 2
 SHINGLE = 3
 SEED = 42
 BLOCK = 1 << 16
+VARIANTS_A_PART = 4_000_000
+BUCKET_BITS = 1 << 15  # of one bitmap that bitmap_construct_agg makes
+BITS = 1 << 26
 
 
 def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED) -> int:
@@ -61,8 +64,8 @@ def links(fps: DataFrame) -> DataFrame:
     """Links (a, b) between distinct values of ``fp`` that differ in one or two bits, enough to connect all that are."""
     masks = F.array(*(F.lit(0 if k < 0 else (1 << k) - (1 << 64 if k == 63 else 0)).cast("long") for k in range(-1, 64)))
     # Dealt out before and after they grow 65-fold: nearly all variants are single, so summing them up before the shuffle
-    # would only fill memory, and few rows before must not mean few tasks.
-    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # would only fill memory, and few rows before must not mean few tasks. Their number follows from that of the fingerprints.
+    parts = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-65 * fps.count() // VARIANTS_A_PART))
     emitted = fps.repartition(parts, "fp").select("fp", F.explode(masks).alias("mask")).select(F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), "mask")
     emitted = emitted.repartition(parts, "variant")
     met = emitted.groupBy("variant").agg(F.bit_or("mask").alias("flips"), F.max(F.col("mask") == 0).alias("own"))
@@ -96,17 +99,40 @@ def _components(marked: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their component: one each.
 
-    It is the one with the least id, null ids last, and of several texts under that id the one with the least XXH64. Rows
-    alike in id and text are kept once.
+    It is the one with the least id, null ids last, and of several texts under that id the one with the least XXH64. Of rows
+    alike in id and text the one whose other columns hash least is kept. Null and empty texts stand for each other, as they
+    share fingerprint zero; an empty table gives no rows; no name of a column can clash.
+
+    Texts hardly move: which rows stay is settled on (id, XXH64 of the text) alone, and two bitmaps of BITS bits, of keys
+    that stay and of keys that go, are sent to all tasks, 2 * BITS / 8 bytes at any size of ``docs``. A row whose bit is set in one
+    of them is settled where it is read; only rows with both set, by a clash or as repeated rows, are shuffled and compared exactly.
     """
     marked = common.materialised(fingerprints(docs, id_col, text_col, hashed=True))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    best = marked.join(_components(marked), "fp").groupBy("root").agg(F.min(order).alias("best"))
-    pair = ["_row", "_text"]  # two hashes, never null: the join's keys are also those of dropDuplicates
-    kept = best.select(F.xxhash64("best.doc_id", "best.text_hash").alias("_row"), F.col("best.text_hash").alias("_text"))
-    hashes = F.xxhash64(docs[text_col].cast("string"))
-    rows = docs.select("*", F.xxhash64(docs[id_col], hashes).alias("_row"), hashes.alias("_text"))
-    return rows.join(kept, pair, "left_semi").dropDuplicates(pair).select(*docs.columns)
+    key = F.xxhash64("doc_id", "text_hash").alias("key")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    best = marked.join(_components(marked), "fp").groupBy("root").agg(F.min(order).alias("best")).select("best.*")
+    kept = common.materialised(best.select(key, "text_hash"))
+    keys = marked.select(key, "text_hash").groupBy("key", "text_hash").agg((F.count("*") > 1).alias("repeated"))
+    keys = keys.join(kept.withColumn("stays", F.lit(True)), ["key", "text_hash"], "left")
+    place = F.pmod("key", F.lit(BITS))
+    bucket, bit = F.floor(place / BUCKET_BITS).cast("long").alias("bucket"), place % BUCKET_BITS
+    stays, goes = F.when(F.col("stays"), bit), F.when(F.col("stays").isNull() | F.col("repeated"), bit)
+    maps = common.materialised(keys.groupBy(bucket).agg(F.bitmap_construct_agg(stays).alias("stay"), F.bitmap_construct_agg(goes).alias("go")))
+
+    text_hash = F.xxhash64(docs[text_col].cast("string"))
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind]
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), text_hash.alias("text_hash"), F.xxhash64(docs[id_col], text_hash).alias("key"), F.xxhash64(*(docs[c] for c in plain)).alias("all"))
+    rows = rows.withColumn("bucket", bucket).join(F.broadcast(maps), "bucket").select("row", "key", "text_hash", "all", _has("stay", bit).alias("stay"), _has("go", bit).alias("go"))
+    # Not a semi join: the optimizer would move one below the bitmaps, where it shuffles all texts. Keys in kept are distinct.
+    doubtful = rows.where("stay and go").join(kept, ["key", "text_hash"])
+    settled = doubtful.groupBy("key", "text_hash").agg(F.min_by("row", "all").alias("row"))
+    return rows.where("stay and not go").select("row.*").union(settled.select("row.*"))
+
+
+def _has(bitmap: str, bit: Column) -> Column:
+    """Whether ``bit`` is set in the binary column ``bitmap``."""
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, (bit % 8).cast("int")) % 2 == 1
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

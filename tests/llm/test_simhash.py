@@ -102,9 +102,28 @@ def test_documents(spark, rows):
     assert simhash.near_duplicates(docs.where("false")).count() == 0
 
 
-def test_one_row_stands_for_each_component(spark):
+@pytest.mark.parametrize("bits", [simhash.BITS, simhash.BUCKET_BITS, 8])
+def test_one_row_stands_for_each_component(spark, monkeypatch, bits):
+    monkeypatch.setattr(simhash, "BITS", bits)  # with 8 bits nearly all rows are in doubt
     long, other = "one two three four five six seven eight", "nothing here is like the rest of it at all"
     rows = [(5, long, "x"), (5, other, "x"), (3, other, "x"), (None, "alone without an id here", "x"), (None, "alone without an id here", "x"), (None, long, "x"), (None, "another text of its own", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, more string").repartition(3)
     kept = sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(docs).collect())
     assert kept == [(0, "alone without an id here"), (0, "another text of its own"), (3, other), (5, long)]
+    for order in (rows, rows[::-1]):
+        found = simhash.keep_one(spark.createDataFrame(order, "doc_id long, text string, more string").coalesce(1)).collect()
+        assert sorted((r.doc_id or 0, r.text) for r in found) == kept
+
+
+@pytest.mark.parametrize("bits", [simhash.BITS, 8])
+def test_kept_rows_have_their_own_columns(spark, monkeypatch, bits):
+    monkeypatch.setattr(simhash, "BITS", bits)
+    names = ["doc_id", "text", "row", "key", "bucket", "stay", "go", "all", "fp", "root", "text_hash", "_row", "_text"]
+    texts = ["one two three four five six", "one two three four five six", None, "", "quite unlike any other text of these"] * 40
+    rows = [(k % 150, t, *(f"{n} {k}" for n in names[2:])) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ", ".join(f"{n} {'long' if n == 'doc_id' else 'string'}" for n in names))
+    found = simhash.keep_one(docs.repartition(5)).collect()
+    assert found and found[0].asDict().keys() == set(names)
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, simhash.keep_one(docs.repartition(2)).collect()), key=str)
+    assert len(found) == 3 and {tuple(r) for r in found} <= set(rows) and {r.doc_id for r in found} == {0, 2, 4}
+    assert simhash.keep_one(docs.where("false")).count() == 0
