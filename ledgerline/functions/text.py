@@ -82,15 +82,25 @@ def sanitize_name(c: Column, fallback: Column | None = None) -> Column:
     return name if fallback is None else F.coalesce(F.nullif(name, F.lit("")), fallback)
 
 
+#: Letters with accents of Latin-1 and Latin Extended-A, and what is left of each without them.
+_accented = {chr(c): plain for c in range(0xC0, 0x180) if len(plain := unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()) == 1}
+
+
 @F.pandas_udf(T.StringType())
-def slug(names: pd.Series) -> pd.Series:
-    """Letters and digits of ASCII in lower case, what lies between as one hyphen; accents go. Spark has no Unicode decomposition."""
+def _decomposed(names: pd.Series) -> pd.Series:
+    """Compatibility decomposition without what is not ASCII; Spark has none."""
+    return names.map(lambda x: unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode(), na_action="ignore")
+
 
-    def of(name) -> str:
-        plain = unicodedata.normalize("NFKD", name or "").encode("ascii", "ignore").decode().lower()
-        return "-".join("".join(ch if ch.isalnum() else " " for ch in plain).split()) or "unnamed"
+def slug(c: Column, any_script: bool = False) -> Column:
+    """Letters and digits of ASCII in lower case, what lies between as one hyphen; accents go; 'unnamed' if nothing is left.
 
-    return names.map(of, na_action=None)
+    Letters up to U+017F lose their accents by a table; other characters beyond ASCII are dropped, or with ``any_script``
+    decomposed first, in Python.
+    """
+    text = F.coalesce(c, F.lit(""))
+    plain = _decomposed(text) if any_script else F.regexp_replace(F.translate(text, "".join(_accented), "".join(_accented.values())), "[^\\x00-\\x7F]", "")
+    return F.coalesce(F.nullif(F.btrim(F.regexp_replace(F.lower(plain), "[^a-z0-9]+", "-"), F.lit("-")), F.lit("")), F.lit("unnamed"))
 
 
 def unc_path(host: str, share: str, path: Column) -> Column:
@@ -129,13 +139,11 @@ def parse_id(c: Column, stem: str) -> Column:
 
 
 def null_alias(c: Column, stem: str) -> Column:
-    """The alias of an id of ours that says nothing ('', none, null in any case), else null; also in ids out of form."""
-    text, pattern = strip(F.coalesce(c, F.lit(""))), f"^[0-9]+-(?i:\\Q{stem}\\E)-(.*)$"
-    alias = strip(F.regexp_extract(text, pattern, 1))
-    tail = F.lower(text)
-    broken = F.when(F.endswith(tail, F.lit(f"-{stem.lower()}-none")), F.right(text, F.lit(4))).when(F.endswith(tail, F.lit(f"-{stem.lower()}-null")), F.right(text, F.lit(4)))
-    broken = broken.when(F.endswith(tail, F.lit(f"-{stem.lower()}-")), "")
-    return F.when(text.rlike(pattern), F.when(F.lower(alias).isin(*NULL_ALIASES), alias)).otherwise(broken)
+    """The alias of an id of ours that says nothing ('', none, null in any case), else null; also where no code stands before the stem."""
+    words, coded = "|".join(sorted(NULL_ALIASES, key=len, reverse=True)), f"[0-9]+-\\Q{stem}\\E-"
+    pattern = f"(?isU)^(?:{coded}\\s*|(?!{coded}).*-\\Q{stem}\\E-)({words})$"
+    text = strip(F.coalesce(c, F.lit("")))
+    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1))
 
 
 def mapped(c: Column, words: dict[str, str], otherwise: Column | str | None = None) -> Column:

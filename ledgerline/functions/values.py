@@ -47,18 +47,17 @@ def snap(x: Column, known: list[float], within: float = 0.25) -> Column:
     return F.get(F.filter(F.array(*map(F.lit, known)), lambda k: F.abs(k - x) < within), 0)
 
 
+#: The names of the verdicts on a field of view; the last four by whether it is square as given (1) and swapped (2).
+SQUARE, NO_SPACING = "square_ambiguous", "no_pixelspacing"
+BY_ORDER = ("neither", "matches_unswapped", "matches_swapped", "either")
+
+
 def field_of_view(rows: Column, cols: Column, first: Column, second: Column, within: float = 0.05) -> Column:
-    """Which order of two spacings makes the field square."""
-    close = lambda a, b: F.abs(a - b) / F.greatest(a, b) < within
-    plain, swapped = close(rows * first, cols * second), close(rows * second, cols * first)
-    return (
-        F.when(rows == cols, "square")
-        .when(first.isNull() | second.isNull(), "no spacing")
-        .when(plain & ~swapped, "as given")
-        .when(swapped & ~plain, "swapped")
-        .when(plain & swapped, "either")
-        .otherwise("neither")
-    )
+    """Which order of two spacings makes the field square. Its sides are as rows to cols times, or swapped over, the spacings' proportion."""
+    shape, grid = rows / cols, F.try_divide(first, second)
+    square = lambda sides: F.coalesce(F.least(sides, F.try_divide(F.lit(1.0), sides)) > 1 - within, F.lit(False)).cast("int")
+    order = square(shape * grid) + 2 * square(F.try_divide(shape, grid))
+    return F.when(shape == 1, SQUARE).when(grid.isNull(), NO_SPACING).otherwise(F.element_at(F.array(*map(F.lit, BY_ORDER)), order + 1))
 
 
 def index_selection(c: Column) -> Column:
