@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +78,26 @@ def matches(filters: Filters, blob: Column, day: Column) -> Column:
     return found
 
 
+def split(filters: Filters, known: tuple[str, ...]) -> tuple[Filters, Filters]:
+    """``filters`` in two that ask the same together: what the ``known`` columns and the day tell, and the rest."""
+    own = lambda columns: set(columns) <= set(known)
+    halves = []
+    for early in (True, False):
+        halves.append(
+            replace(
+                filters,
+                text="" if early else filters.text,
+                equal=tuple(f for f in filters.equal if own([f[0]]) == early),
+                contain=tuple(f for f in filters.contain if own([f[0]]) == early),
+                either=tuple(f for f in filters.either if own(f[0]) == early),
+                lists=tuple(f for f in filters.lists if own(f[0]) == early),
+                since=filters.since if early else None,
+                until=filters.until if early else None,
+            )
+        )
+    return halves[0], halves[1]
+
+
 def page(rows: DataFrame, day: str, tie: str, limit: int = PAGE_LIMIT, offset: int = 0) -> DataFrame:
     """Newest first, blank days last, ties by ``tie``; at most PAGE_LIMIT rows from ``offset``.
 

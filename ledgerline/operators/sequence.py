@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.sources.tables import materialised
+
 
 def assign_ids(cases: DataFrame, prefix: str, order: str, taken: DataFrame, reserved: DataFrame | None = None) -> DataFrame:
     """``cases`` with ``id``: their prefix and the next free numbers in ``order``, after those of ``taken`` (prefix, n) and,
@@ -44,3 +46,16 @@ def after_limit(rows: DataFrame, order: str, counts: Column, limit: int) -> Data
     last = rows.where(counts).select(F.col(order).alias("_o")).orderBy("_o").limit(limit).agg(F.count("*").alias("_n"), F.max("_o").alias("_last"))
     deferred = (F.col("_n") == limit) & (F.col(order) > F.col("_last"))
     return rows.crossJoin(F.broadcast(last)).withColumn("deferred", deferred).drop("_n", "_last")
+
+
+def placed(rows: DataFrame, *order: Column, name: str = "place") -> DataFrame:
+    """``rows`` with their place, from 1, in ``order``, which leaves no ties.
+
+    Spark deals them out by ranges and sorts each; what that gives is written once, then counts of the ranges before are
+    added. No task sorts all rows.
+    """
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    ranged = materialised(ranged, "places").withColumns({"_part": F.expr("_at div 8589934592"), "_in": F.expr("_at % 8589934592")})
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return ranged.join(F.broadcast(before), "_part").select(*rows.columns, (F.col("_before") + F.col("_in") + 1).alias(name))  # a row a range

@@ -27,9 +27,10 @@ def _found(rows: DataFrame, key: str, line: str, rule: str, message: Column, sev
 
 
 def duplicates(rows: DataFrame, key: str, line: str) -> DataFrame:
-    same = Window.partitionBy(key)
-    rows = rows.select(key, line, F.min(line).over(same).alias("_first"))
-    return _found(rows.where(F.col(line) > F.col("_first")), key, line, "duplicate", F.concat(F.lit("first on line "), F.col("_first").cast("string")))
+    """Keys that come again, each with the line it first stands on. First lines are counted before rows are shuffled."""
+    several = rows.groupBy(F.col(key).alias("_k")).agg(F.min(line).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    found = rows.select(key, line).join(several, F.col(key).eqNullSafe(F.col("_k"))).where(F.col(line) > F.col("_first"))
+    return _found(found, key, line, "duplicate", F.concat(F.lit("first on line "), F.col("_first").cast("string")))
 
 
 def grammar(rows: DataFrame, key: str, line: str, pattern: str = ID_PATTERN) -> DataFrame:

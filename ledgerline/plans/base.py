@@ -38,9 +38,20 @@ def query(sql: str | None = None):
     return add
 
 
-def packed_suppliers(t: Tables) -> DataFrame:
-    """order_key, cell: the suppliers of an order's lines as one packed cell, repeats included, in line order."""
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey"))).alias("lines"))
+FEW = 2_000_000
+
+
+def only_of(rows: DataFrame, key: str, some: DataFrame, some_key: str) -> DataFrame:
+    """``rows`` whose key is among ``some``; these are counted, and sent to all tasks if they are no more than FEW numbers."""
+    keys = some.select(F.col(some_key).alias("_some"))
+    keys = F.broadcast(keys) if keys.count() <= FEW else keys
+    return rows.join(keys, F.col(key) == F.col("_some"), "left_semi")
+
+
+def packed_suppliers(t: Tables, of: DataFrame | None = None) -> DataFrame:
+    """order_key, cell: the suppliers of an order's lines as one packed cell, repeats included, in line order; of some orders only, if given."""
+    rows = t.lineitem if of is None else only_of(t.lineitem, "l_orderkey", of, "o_orderkey")
+    lines = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_suppkey", "l_partkey"))).alias("lines"))
     names = F.transform("lines", lambda x: F.concat(F.lit("S"), x["l_suppkey"].cast("string")))
     return lines.select(F.col("l_orderkey").alias("order_key"), F.array_join(names, ";").alias("cell"))
 
@@ -48,8 +59,10 @@ def packed_suppliers(t: Tables) -> DataFrame:
 PACKED_SQL = "packed as (select l_orderkey as order_key, string_agg('S' || l_suppkey, ';' order by l_linenumber, l_suppkey, l_partkey) as cell from lineitem group by l_orderkey)"
 
 
-def acquisitions(t: Tables) -> DataFrame:
-    """Orders in the form of a registry: acq_id, day ('' for some), instrument, status, subjects, project_key, cell."""
+def acquisitions(t: Tables, narrowed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Orders in the form of a registry: acq_id, day ('' for some), instrument, status, subjects, project_key, cell.
+
+    ``narrowed`` picks rows by all but the cell; lines of others are not shuffled."""
     blank = F.col("o_orderkey") % 11 == 0
     orders = t.orders.select(
         "o_orderkey",
@@ -60,7 +73,8 @@ def acquisitions(t: Tables) -> DataFrame:
         F.col("o_custkey").alias("project_key"),
         F.col("o_totalprice").alias("price"),
     )
-    packed = packed_suppliers(t)
+    orders = narrowed(orders) if narrowed else orders
+    packed = packed_suppliers(t, orders if narrowed else None)
     return orders.join(packed, orders["o_orderkey"] == packed["order_key"], "left").drop("order_key").withColumn("cell", F.coalesce("cell", F.lit("")))
 
 

@@ -234,3 +234,16 @@ def carry_forward(t: Tables) -> DataFrame:
 def ordered_distinct(t: Tables) -> DataFrame:
     items = lists.split_packed(C("cell"))
     return packed_suppliers(t).select("order_key", F.size(items).cast("long").alias("n_distinct"), F.get(items, 0).alias("first_item"))
+
+
+@query("select c_custkey, 'Case ' || row_number() over (order by c_custkey) || '/' || count(*) over () as progress from customer")
+def progress_numbers(t: Tables) -> DataFrame:
+    total = t.customer.agg(F.count("*").alias("total"))
+    rows = sequence.placed(t.customer.select("c_custkey"), C("c_custkey")).crossJoin(F.broadcast(total))  # one row
+    return rows.select("c_custkey", F.format_string("Case %d/%d", "place", "total").alias("progress"))
+
+
+@query("select case when o_orderstatus = 'P' then 'pending' when o_orderkey % 3 = 0 then 'failed' else 'done' end as outcome, count(*) as n from orders group by outcome")
+def outcome_counts(t: Tables) -> DataFrame:
+    outcome = F.when(C("o_orderstatus") == "P", "pending").when(C("o_orderkey") % 3 == 0, "failed").otherwise("done")
+    return t.orders.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))

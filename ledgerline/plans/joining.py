@@ -234,12 +234,12 @@ def backfill_plan(t: Tables) -> DataFrame:
     return rows.select("p_partkey", outcome.alias("outcome"), source.alias("source"))
 
 
-@query(f"select doc_id, case when doc_id % 3 < 2 then {words_sql('text')} end as region, regexp_matches(lower(substr(text, 1, 200)), '(^|[^a-z])(for|with)([^a-z]|$)') and doc_id % 2 = 0 as control from documents")
+@query(f"select doc_id, case when doc_id % 3 < 2 then {words_sql('text')} end as region, regexp_matches(lower(text), '(^|[^a-z])(for|with)([^a-z]|$)') and doc_id % 2 = 0 as control from documents")
 def bestguess_plan(t: Tables) -> DataFrame:
     """A guess for fields that are unset; NA counts as unset."""
     given = cases(C("doc_id"), L(None), L("NA"), L("set"))
     region = F.when(text.is_na(given), lookup.longest_keyword(C("text"), WORDS, LINES))
-    control = F.lower(F.substring("text", 1, 200)).rlike("(?<![a-z])(for|with)(?![a-z])") & (C("doc_id") % 2 == 0)
+    control = F.lower("text").rlike("(?<![a-z])(for|with)(?![a-z])") & (C("doc_id") % 2 == 0)
     return t.documents.select("doc_id", region.alias("region"), control.alias("control"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import lists, text
 from ledgerline.operators import upsert, validate
+from ledgerline.sources import documents, tables
 
 from .base import ACQ_SQL, PACKED_SQL, Tables, acquisitions, packed_suppliers, query
 from .scalars import cases, cases_sql
@@ -186,6 +187,34 @@ def per_group_export(t: Tables) -> DataFrame:
     return rows.join(projects, "item").select("project", "order_key")
 
 
+@query("select s_name as project, s_suppkey::varchar as key from supplier where s_suppkey % 6 > 0 and s_nationkey <> 3")
+def export_by_project(t: Tables) -> DataFrame:
+    """The export itself: a folder for each project, read back as one table."""
+    path = tables.scratch(t.spark, "export")
+    rows = t.supplier.where("s_suppkey % 6 > 0 and s_nationkey <> 3").select(C("s_name").alias("project"), C("s_suppkey").cast("string").alias("key"))
+    rows.repartition("project").write.partitionBy("project").csv(path, header=True)
+    return t.spark.read.csv(path, header=True, schema="key string, project string").select("project", "key")
+
+
+@query("select o_orderkey::varchar as acq_id, o_orderstatus as status, 'a, \"b\"' as notes from orders where o_orderstatus = 'F'")
+def review_csv(t: Tables) -> DataFrame:
+    """A review file of fixed columns, whatever else the rows have."""
+    rows = t.orders.where("o_orderstatus = 'F'").select(C("o_orderkey").cast("string").alias("acq_id"), C("o_orderstatus").alias("status"), L('a, "b"').alias("notes"), "o_totalprice")
+    path = tables.scratch(t.spark, "review")
+    tables.write_registry(documents.allowed(rows, ["acq_id", "status", "notes"], []), path)
+    return tables.read_registry(t.spark, path, ["acq_id", "status", "notes"])
+
+
+@query("select c_custkey, c_name as original_name, '/raw/' || c_custkey as canonical_path from customer")
+def manifest_append(t: Tables) -> DataFrame:
+    """Two runs add their entries to one manifest; neither reads what is there."""
+    path = tables.scratch(t.spark, "manifest")
+    entries = t.customer.select("c_custkey", C("c_name").alias("original_name"), F.concat(L("/raw/"), C("c_custkey").cast("string")).alias("canonical_path"))
+    for part in ("c_custkey % 2 = 0", "c_custkey % 2 > 0"):
+        entries.where(part).write.mode("append").parquet(path)
+    return t.spark.read.parquet(path)
+
+
 @query("select path, 'FILE-' || printf('%04d', (select max(c_custkey % 501) from customer where c_custkey % 3 = 0) + row_number() over (order by ord)) as file_id from (select c_name as path, min(c_custkey) as ord from customer where c_custkey % 3 > 0 group by c_name)")
 def append_if_absent_numbered(t: Tables) -> DataFrame:
     log = t.customer.where("c_custkey % 3 = 0").select(C("c_name").alias("path"), F.concat(L("FILE-"), F.format_string("%04d", C("c_custkey") % 501)).alias("file_id"))
@@ -273,16 +302,33 @@ def v_null_alias(t: Tables) -> DataFrame:
 
 
 DOCS = ['{"subject":{"source":"pending-db"},"condition":{"is_control":null},"anatomy":{}}', '{"subject":"x","condition":{},"anatomy":{"is_whole_body":null}}', "{bad", "[1]", "{}"]
-DOC_FINDINGS = [["subject pending", "is_control unknown"], ["subject is no object", "is_whole_body unknown"], ["not parsed"], ["no object"], ["subject missing", "condition missing", "anatomy missing"]]
+DOC_SQL = (
+    "docs as (select event_id, case when json_valid(d) then d::json end as d from (select event_id, " + cases_sql("event_id", *(f"'{x}'" for x in DOCS)) + " as d from events)), "
+    "found as (select event_id, [case when d is null then 'not parsed' when json_type(d) <> 'OBJECT' then 'no object' end] as whole, ["
+    + ", ".join(
+        f"case when coalesce(json_type(d, '$.{block}'), 'NULL') = 'NULL' then '{block} missing' when json_type(d, '$.{block}') <> 'OBJECT' then '{block} is no object' when {more} end"
+        for block, more in (("subject", "d->>'$.subject.source' = 'pending-db' then 'subject pending'"), ("condition", "json_type(d, '$.condition.is_control') = 'NULL' then 'is_control unknown'"), ("anatomy", "json_type(d, '$.anatomy.is_whole_body') = 'NULL' then 'is_whole_body unknown'"))
+    )
+    + "] as blocks from docs)"
+)
 
 
-@query("select 'WARN' as severity, event_id::varchar as key, event_id + 2 as line, 'enrichment' as rule, unnest(" + cases_sql("event_id", *map(repr, DOC_FINDINGS)) + ") as message from events")
+@query(f"with {DOC_SQL} select 'WARN' as severity, event_id::varchar as key, event_id + 2 as line, 'enrichment' as rule, unnest(list_filter(case when whole[1] is null then blocks else whole end, lambda x: x is not null)) as message from found")
 def v_enrichment(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", (C("event_id") + 2).alias("line"), L("organism").alias("kind"), cases(C("event_id"), *DOCS).alias("doc"))
     return validate.enrichment(rows, "event_id", "line", "kind", F.try_parse_json("doc"))
 
 
-@query("select 'ERROR' as severity, c_custkey || '-LAB-A-' || case when c_custkey % 4 = 0 then 'null' else '12' end as key, c_custkey + 2 as line, 'subject' as rule, unnest(" + cases_sql("c_custkey", "['null alias in id', 'alias is None']", "['alias is empty']", "[]", "[]") + ") as message from customer where c_custkey % 4 < 2")
+SUBJECTS_SQL = (
+    "subjects as (select " + cases_sql("c_custkey", "c_custkey || '-LAB-A-null'", "c_custkey || '-LAB-A-12'", "c_custkey || '-LAB-A-12'", "'HUMAN_1'") + " as id, c_custkey + 2 as line, "
+    + cases_sql("c_custkey", "'None'", "''", "'12'", "''") + " as alias from customer)"
+)
+
+
+@query(
+    f"with {SUBJECTS_SQL} select 'ERROR' as severity, id as key, line, 'subject' as rule, message from (select id, line, 'null alias in id' as message from subjects where regexp_matches(id, '^[0-9]+-LAB-A-(|none|null)$', 'i') "
+    "union all select id, line, 'alias is ' || alias from subjects where lower(alias) in ('none', 'null') union all select id, line, 'alias is empty' from subjects where trim(alias) = '' and contains(lower(id), 'lab-a'))"
+)
 def v_subjects(t: Tables) -> DataFrame:
     key = C("c_custkey").cast("string")
     given = cases(C("c_custkey"), F.concat(key, L("-LAB-A-null")), F.concat(key, L("-LAB-A-12")), F.concat(key, L("-LAB-A-12")), "HUMAN_1")

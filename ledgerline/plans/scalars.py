@@ -121,9 +121,9 @@ def sanitize_name(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", text.sanitize_name(F.when(C("p_partkey") % 7 == 0, name).otherwise(F.replace(name, L(". /"), L("."))), C("p_brand")).alias("name"))
 
 
-@query("select doc_id, coalesce(nullif(trim(regexp_replace(lower(regexp_replace(strip_accents(replace(substr(text, 1, 40), 'ß', '')), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unnamed') as slug from documents")
+@query("select doc_id, coalesce(nullif(trim(regexp_replace(lower(regexp_replace(strip_accents(replace(text, 'ß', '')), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unnamed') as slug from documents")
 def slug(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", text.slug(F.substring("text", 1, 40)).alias("slug"))
+    return t.documents.select("doc_id", text.slug(C("text")).alias("slug"))
 
 
 @query(r"select page_id, '\\host\share\' || replace(trim(regexp_replace(url, '^https?://', ''), '/'), '/', '\') as unc from pages")
@@ -217,11 +217,16 @@ def parse_id(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", text.parse_id(given, "LAB-A").alias("s")).select("c_custkey", "s.alias", "s.code")
 
 
-@query("select c_custkey, " + cases_sql("c_custkey", "null", "'None'", "''", "'NULL'", "''", "null") + " as broken from customer")
+ALIASES = ("17-LAB-A-42", "17-lab-a-None", "17-LAB-A-", "x17-LAB-A-NULL", "LAB-A--LAB-A-", "HUMAN_1.01", "17-LAB-A- none ", "17-LAB-A-7-LAB-A-none", "-LAB-A- none")
+
+
+@query(
+    "select c_custkey, case when regexp_matches(id, '^[0-9]+-(?i:LAB-A)-') then case when lower(trim(regexp_extract(id, '^[0-9]+-(?i:LAB-A)-(.*)$', 1))) in ('', 'none', 'null') "
+    "then trim(regexp_extract(id, '^[0-9]+-(?i:LAB-A)-(.*)$', 1)) end when lower(id) like '%-lab-a-none' or lower(id) like '%-lab-a-null' then right(id, 4) when lower(id) like '%-lab-a-' then '' end as broken "
+    "from (select c_custkey, trim(" + cases_sql("c_custkey", *(f"'{x}'" for x in ALIASES)) + ") as id from customer)"
+)
 def null_alias(t: Tables) -> DataFrame:
-    key = C("c_custkey").cast("string")
-    given = cases(C("c_custkey"), F.concat(key, L("-LAB-A-"), key), F.concat(key, L("-lab-a-None")), F.concat(key, L("-LAB-A-")), F.concat(L("x"), key, L("-LAB-A-NULL")), L("LAB-A--LAB-A-"), "HUMAN_1.01")
-    return t.customer.select("c_custkey", text.null_alias(given, "LAB-A").alias("broken"))
+    return t.customer.select("c_custkey", text.null_alias(cases(C("c_custkey"), *ALIASES), "LAB-A").alias("broken"))
 
 
 VOCABULARY = {"small": "S", "medium": "M", "large": "L"}
@@ -310,11 +315,29 @@ def sig5(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", values.significant(C("p_retailprice") / 7).alias("rounded"))
 
 
-@query("select p_partkey, " + cases_sql("p_partkey", "'square'", "'as given'", "'swapped'", "'no spacing'", "'neither'") + " as verdict from part")
+FOV_SQL = """fov as (
+  select p_partkey, 10 + p_size % 7 as r, 10 + p_partkey % 7 as c, case when p_partkey % 13 = 0 then null else 1 + p_size % 5 end as a, 1 + p_partkey % 3 as b from part),
+verdicts as (
+  select p_partkey, case when r = c then 'square_ambiguous' when a is null then 'no_pixelspacing'
+    when abs(r * a - c * b) / greatest(r * a, c * b) < 0.05 and abs(r * b - c * a) / greatest(r * b, c * a) < 0.05 then 'either'
+    when abs(r * a - c * b) / greatest(r * a, c * b) < 0.05 then 'matches_unswapped' when abs(r * b - c * a) / greatest(r * b, c * a) < 0.05 then 'matches_swapped'
+    else 'neither' end as verdict from fov)"""
+
+
+def verdicts(t: Tables) -> DataFrame:
+    rows, cols = C("p_size") % 7 + 10, C("p_partkey") % 7 + 10
+    first, second = F.when(C("p_partkey") % 13 != 0, C("p_size") % 5 + 1), C("p_partkey") % 3 + 1
+    return t.part.select("p_partkey", values.field_of_view(*(x.cast("double") for x in (rows, cols, first, second))).alias("verdict"))
+
+
+@query(f"with {FOV_SQL} select * from verdicts")
 def fov_verdict(t: Tables) -> DataFrame:
-    n = C("p_size").cast("double") + 9
-    pick = lambda *v: cases(C("p_partkey"), *v)
-    return t.part.select("p_partkey", values.field_of_view(n, pick(n, n * 2, n * 2, n * 2, n * 2), pick(L(1.0), L(2.0), L(1.0), None, L(1.0)), pick(L(1.0), L(1.0), L(2.0), L(1.0), L(9.0))).alias("verdict"))
+    return verdicts(t)
+
+
+@query(f"with {FOV_SQL} select verdict, count(*) as n from verdicts group by verdict")
+def fov_counts(t: Tables) -> DataFrame:
+    return verdicts(t).groupBy("verdict").agg(F.count("*").alias("n"))
 
 
 @query("select p_partkey, " + cases_sql("p_partkey", "'1,3'", "'1,' || (p_size + 1)", "p_size::varchar", "'all'", "null") + " as chosen from part")

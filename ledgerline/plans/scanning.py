@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import paths, text
@@ -15,16 +17,137 @@ from .scalars import cases, cases_sql, json_with_gaps
 C, L = F.col, F.lit
 
 
-@query("select o_orderkey::varchar as o_orderkey, case when o_orderkey % 5 = 0 then '' else o_orderstatus end as o_orderstatus, case when o_orderkey % 7 = 0 then 'two' || chr(10) || 'lines, \"quoted\"' else o_orderpriority end as note from orders where o_orderkey % 4 = 0")
+@query("select o_orderkey::varchar as o_orderkey, case when o_orderkey % 5 = 0 then '' else o_orderstatus end as o_orderstatus, case when o_orderkey % 7 = 0 then 'two' || chr(10) || 'lines, \"quoted\"' else o_orderpriority end as note from orders")
 def scan_registry_csv(t: Tables) -> DataFrame:
     """Written as CSV and read back: blanks, quotes and cells of several lines."""
     note = F.when(C("o_orderkey") % 7 == 0, L('two\nlines, "quoted"')).otherwise(C("o_orderpriority"))
-    rows = t.orders.where("o_orderkey % 4 = 0").select(C("o_orderkey").cast("string"), F.when(C("o_orderkey") % 5 != 0, C("o_orderstatus")).alias("o_orderstatus"), note.alias("note"))
+    rows = t.orders.select(C("o_orderkey").cast("string"), F.when(C("o_orderkey") % 5 != 0, C("o_orderstatus")).alias("o_orderstatus"), note.alias("note"))
     path = tables.scratch(t.spark, "registry")
     tables.write_registry(rows.fillna(""), path)
     return tables.read_registry(t.spark, path, rows.columns)
 
 
+@query("select s_suppkey::varchar as s_suppkey, s_name || ' é' as name from supplier")
+def scan_registry_latin1(t: Tables) -> DataFrame:
+    """A registry of an older program: bytes that are no UTF-8 are read as Latin-1."""
+    rows = t.supplier.select(C("s_suppkey").cast("string"), F.concat("s_name", L(" é")).alias("name"))
+    path = tables.scratch(t.spark, "latin1")
+    rows.write.csv(path, header=True, encoding="ISO-8859-1", quoteAll=True)
+    return tables.read_registry(t.spark, path, rows.columns)
+
+
+@query("select n_nationkey::varchar as key, n_name || ' é' as name from nation")
+def scan_registry_bom(t: Tables) -> DataFrame:
+    """A file of few rows that begins with a byte order mark, as spreadsheets write it."""
+    lines = t.nation.select(F.concat_ws(",", C("n_nationkey").cast("string"), F.concat("n_name", L(" é"))).alias("value"))
+    text_file = F.concat(L("\ufeffkey,name\n"), F.array_join(F.array_sort(F.collect_list("value")), "\n"))
+    path = tables.scratch(t.spark, "bom")
+    lines.agg(text_file.alias("value")).write.text(path)
+    return tables.read_registry(t.spark, path, ["key", "name"])
+
+
+def nation_files(t: Tables, content: Column, where: str = "true") -> str:
+    """A tree with one text file for each nation of ``where``, region=R/nation=N/part-*.txt."""
+    root = tables.scratch(t.spark, "tree")
+    rows = t.nation.where(where).select(C("n_regionkey").alias("region"), C("n_nationkey").alias("nation"), content.alias("value"))
+    rows.repartition("nation").write.partitionBy("region", "nation").text(root)
+    return root
+
+
+def nation_listing(t: Tables, root: str) -> DataFrame:
+    folder = F.concat_ws("/", L(root.removeprefix("file:")), F.concat(L("region="), "n_regionkey"), F.concat(L("nation="), "n_nationkey"))
+    return t.nation.select("n_nationkey", folder.alias("path"))
+
+
+NATION = F.regexp_extract("path", "nation=([0-9]+)/", 1).cast("long")
+
+
+@query("select n_nationkey, case when n_nationkey % 5 < 3 then n_name end as name from nation")
+def scan_sidecar_tree(t: Tables) -> DataFrame:
+    """A document for each folder of a tree; folders without one and documents that cannot be parsed stay, with null."""
+    doc = F.when(C("n_nationkey") % 5 == 3, '{"name":').otherwise(F.to_json(F.struct(C("n_name").alias("name"))))
+    root = nation_files(t, doc, "n_nationkey % 5 < 4")
+    found = documents.documents_under(t.spark, nation_listing(t, root), "path", root, "part-*.txt")
+    return found.select("n_nationkey", F.try_variant_get("doc", "$.name", "string").alias("name"))
+
+
+@query("select n_nationkey::bigint as nation from nation where n_nationkey % 3 = 0")
+def files_by_magic(t: Tables) -> DataFrame:
+    root = nation_files(t, F.concat(F.repeat(L("0"), 128), cases(C("n_nationkey"), "DICM", "DICX", ""), "n_name"))
+    return documents.files_with_magic(t.spark, root, b"DICM").select(NATION.alias("nation"))
+
+
+@query("select n_nationkey::bigint as nation, length(n_name)::bigint + 1 as length from nation")
+def glob_discovery(t: Tables) -> DataFrame:
+    """Files by their names, at any depth; no file is opened, and others beside them are not seen."""
+    root = nation_files(t, C("n_name"))
+    t.nation.write.mode("append").json(f"{root}/other")
+    return documents.discovered(t.spark, root, "part-*.txt").select(NATION.alias("nation"), "length")
+
+
+@query("select p_partkey, p_name from part where p_size > 10")
+def database_scan(t: Tables) -> DataFrame:
+    """A table of a database, here one in this process's memory, read by JDBC in four parts; the filter is the database's work."""
+    url, driver = f"jdbc:derby:memory:scan{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    t.part.select("p_partkey", "p_name", "p_size").coalesce(1).write.jdbc(url, "parts", properties=driver)
+    ends = t.part.agg(F.min("p_partkey"), F.max("p_partkey")).first()
+    return documents.allowed(tables.database_table(t.spark, url, "parts", driver, "p_partkey", tuple(ends), 4).where("p_size > 10"), ["p_partkey", "p_name"], [])
+
+
+@query("select c_custkey, case when c_custkey % 4 = 0 then 'new' else c_mktsegment end as segment from customer where c_custkey % 4 < 3")
+def publish_versions(t: Tables) -> DataFrame:
+    """A table rewritten from itself. A writer that died on the way leaves a version that no reader takes for whole."""
+    path = tables.scratch(t.spark, "published")
+    tables.publish(t.customer.select("c_custkey", C("c_mktsegment").alias("segment")), path)
+    dead = t.customer.select("c_custkey", L("half").alias("segment"))
+    dead.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/v=00000002")
+    tables.publish(tables.current(t.spark, path).where("c_custkey % 4 < 3"), path)
+    now = tables.current(t.spark, path)
+    tables.publish(now.withColumn("segment", F.when(C("c_custkey") % 4 == 0, "new").otherwise(C("segment"))), path)
+    return tables.current(t.spark, path)
+
+
+@query("with versions as (select 1 as v union all select 2) select v::int as use, (select count(*) from customer where v = 2 or c_custkey % 2 = 0) as n from versions")
+def cached_until_changed(t: Tables) -> DataFrame:
+    """A table kept in memory and read again once its files have changed."""
+    path = tables.scratch(t.spark, "watched")
+    t.customer.where("c_custkey % 2 = 0").select("c_custkey").write.parquet(path)
+    watched = tables.Watched(t.spark, path)
+    first = watched.get().agg(F.count("*").alias("n")).first()[0]
+    assert watched.get() is watched.rows
+    t.customer.where("c_custkey % 2 > 0").select("c_custkey").write.mode("append").parquet(path)
+    return t.spark.createDataFrame([(1, first)], "use int, n long").unionByName(watched.get().agg(F.count("*").alias("n")).select(L(2).alias("use"), "n"))
+
+
+@query("select page_id, regexp_extract(url, '^(https?)', 1) as page_scheme, '' as page_owner, length(url)::varchar as page_length from pages")
+def exposed_fields(t: Tables) -> DataFrame:
+    fields = [
+        ("page_scheme", F.regexp_extract("url", "^(https?)", 1), "how the page is reached"),
+        ("page_owner", L(None), "left empty: the source's field holds another thing"),
+        ("page_length", F.char_length("url"), "length of the address"),
+    ]
+    return documents.exposed(t.pages, [("page_id", C("page_id"), "key"), *fields]).withColumn("page_id", C("page_id").cast("long"))
+
+
+@query(
+    "select folder, format, count(*) as file_count, round_even(sum(length) / 1e6::double, 1) as total_size_mb, case when format = 'series' then max(lang) end as modality, "
+    "case when format = 'slides' then min(doc_id) end as first_slide from (select source as folder, n_chars as length, lang, doc_id, case when lang in ('en', 'fr') then 'series' else 'slides' end as format "
+    "from documents where lang <> 'es') group by folder, format"
+)
+def folder_summaries(t: Tables) -> DataFrame:
+    """What each folder holds of each format, by what the format has to say of its files."""
+    files = t.documents.select(C("source").alias("folder"), C("n_chars").alias("length"), "lang", "doc_id")
+    formats = {"series": C("lang").isin("en", "fr"), "slides": C("lang") != "es"}
+    return documents.summarized(files, "folder", formats, {"series": {"modality": F.max("lang")}, "slides": {"first_slide": F.min("doc_id")}})
+
+
+@query("select event_id, case when props is not null and event_id % 3 = 0 then 'mri' when event_id % 3 = 1 then 'ni' end as section, case when event_id % 3 = 0 then props->>'$.k' when event_id % 3 = 1 then event_type end as metadata from events")
+def embedded_metadata(t: Tables) -> DataFrame:
+    """Metadata by what a source looks like, a section for each kind; unknown kinds have none."""
+    shapes = [("mri", C("props").isNotNull() & (C("event_id") % 3 == 0), F.get_json_object("props", "$.k")), ("ni", C("event_id") % 3 == 1, C("event_type"))]
+    return documents.extracted(t.events, shapes).select("event_id", "section", "metadata")
+
+
 @query("select c_custkey, c_name as name, lower(c_mktsegment) as status from customer")
 def scan_projects_trim(t: Tables) -> DataFrame:
     rows = t.customer.select("c_custkey", F.concat(L(" "), "c_name", L("\t")).alias("name"), F.concat("c_mktsegment", L(" ")).alias("status"))
@@ -59,10 +182,19 @@ def parse_kv_header_lines(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", m.alias("m")).select("doc_id", C("m")["NAME"].alias("name"), C("m")["SIZE"].alias("size"), C("m")["LAST"].alias("last"))
 
 
-@query("select doc_id, source as k, 'x:y' as url, 2::int as n from documents")
+COLON = "'k: old' || chr(10) || 'k:  ' || source || chr(10) || 'no colon' || chr(10) || 'url: x:' || lang || chr(10) || case when doc_id % 2 = 0 then 'more :' || n_chars else '' end"
+
+
+@query(
+    f"with lines as (select doc_id, unnest(string_split({COLON}, chr(10))) as line, generate_subscripts(string_split({COLON}, chr(10)), 1) as i from documents), "
+    "pairs as (select doc_id, i, trim(split_part(line, ':', 1)) as key, trim(substr(line, instr(line, ':') + 1)) as value from lines where contains(line, ':')), "
+    "last as (select doc_id, key, arg_max(value, i) as value from pairs group by all) "
+    "select doc_id, max(value) filter (key = 'k') as k, max(value) filter (key = 'url') as url, max(value) filter (key = 'more') as more, count(*)::int as n from last group by doc_id"
+)
 def parse_colon_kv(t: Tables) -> DataFrame:
-    m = documents.colon_lines(F.concat(L("k: old\nk:  "), "source", L("\nno colon\nurl: x:y\n")))
-    return t.documents.select("doc_id", m.alias("m")).select("doc_id", C("m")["k"].alias("k"), C("m")["url"].alias("url"), F.size("m").alias("n"))
+    more = F.when(C("doc_id") % 2 == 0, F.concat(L("more :"), C("n_chars").cast("string"))).otherwise("")
+    m = documents.colon_lines(F.concat(L("k: old\nk:  "), "source", L("\nno colon\nurl: x:"), "lang", L("\n"), more))
+    return t.documents.select("doc_id", m.alias("m")).select("doc_id", *(C("m")[k].alias(k) for k in ("k", "url", "more")), F.size("m").alias("n"))
 
 
 @query("select p_partkey, p_name as first_value, p_brand as second_value, 2::int as n from part")
@@ -77,7 +209,7 @@ def allowlist_projection(t: Tables) -> DataFrame:
     return documents.allowed(t.customer, ["c_custkey", "c_name", "c_mktsegment", "c_phone"], ["C_NAME"])
 
 
-@query("select doc_id from documents where doc_id % 3 = 0")
+@query("select doc_id from (select doc_id, repeat('0', 128) || " + cases_sql("doc_id", "'DICM'", "'DICX'", "''") + " || source as content from documents) where substr(content, 129, 4) = 'DICM'")
 def binary_magic_filter(t: Tables) -> DataFrame:
     content = F.concat(F.repeat(L("0"), 128), cases(C("doc_id"), "DICM", "DICX", ""), C("source")).cast("binary")
     return t.documents.where(documents.has_magic(content, b"DICM")).select("doc_id")
@@ -151,22 +283,38 @@ def state_transitions(t: Tables) -> DataFrame:
     return incremental.advanced(t.orders.select("o_orderkey", C("o_orderstatus").alias("status")), results, "o_orderkey", "status", TRANSITIONS)
 
 
+QUEUES = [("pending", "found", "recovered"), ("pending", "converted", "regenerated"), ("pending", "no image", "not-applicable"), ("pending", "gone", "no-source"), ("failed", "linked", "linked"), ("pending", "linked", "linked")]
+
+
+@query(
+    "select l_orderkey, l_partkey, l_suppkey, l_linenumber, case when l_returnflag = 'R' and l_linenumber % 2 = 0 then 'linked' when l_returnflag <> 'N' then case when l_returnflag = 'R' then 'failed' else "
+    "case l_partkey % 5 when 0 then 'recovered' when 1 then 'regenerated' when 2 then 'not-applicable' when 3 then 'no-source' else 'pending' end end else 'linked' end as status from lineitem"
+)
+def queue_transitions(t: Tables) -> DataFrame:
+    """Queues of several kinds by one table of transitions; what it does not name leaves a state as it is."""
+    queue = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", cases(F.when(C("l_returnflag") == "R", 1).when(C("l_returnflag") == "A", 0).otherwise(2), "pending", "failed", "linked").alias("status"))
+    queue = queue.withColumn("id", F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
+    event = F.when((C("status") == "failed") & (C("l_linenumber") % 2 == 0), "linked").when(C("status") != "failed", cases(C("l_partkey"), "found", "converted", "no image", "gone", "unheard of"))
+    results = queue.select("id", event.alias("event")).dropDuplicates(["id"])
+    return incremental.advanced(queue, results, "id", "status", QUEUES).drop("id")
+
+
 @query("select o_orderkey, case when o_orderstatus = 'P' and o_orderkey in (select l_orderkey from lineitem where l_returnflag = 'R') then 'done' else o_orderstatus end as status from orders")
 def crash_reconcile(t: Tables) -> DataFrame:
     present = t.lineitem.where("l_returnflag = 'R'").select(C("l_orderkey").alias("o_orderkey"))
     return incremental.reconciled(t.orders.select("o_orderkey", C("o_orderstatus").alias("status")), present, "o_orderkey", "status", "P")
 
 
-@query("select event_id, user_id from events where event_id % 3 <> 1")
+@query("select event_id, user_id, strftime(ts, '%Y-%m') as month from events")
 def stream_append(t: Tables) -> DataFrame:
     """A file stream appended to a registry that has a part of it, then run again over the same files."""
     base = tables.scratch(t.spark, "stream")
-    rows = t.events.where("event_id % 3 <> 1").select("event_id", "user_id")
+    rows = t.events.select("event_id", "user_id", F.date_format("ts", "yyyy-MM").alias("month"))
     rows.unionByName(rows.where("event_id % 2 = 0")).write.parquet(f"{base}/in")
-    rows.where("event_id % 6 = 0").write.parquet(f"{base}/registry")
+    rows.where("event_id % 6 = 0").write.partitionBy("month").parquet(f"{base}/registry")
     for run in ("a", "b"):
-        incremental.append_stream(t.spark, f"{base}/in", rows.schema, f"{base}/registry", f"{base}/{run}", ["event_id"])
-    return t.spark.read.parquet(f"{base}/registry")
+        incremental.append_stream(t.spark, f"{base}/in", rows.schema, f"{base}/registry", f"{base}/{run}", ["event_id"], "month")
+    return t.spark.read.schema(rows.schema).parquet(f"{base}/registry")
 
 
 @query("select strftime(time_bucket(interval 6 hour, ts), '%Y-%m-%d %H:%M') as start, event_type, count(*) as n, round(sum(value), 2) as total from events group by all")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import lists, text
-from ledgerline.operators import search
+from ledgerline.operators import search, sequence
+from ledgerline.sources.tables import materialised
 
 from .base import ACQ_SQL, PACKED_SQL, Tables, acquisitions, packed_suppliers, query
 from .scalars import cases, cases_sql
@@ -97,8 +98,11 @@ COMBINED_SQL = f"""contains({BLOB_SQL}, 'acq-') and lower(instrument) = '1-urgen
 
 
 def combined(t: Tables) -> DataFrame:
-    rows = looked_up(t)
-    return rows.where(search.matches(COMBINED, search.search_blob("acq_id", "day", "instrument", "cell", "names"), C("day")))
+    """What an acquisition itself tells is asked first; only what passes gets its cell packed and its names looked up."""
+    early, late = search.split(COMBINED, ("acq_id", "day", "instrument", "status"))
+    some = acquisitions(t, lambda rows: rows.where(search.matches(early, L(""), C("day"))))
+    rich = search.multi_lookup(some, "o_orderkey", "cell", suppliers(t), "key", ["name"], ["owner"])
+    return rich.where(search.matches(late, search.search_blob("acq_id", "day", "instrument", "cell", "names"), C("day")))
 
 
 @query(f"with {LOOKED_SQL} select o_orderkey, acq_id, day, instrument, names, first_owner, project_key from rich where {COMBINED_SQL} order by day desc, o_orderkey limit 200")
@@ -108,8 +112,8 @@ def search_combined(t: Tables) -> DataFrame:
 
 @query(f"with {LOOKED_SQL}, found as (select * from rich where {COMBINED_SQL}) select o_orderkey, acq_id, day, (select count(*) from found) as total from found order by day desc, o_orderkey limit 20 offset 20")
 def search_page(t: Tables) -> DataFrame:
-    """The second page of twenty, each row with the number of all matches; the count is one row, so it is sent to all tasks."""
-    rows = combined(t).select("o_orderkey", "acq_id", "day")
+    """The second page of twenty, each row with the number of all matches. The matches are found once, for page and count; the count is one row."""
+    rows = materialised(combined(t).select("o_orderkey", "acq_id", "day"), "matches")
     return search.page(rows, "day", "o_orderkey", 20, 20).crossJoin(F.broadcast(rows.agg(F.count("*").alias("total"))))
 
 
@@ -248,10 +252,9 @@ def flatten_signals(t: Tables) -> DataFrame:
 # Sorts and limits
 
 
-@query(f"with {ACQ_SQL} select o_orderkey, day, (row_number() over (order by day desc, o_orderkey))::int as place from acq order by day desc, o_orderkey limit 500")
+@query(f"with {ACQ_SQL} select o_orderkey, day, row_number() over (order by day desc, o_orderkey) as place from acq")
 def sort_newest_first(t: Tables) -> DataFrame:
-    rows = acquisitions(t).select("o_orderkey", "day").orderBy(C("day").desc(), "o_orderkey").limit(500)
-    return rows.select("o_orderkey", "day", F.row_number().over(_all().orderBy(C("day").desc(), "o_orderkey")).alias("place"))
+    return sequence.placed(acquisitions(t).select("o_orderkey", "day"), C("day").desc(), C("o_orderkey"))
 
 
 @query("select c_custkey, c_acctbal, (select count(*) from customer) as total from customer order by c_acctbal desc, c_custkey limit 800")
@@ -267,22 +270,20 @@ def head_plus_rest(t: Tables) -> DataFrame:
     return rows.orderBy("o_orderkey").limit(50).crossJoin(F.broadcast(rest))
 
 
-@query("select p_partkey, (row_number() over (order by p_type, p_size desc, p_partkey))::int as place from part order by p_type, p_size desc, p_partkey limit 300")
+@query("select p_partkey, row_number() over (order by p_type, p_size desc, p_partkey) as place from part")
 def multi_key_sort(t: Tables) -> DataFrame:
-    rows = t.part.select("p_type", "p_size", "p_partkey").orderBy("p_type", C("p_size").desc(), "p_partkey").limit(300)
-    return rows.select("p_partkey", F.row_number().over(_all().orderBy("p_type", C("p_size").desc(), "p_partkey")).alias("place"))
+    return sequence.placed(t.part.select("p_type", "p_size", "p_partkey"), C("p_type"), C("p_size").desc(), C("p_partkey")).select("p_partkey", "place")
 
 
-@query("select c_custkey, c_name from customer order by c_custkey desc limit 100")
+@query("select c_custkey, c_name, row_number() over (order by c_custkey desc) as place from customer")
 def sort_id_desc(t: Tables) -> DataFrame:
-    return t.customer.select("c_custkey", "c_name").orderBy(C("c_custkey").desc()).limit(100)
+    return sequence.placed(t.customer.select("c_custkey", "c_name"), C("c_custkey").desc())
 
 
-@query("select p_partkey, idx, (row_number() over (order by try_cast(idx as int) nulls last, idx, p_partkey))::int as place from (select p_partkey, case when p_partkey % 10 = 0 then 'x' || p_size else p_size::varchar end as idx from part) order by place limit 400")
+@query("select p_partkey, idx, row_number() over (order by try_cast(idx as int) nulls last, idx, p_partkey) as place from (select p_partkey, case when p_partkey % 10 = 0 then 'x' || p_size else p_size::varchar end as idx from part)")
 def natural_sort(t: Tables) -> DataFrame:
     rows = t.part.select("p_partkey", F.when(C("p_partkey") % 10 == 0, F.concat(L("x"), C("p_size").cast("string"))).otherwise(C("p_size").cast("string")).alias("idx"))
-    order = [C("idx").try_cast("int").asc_nulls_last(), C("idx"), C("p_partkey")]
-    return rows.orderBy(*order).limit(400).withColumn("place", F.row_number().over(_all().orderBy(*order)))
+    return sequence.placed(rows, C("idx").try_cast("int").asc_nulls_last(), C("idx"), C("p_partkey"))
 
 
 @query("select l_orderkey, l_partkey, l_suppkey, l_extendedprice from lineitem qualify row_number() over (partition by l_orderkey order by l_extendedprice desc, l_partkey, l_suppkey) <= 2")
@@ -292,9 +293,3 @@ def topn_per_group(t: Tables) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(C("l_extendedprice").desc(), "l_partkey", "l_suppkey"))
     return t.lineitem.withColumn("place", place).where("place <= 2").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
 
-
-def _all():
-    """A window over a result that a limit has made small."""
-    from pyspark.sql import Window
-
-    return Window.partitionBy()

@@ -12,18 +12,29 @@ from ledgerline.functions.text import strip
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share: under ``spark.checkpoint.dir`` where the session has it, else in the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+    """A new folder that all executors share: under ``spark.checkpoint.dir``; in local mode the warehouse will do."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+def materialised(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written to a scratch folder: what reads them twice sees the same and computes them once."""
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def read_registry(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A CSV registry with all columns as text, blanks as '' and a header that is just ``columns``.
+    """A CSV registry with all columns as text, blanks as '' and a header that is just ``columns``; a missing file has no rows.
 
-    Read as UTF-8; if any cell then holds U+FFFD, bytes were no UTF-8 and all is read again as Latin-1. Cells may be quoted
+    Read as UTF-8, with or without a byte order mark; if any cell then holds U+FFFD, bytes were no UTF-8 and all is read again as Latin-1. Cells may be quoted
     and span lines. Files of which one row spans lines are not split, so many files make many tasks.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
 
     def read(encoding: str) -> DataFrame:
         return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', encoding=encoding, enforceSchema=False).fillna("")
@@ -43,21 +54,64 @@ def last_per_key(rows: DataFrame, key: str, line: str) -> DataFrame:
     return known.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.col(line).desc()))).where("_n = 1").drop("_n")
 
 
-def publish(rows: DataFrame, path: str) -> None:
-    """Replace the parquet table at ``path`` as a whole: written beside it first, then moved; readers see the old or the new.
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path``, and what makes a path of a text."""
+    of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), of
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, of = _files(spark, path)
+    return files.exists(of(path))
+
+
+def _versions(spark: SparkSession, path: str) -> dict[int, bool]:
+    """The versions under ``path`` by number, and whether each was written to its end."""
+    files, of = _files(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(of(path))] if files.exists(of(path)) else []
+    return {int(n[2:]): files.exists(of(f"{path}/{n}/_SUCCESS")) for n in names if n.startswith("v=")}
+
+
+def publish(rows: DataFrame, path: str, keep: int = 2) -> int:
+    """Write ``rows`` as the next version of the parquet table at ``path``; its number.
 
-    ``rows`` may read from ``path``. Nothing is written where no row changes: callers test their change set first.
+    A version counts from the moment its _SUCCESS file is there, which Spark writes last, so ``current`` gives the old
+    table or the new one and never less, whenever a writer dies. ``rows`` may read from ``current``. The latest ``keep`` whole
+    versions stay for those who read them still. Two writers at once would take one number: the second fails.
     """
     spark = rows.sparkSession
-    beside, gone = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    rows.write.parquet(beside)
-    jvm = spark.sparkContext._jvm
-    of = jvm.org.apache.hadoop.fs.Path
-    files = of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(of(path)):
-        files.rename(of(path), of(gone))
-    files.rename(of(beside), of(path))
-    files.delete(of(gone), True)
+    found = _versions(spark, path)
+    number = max(found, default=0) + 1
+    rows.write.parquet(f"{path}/v={number:08d}")
+    files, of = _files(spark, path)
+    for old in sorted(n for n, whole in found.items() if whole)[: 1 - keep or None]:
+        files.delete(of(f"{path}/v={old:08d}"), True)
+    return number
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The latest whole version of the table at ``path``."""
+    whole = [n for n, done in _versions(spark, path).items() if done]
+    if not whole:
+        raise FileNotFoundError(path)
+    return spark.read.parquet(f"{path}/v={max(whole):08d}")
+
+
+class Watched:
+    """A table kept in memory for as long as its files do not change: each use compares their names, sizes and times."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.stamp, self.rows = None, None
+
+    def get(self) -> DataFrame:
+        files, of = _files(self.spark, self.path)
+        stamp = sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in files.listStatus(of(self.path)))
+        if stamp != self.stamp:
+            if self.rows is not None:
+                self.rows.unpersist()
+            self.stamp, self.rows = stamp, self.spark.read.parquet(self.path).persist()
+        return self.rows
 
 
 def database_table(spark: SparkSession, url: str, table: str, properties: dict[str, str], column: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 8) -> DataFrame:

@@ -11,17 +11,21 @@ def new_rows(incoming: DataFrame, registry: DataFrame, keys: list[str]) -> DataF
     return incoming.join(registry.select(*keys), keys, "left_anti").dropDuplicates(keys)
 
 
-def append_stream(spark: SparkSession, source: str, schema, registry: str, checkpoint: str, keys: list[str]) -> None:
+def append_stream(spark: SparkSession, source: str, schema, registry: str, checkpoint: str, keys: list[str], by: str) -> None:
     """Read what is new under ``source`` and append to the parquet ``registry`` what it lacks, batch by batch, until all is read.
 
-    A batch that is run again after a failure finds its rows there, so each row is appended once.
+    A batch that is run again after a failure finds its rows there, so each row is appended once. The registry is
+    partitioned by ``by``, such as a day, which must follow from the keys: a batch reads only the partitions it has rows of, so its
+    cost does not grow with the registry's history.
     """
 
     def append(batch: DataFrame, _: int) -> None:
-        known = batch.sparkSession.read.schema(schema).parquet(registry)
-        new_rows(batch, known, keys).write.mode("append").parquet(registry)
+        touched = [r[0] for r in batch.select(by).distinct().collect()]  # partitions of one batch
+        held = F.col(by).isin(*[x for x in touched if x is not None]) | (F.col(by).isNull() if None in touched else F.lit(False))
+        known = batch.sparkSession.read.schema(schema).parquet(registry).where(held)
+        new_rows(batch, known, keys).write.mode("append").partitionBy(by).parquet(registry)
 
-    spark.createDataFrame([], schema).write.mode("append").parquet(registry)
+    spark.createDataFrame([], schema).write.mode("append").partitionBy(by).parquet(registry)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(source)
     stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
