@@ -35,6 +35,13 @@ def sliced(parts: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Reco
             yield part.slice(start, rows)
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Texts go to Python in batches of at most ``rows``, here and in what the session runs later: what is in flight stays small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)
