@@ -59,7 +59,8 @@ def nation_listing(t: Tables, root: str) -> DataFrame:
     return t.nation.select("n_nationkey", folder.alias("path"))
 
 
-NATION = F.regexp_extract("path", "nation=([0-9]+)/", 1).cast("long")
+def nation_of_path() -> Column:
+    return F.regexp_extract("path", "nation=([0-9]+)/", 1).cast("long")
 
 
 @query("select n_nationkey, case when n_nationkey % 5 < 3 then n_name end as name from nation")
@@ -74,7 +75,7 @@ def scan_sidecar_tree(t: Tables) -> DataFrame:
 @query("select n_nationkey::bigint as nation from nation where n_nationkey % 3 = 0")
 def files_by_magic(t: Tables) -> DataFrame:
     root = nation_files(t, F.concat(F.repeat(L("0"), 128), cases(C("n_nationkey"), "DICM", "DICX", ""), "n_name"))
-    return documents.files_with_magic(t.spark, root, b"DICM").select(NATION.alias("nation"))
+    return documents.files_with_magic(t.spark, root, b"DICM").select(nation_of_path().alias("nation"))
 
 
 @query("select n_nationkey::bigint as nation, length(n_name)::bigint + 1 as length from nation")
@@ -82,7 +83,7 @@ def glob_discovery(t: Tables) -> DataFrame:
     """Files by their names, at any depth; no file is opened, and others beside them are not seen."""
     root = nation_files(t, C("n_name"))
     t.nation.write.mode("append").json(f"{root}/other")
-    return documents.discovered(t.spark, root, "part-*.txt").select(NATION.alias("nation"), "length")
+    return documents.discovered(t.spark, root, "part-*.txt").select(nation_of_path().alias("nation"), "length")
 
 
 @query("select p_partkey, p_name from part where p_size > 10")
