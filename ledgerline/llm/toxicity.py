@@ -25,9 +25,9 @@ from . import common
 
 FOLDS = 5
 SAMPLE_ROWS = 20_000
-FEATURES = 512
+FEATURES = 1024
 LEAST_DOCS = 5
-STEPS, DECAY, RATE = 1500, 3e-5, 1.0
+STEPS, DECAY, RATE = 800, 3e-5, 1.0
 BEGINNINGS = (3, 4, 5, 6)
 CACHED = 64  # no longer words or spans are kept in the caches of a task
 
