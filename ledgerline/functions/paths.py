@@ -28,8 +28,14 @@ def positional(path: Column, fields: list[str], sep: str) -> Column:
 
 
 def by_pattern(text: Column, pattern: str, fields: list[str]) -> Column:
-    """struct of ``fields`` from the groups of the first match; null if there is none, '' for groups that take no part."""
-    return F.when(text.rlike(pattern), F.struct(*(F.regexp_extract(text, pattern, k).alias(f) for k, f in enumerate(fields, 1))))
+    """struct of ``fields`` from the groups of the first match; null if there is none, '' for groups that take no part.
+
+    One match gives all groups: they take the text's place, a separator that names do not hold between them, and are cut apart.
+    """
+    groups = "\x1f".join(f"${k}" for k in range(1, len(fields) + 1))
+    found = F.split(F.regexp_replace(text, f"(?s)^.*?(?:{pattern}).*$", "\x1e" + groups), "\x1f")
+    lead = lambda k, c: F.substring(c, 2, 1 << 30) if k == 0 else c
+    return F.when(F.startswith(found[0], F.lit("\x1e")), F.struct(*(lead(k, F.get(found, k)).alias(f) for k, f in enumerate(fields))))
 
 
 def levels(path: Column, fields: list[str]) -> Column:
@@ -57,13 +63,17 @@ def template(text: str, values: dict[str, Column], strict: bool) -> Column:
 
 
 def walk_up(dirs: Column, noise: str, timepoint: str) -> Column:
-    """struct(subject, timepoint): the innermost directory that is neither noise nor a time point, and the innermost time
-    point below it. A bare number is noise only under a Frames directory."""
+    """struct(subject, timepoint, series): the innermost directory that is neither noise nor a time point, the innermost time
+    point below it, and the next such directory above. A bare number is noise only under a Frames directory."""
     frames, number = "(?i)^(frames?|\\d+\\s*frames?)$", "^\\d+$"
-    skipped = F.transform(dirs, lambda d, i: d.rlike(noise) | d.rlike(timepoint) | (d.rlike(number) & F.coalesce(F.get(dirs, i - 1).rlike(frames), F.lit(False))))
+    plain = lambda d: d.rlike(noise) | d.rlike(timepoint)
+    skipped = F.transform(dirs, lambda d, i: plain(d) | (d.rlike(number) & F.coalesce(F.get(dirs, i - 1).rlike(frames), F.lit(False))))
     at = F.array_max(F.transform(skipped, lambda s, i: F.when(~s, i).otherwise(-1)))
     points = F.filter(F.slice(dirs, F.coalesce(at, F.lit(-1)) + 2, F.greatest(F.size(dirs), F.lit(1))), lambda d: d.rlike(timepoint))
-    return F.struct(F.when(at >= 0, F.get(dirs, at)).otherwise("").alias("subject"), F.get(points, F.size(points) - 1).alias("timepoint"))
+    above = F.filter(F.slice(dirs, 1, F.greatest(F.coalesce(at, F.lit(0)), F.lit(0))), lambda d: ~plain(d))
+    return F.struct(
+        F.when(at >= 0, F.get(dirs, at)).otherwise("").alias("subject"), F.get(points, F.size(points) - 1).alias("timepoint"), F.get(above, F.size(above) - 1).alias("series")
+    )
 
 
 def last_valid(codes: Column, valid: Column) -> Column:

@@ -425,20 +425,82 @@ def walkup_non_noise(t: Tables) -> DataFrame:
     return t.pages.select("page_id", paths.walk_up(dirs, NOISE, POINT).alias("s")).select("page_id", "s.subject", "s.timepoint")
 
 
-@query(
-    "select o_orderkey, strftime(d, '%Y') as year, 'res' || o_custkey as researcher, case when o_orderkey % 2 = 0 then 'PET' else 'CT' end as modality, strftime(d, '%Y%m%d') || '101112' as stamp, 'm' || o_custkey as subject, "
-    "case when day(d) > 12 then '' else 'n/a' end as flag from (select *, o_orderdate + interval 30 year as d from orders)"
-)
+STEM, CODES = "LAB-A", ["0522", "0777"]
+SCAN = r"(?i)^([0-9]{14})_(PET|CT|SPECT|OI)_([A-Za-z]+)_([0-9]+)(?:_frame(?:MULTI|[0-9]+))?(?:_iter[0-9]+)?(?:_[^.]+)?[.]dcm$"
+LEVELS_BETWEEN = "(?i)^([0-9]{14}_(pet|ct|spect|oi)|(recon|frame|iter)_?[0-9]+|([0-9]+ *)?frames?|pet|ct|spect|oi|(pet|spect)[_ -]?ct|ct[_ -]?pet|new[ _]?recon.*|dicoms?|images?|data|[0-9]{6})$"
+TIME_LEVEL = "(?i)^([0-9]+ *h( *[0-9]+ *min)?|[0-9]+ *min|d[0-9]+|day *[0-9]+)$"
+
+
+def analysed(rows: DataFrame, path: str, size: str, codes: list[str], stem: str, extra_level: str = "EXTRA") -> DataFrame:
+    """Nineteen columns from paths year/group/researcher/.../file; a level ``extra_level`` may stand before the researcher.
+
+    Files whose names are no scans are left out. A project code that is not in ``codes`` is sought further up in whole
+    directory names, else rejected, which the flags tell; so they do of dates that do not agree and of missing levels.
+    """
+    p = C("_p")
+    rows = rows.withColumn("_p", paths.parts(C(path)))
+    rows = rows.withColumn("_f", paths.by_pattern(F.element_at(p, -1), SCAN, ["stamp", "modality", "algo", "recon"])).where("_f is not null")
+    rows = rows.withColumn("_at", F.when((F.size(p) > 3) & (F.upper(F.get(p, 2)) == extra_level), 3).otherwise(2)).withColumn("_loose", F.size(p) <= C("_at") + 1)
+    rows = rows.withColumn("_dirs", F.when(C("_loose"), F.array().cast("array<string>")).otherwise(F.slice(p, C("_at") + 2, F.greatest(F.size(p) - C("_at") - 2, L(0)))))
+    rows = rows.withColumn("_w", paths.walk_up(C("_dirs"), LEVELS_BETWEEN, TIME_LEVEL))
+    named = F.regexp_replace(F.regexp_replace(C("_w.subject"), r"(?iu)\b(?:rat|rata|raton|ratón)\s*[_-]?\s*([0-9]+)", "r$1"), r"(?i)\b(?:mouse|mice)\s*[_-]?\s*([0-9]+)", "m$1")
+    rows = rows.withColumn("_g", F.when(C("_w.subject") != "", subject_grammar(named, C("_w.series"))))
+    date = F.coalesce(F.get(F.filter("_dirs", lambda d: d.rlike("^[0-9]{6}$")), 0), L(""))
+    given, valid = F.coalesce("_g.project", L("")), F.array(*map(L, codes))
+    wrong = (given != "") & ~F.array_contains(valid, given)
+    found = F.when(wrong, paths.last_valid(F.transform(F.slice(p, 1, F.size(p) - 1), lambda d: F.regexp_extract(d, "^([0-9]{3,4})(?:[_-]|$)", 1)), valid))
+    rows = rows.withColumns({"_date": date, "_wrong": wrong, "_found": found})
+    project = F.when(C("_wrong"), F.coalesce("_found", L(""))).otherwise(given)
+    agrees = F.nullif(dates.date_flag(C("_f.stamp"), C("_date")), L(""))
+    missing = F.when(C("_w.subject") == "", "no-subject-folder")
+    mended = F.when(C("_wrong"), F.coalesce(F.concat(L("project-recovered:"), given, L("->"), C("_found")), F.concat(L("project-rejected:"), given)))
+    flags = F.array_compact(F.concat(F.coalesce("_g.flags", F.array(missing)), F.array(missing, F.when(C("_loose"), "loose-at-group-root"), agrees, mended)))
+    animals = F.coalesce("_g.animals", F.array().cast("array<string>"))
+    keys = F.when(project != "", F.transform(animals, lambda a: F.concat(F.regexp_replace(a, "[^0-9]", ""), L(f"-{stem}-"), project))).otherwise(F.array().cast("array<string>"))
+    part = lambda at, n: F.substring("_f.stamp", at, n)
+    recon = C("_f.recon").cast("int")
+    return rows.select(
+        *(c for c in rows.columns if c[0] != "_"),
+        F.concat_ws("_", "_f.stamp", F.upper("_f.modality"), F.upper("_f.algo"), recon.cast("string")).alias("acq_key"),
+        F.concat(part(1, 4), L("-"), part(5, 2), L("-"), part(7, 2), L("T"), part(9, 2), L(":"), part(11, 2), L(":"), part(13, 2), L("Z")).alias("acq_datetime"),
+        F.get(p, 0).alias("year_folder"), F.when(C("_loose"), "").otherwise(F.get(p, C("_at"))).alias("researcher"),
+        F.upper("_f.modality").alias("modality"), F.upper("_f.algo").alias("algo"), recon.alias("recon"),
+        C("_w.subject").alias("subject_folder"), F.coalesce("_w.series", L("")).alias("series"), project.alias("project"),
+        F.size(animals).alias("n_animals"), F.array_join(animals, ",").alias("animals"), F.array_join(keys, ";").alias("facility_keys"),
+        F.coalesce("_g.timepoint", "_w.timepoint", L("")).alias("timepoint"), C("_date").alias("folder_date"), F.when(C("_g.phantom"), "yes").otherwise("").alias("phantom"),
+        F.array_join(flags, ",").alias("flags"), C(path).alias("rel"), C(size).alias("size_bytes"),
+    )
+
+
+def _by_order(*texts: str) -> str:
+    return cases_sql("o_orderkey", *texts)
+
+
+ANALYSED_SQL = f"""with o as (select *, o_orderdate + interval 30 year as d from orders),
+scans as (select *, strftime(d, '%Y%m%d') || '101112' as stamp, case when o_orderkey % 2 = 0 then 'PET' else 'CT' end as mode, 'res' || o_custkey as who, o_custkey::varchar as c, strftime(d, '%Y') as y from o),
+named as (select *, stamp || '_' || mode || '_osem_0' || (o_orderkey % 3 + 1) || '.dcm' as file from scans),
+paths as (select *, y || '/group/' || {_by_order("who || '/0522_m' || c || '_24h/' || strftime(d, '%d%m%y') || '/Frames/3/'", "'Extra/' || who || '/0522 series/RAT' || c || '/recon_1/'", "''", "who || '/1015_x/' || c || '/4h/'", "who || '/0777/9999_m' || c || '/'", "who || '/Phantom NEMA/'")} || file as rel from named)
+select o_orderkey, stamp || '_' || mode || '_OSEM_' || (o_orderkey % 3 + 1) as acq_key, strftime(d, '%Y-%m-%d') || 'T10:11:12Z' as acq_datetime, y as year_folder,
+  {_by_order("who", "who", "''", "who", "who", "who")} as researcher, mode as modality, 'OSEM' as algo, (o_orderkey % 3 + 1)::int as recon,
+  {_by_order("'0522_m' || c || '_24h'", "'RAT' || c", "''", "c", "'9999_m' || c", "'Phantom NEMA'")} as subject_folder, {_by_order("''", "'0522 series'", "''", "'1015_x'", "'0777'", "''")} as series,
+  {_by_order("'0522'", "'0522'", "''", "''", "'0777'", "''")} as project, {_by_order("1", "1", "0", "1", "1", "0")}::int as n_animals,
+  {_by_order("'m' || c", "'r' || c", "''", "'?' || c", "'m' || c", "''")} as animals, {_by_order("c || '-LAB-A-0522'", "c || '-LAB-A-0522'", "''", "''", "c || '-LAB-A-0777'", "''")} as facility_keys,
+  {_by_order("'24h'", "''", "''", "'4h'", "''", "''")} as timepoint, {_by_order("strftime(d, '%d%m%y')", "''", "''", "''", "''", "''")} as folder_date, {_by_order("''", "''", "''", "''", "''", "'yes'")} as phantom,
+  {_by_order("''", "'project<-parent'", "'no-subject-folder,no-subject-folder,loose-at-group-root'", "'project<-parent,species-unknown,project-rejected:1015'", "'project-recovered:9999->0777'", "'phantom'")} as flags,
+  rel, o_custkey as size_bytes from paths"""
+
+
+@query(ANALYSED_SQL)
 def analyse_path(t: Tables) -> DataFrame:
-    """A whole path taken apart: year, researcher, the file's own stamp and modality, the subject folder and how dates agree."""
-    d = F.add_months("o_orderdate", 360)
-    file = F.concat(F.date_format(d, "yyyyMMdd"), L("101112_"), F.when(C("o_orderkey") % 2 == 0, "PET").otherwise("CT"), L("_osem_1.dcm"))
-    path = F.concat_ws("/", F.date_format(d, "yyyy"), L("group"), F.concat(L("res"), C("o_custkey").cast("string")), F.concat(L("m"), C("o_custkey").cast("string")), F.date_format(d, "ddMMyy"), L("Frames"), file)
-    rows = t.orders.select("o_orderkey", d.alias("d"), paths.parts(path).alias("p"), paths.by_pattern(paths.basename(path), TARGET, ["stamp", "modality", "algorithm", "recon", "frame"]).alias("f"))
-    dirs = F.slice("p", 4, F.size("p") - 4)
-    folder = F.get(F.filter(dirs, lambda x: x.rlike("^[0-9]{6}$")), 0)
-    flag = F.when(F.dayofmonth("d") > 12, dates.date_flag(C("f.stamp"), folder)).otherwise("n/a")
-    return rows.select("o_orderkey", F.get("p", 0).alias("year"), F.get("p", 2).alias("researcher"), "f.modality", "f.stamp", paths.walk_up(dirs, NOISE, POINT)["subject"].alias("subject"), flag.alias("flag"))
+    """Whole paths taken apart; beside the scans stand files that are none."""
+    d, who, c = F.add_months("o_orderdate", 360), F.concat(L("res"), C("o_custkey").cast("string")), C("o_custkey").cast("string")
+    file = F.concat(F.date_format(d, "yyyyMMdd"), L("101112_"), F.when(C("o_orderkey") % 2 == 0, "PET").otherwise("CT"), L("_osem_0"), (C("o_orderkey") % 3 + 1).cast("string"), L(".dcm"))
+    inner = cases(
+        C("o_orderkey"), F.concat(who, L("/0522_m"), c, L("_24h/"), F.date_format(d, "ddMMyy"), L("/Frames/3/")), F.concat(L("Extra/"), who, L("/0522 series/RAT"), c, L("/recon_1/")), L(""), F.concat(who, L("/1015_x/"), c, L("/4h/")), F.concat(who, L("/0777/9999_m"), c, L("/")), F.concat(who, L("/Phantom NEMA/"))
+    )
+    folder = F.concat(F.date_format(d, "yyyy"), L("/group/"), inner)
+    rows = t.orders.select("o_orderkey", C("o_custkey").alias("bytes"), F.explode(F.array(F.concat(folder, file), F.concat(folder, L("notes.txt")))).alias("path"))
+    return analysed(rows, "path", "bytes", CODES, STEM).drop("bytes", "path")
 
 
 # JSON
