@@ -7,7 +7,8 @@ for a thousandth, unless it holds an article, main or most of the text outside l
 
 What is content is decided by ratios. Each line has a ratio of its characters, those in links at a tenth, to the tags met
 with it. Ratios are smoothed along the page by a Gaussian that does not reach across the border of a zone, and split in
-two clusters by a threshold at their standard deviation; the upper one is the seeds. A zone without a seed goes. The text is
+two clusters by a threshold at their standard deviation; the upper one is the seeds, but for lines that owe their place to
+their neighbours alone: links, and what is under a quarter of the threshold and no heading. A zone without a seed goes. The text is
 the region from the first to the last line that is a seed or stands in an article or main that has one, or in one beside
 it, with the lines around it that share a parent with those; all lines of the region are kept, short ones included.
 """
@@ -27,7 +28,7 @@ from . import common
 
 PIECE = 1 << 16
 SIGMA = 1.0
-IN_LINKS, IN_ZONES = 0.1, 0.001
+IN_LINKS, IN_ZONES, OWN_SHARE = 0.1, 0.001, 0.25
 
 BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,6 +47,7 @@ HEADINGS = frozenset("header masthead banner".split())
 OWNERS = frozenset("article post entry story content".split())
 OF_ARTICLES = frozenset("ad ads advert advertisement sponsored promo promotion related recommended comment comments reply replies".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+HEADING_TAGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LISTS, TABLES = ("ul", "ol", "dl", "table", "select"), ("table", "select")
 
 _part = re.compile(r"[a-z]+")
@@ -75,17 +77,17 @@ def _hints(tag: str, attrs: list, in_article: bool) -> set[str]:
                 parts = set(_part.findall(_camel.sub(" ", name).lower()))
                 if MODIFIERS.isdisjoint(parts):
                     hints = parts & (OF_ARTICLES if tag == "article" else NAMES)
-                    own = in_article or re.fullmatch("h[1-6]", tag) or not OWNERS.isdisjoint(parts)
+                    own = in_article or tag in HEADING_TAGS or not OWNERS.isdisjoint(parts)
                     found |= hints - HEADINGS if own else hints
     return found
 
 
 class Lines(HTMLParser):
-    """Gathers lines from events: (parts, tags, article, group, parent).
+    """Gathers lines from events: (parts, tags, article, group, parent, heading).
 
     A part is (text, the innermost hinted element around it, whether in a link); ``parts`` is empty for what is excluded.
-    ``article`` numbers the innermost article or main, ``group`` the block around the outermost one, -1 for none, and
-    ``parent`` the block around the line's own. Open elements are also listed by tag, so no event walks the stack.
+    ``article`` numbers the innermost article or main, ``group`` the block around the outermost one, -1 for none, 
+    ``parent`` the block around the line's own, and ``heading`` is whether that is one. Open elements are also listed by tag, so no event walks the stack.
     """
 
     def __init__(self):
@@ -93,13 +95,13 @@ class Lines(HTMLParser):
         self.stack: list[tuple[str, bool, int, int, int, int, bool]] = []  # tag, outside, article, group, number, hinted, in a link
         self.open: dict[str, list[int]] = defaultdict(list)  # where each tag is in the stack
         self.blocks: list[int] = []  # where blocks are
-        self.lines: list[tuple[list, int, int, int, int]] = []
+        self.lines: list[tuple[list, int, int, int, int, bool]] = []
         self.parts: list[tuple[str, int, bool]] = []
         self.hinted: list[tuple[int, bool, bool]] = [(0, False, False)]  # the one around it, in an article, names of OF_ARTICLES only
         self.free: list[int] = [0]  # characters outside links, directly in each of hinted
         self.articles: dict[int, tuple[int, bool]] = {}  # the hinted around it, whether main
         self.filled: set[int] = set()  # articles that have text
-        self.tags, self.count, self.dark, self.spot = 0, 0, False, (0, -1, 0)
+        self.tags, self.count, self.dark, self.spot = 0, 0, False, (0, -1, 0, False)
 
     def innermost(self, tags) -> int:
         """Where the innermost open element of one of ``tags`` is in the stack, -1 if there is none."""
@@ -130,10 +132,11 @@ class Lines(HTMLParser):
             if number in self.filled:
                 holds[around] += 1
                 main[around] |= is_main
-        left, articles, apart = sum(free), sum(holds), [False] * n
+        total, articles, apart = sum(free), sum(holds), [False] * n
+        left = total
         for k in range(n - 1, 0, -1):  # innermost first: what is inside comes after
             around, in_article, of_articles = self.hinted[k]
-            most = free[k] > 0 and 2 * free[k] >= left
+            most = free[k] > 0 and 2 * free[k] >= (total if of_articles else left) and not (in_article and of_articles)
             if main[k] or holds[k] and (most or not of_articles) or most and (in_article or not articles):
                 free[around] += free[k]
                 holds[around] += holds[k]
@@ -204,7 +207,7 @@ class Lines(HTMLParser):
         if not self.parts:
             if blank:
                 return
-            self.spot = article, group, self.parent(2)
+            self.spot = article, group, self.parent(2), bool(self.blocks) and self.stack[self.blocks[-1]][0] in HEADING_TAGS
         self.parts.append((data, hinted, link))
         if not link:
             self.free[hinted] += len(data.strip())
@@ -225,9 +228,12 @@ def smooth(ratios: np.ndarray, zones: np.ndarray, sigma: float = SIGMA) -> np.nd
     return total / mass
 
 
-def seeds(smoothed: np.ndarray) -> np.ndarray:
-    """Which are of the upper cluster: not below the standard deviation of all."""
-    return smoothed >= smoothed.std() * (1 - 1e-9)
+def seeds(smoothed: np.ndarray, ratios: np.ndarray, zones: np.ndarray, headings: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """Which are of the upper cluster, not below the standard deviation of all, and there not by their neighbours alone: smoothing carries over to
+    what stands beside content, though not into another zone."""
+    cut = smoothed.std() * (1 - 1e-9)
+    upper = (zones >= 0) & (smoothed >= cut) & ((ratios >= OWN_SHARE * cut) | headings | (zones > 0))
+    return upper & ~linked if (upper & ~linked).any() else upper
 
 
 def main_text(html: str, sigma: float = SIGMA) -> str:
@@ -236,17 +242,21 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
         page.feed(html[k : k + PIECE])
     page.close()
     zones = page.zones()
-    cells: list[tuple[int, int, float]] = []  # line, zone, ratio: a line's text in one zone
-    for k, (parts, tags, *_) in enumerate(page.lines):
+    cells: list[tuple[int, int, float, bool, bool]] = []  # line, zone, ratio, heading, links only: a line's text in one zone
+    for k, (parts, tags, *_, heading) in enumerate(page.lines):
         size: dict[int, float] = {}
+        free: set[int] = set()
         for text, hinted, link in parts:
-            zone = zones[hinted]
-            size[zone] = size.get(zone, 0.0) + len(text.strip()) * (IN_LINKS if link else 1.0) * (IN_ZONES if zone else 1.0)
-        cells += [(k, zone, n / max(1, tags)) for zone, n in size.items()] or [(k, -1, 0.0)]
+            zone, n = zones[hinted], len(text.strip())
+            size[zone] = size.get(zone, 0.0) + n * (IN_LINKS if link else 1.0) * (IN_ZONES if zone else 1.0)
+            if n and not link:
+                free.add(zone)
+        cells += [(k, zone, n / max(1, tags), heading, zone not in free) for zone, n in size.items()] or [(k, -1, 0.0, False, True)]
     if not cells:
         return ""
-    of_line, of_zone, ratios = (np.array(x) for x in zip(*cells))
-    seed = seeds(smooth(ratios.astype(float), of_zone, sigma)) & (of_zone >= 0)
+    of_line, of_zone, ratios, headings, linked = (np.array(x) for x in zip(*cells))
+    ratios = ratios.astype(float)
+    seed = seeds(smooth(ratios, of_zone, sigma), ratios, of_zone, headings, linked)
     kept_zones = {0} | set(of_zone[seed].tolist())
     seeded = set(of_line[seed].tolist())
     texts = ["".join(text for text, hinted, _ in parts if zones[hinted] in kept_zones) for parts, *_ in page.lines]

@@ -71,6 +71,23 @@ def test_ratios_decide(monkeypatch, given):
     assert html_text.main_text(page) != "T\n" + CLEAR
 
 
+LONG = "A reader says that all of this is wrong, and goes on about it. "
+
+
+def test_comments_and_adverts_longer_than_the_article():
+    comments = "".join(f'<div class="comment"><p>{LONG * 8}</p></div>' for _ in range(5))
+    assert html_text.main_text(f'<article><h1>H</h1><p>Short.</p><section id="comments"><h2>Comments</h2>{comments}</section></article>') == "H\nShort."
+    assert html_text.main_text(f'<div class="text"><h1>H</h1>{BODY}</div><section id="comments"><h2>Comments</h2>{comments}</section>') == "H\n" + CLEAR
+    assert html_text.main_text(f'<article><h1>H</h1><p>Short.</p><div class="ad">{LONG * 6}</div><p>End.</p></article>') == "H\nShort.\nEnd."
+
+
+def test_lines_do_not_live_on_their_neighbours():
+    menu = "<div><ul><li><a>One</a><li><a>Two</a></ul></div>"
+    page = f"<div><a>Home</a> | <a>Contact</a></div><div><h1>Title</h1></div><div>{BODY}<p>Short.</div>{menu}<div><p>Imprint</p></div>"
+    assert html_text.main_text(page) == f"Title\n{CLEAR}\nShort."
+    assert html_text.main_text(menu) == "One\nTwo"  # nothing else there
+
+
 def test_deep_pages_take_linear_time():
     def seconds(page):
         began = time.process_time()
@@ -83,18 +100,18 @@ def test_deep_pages_take_linear_time():
 
 
 def plainly(page):
-    """The main text of a page of <p>, <a>, <nav>, <div>, <article> and <div class="ad">, all closed, by lists and loops."""
+    """The main text of a page of <p>, <h2>, <a>, <nav>, <div>, <article> and <div class="ad">, all closed, by lists and loops."""
     lines, ads, stack, tags, dark, number = [], [], [], 0, False, 0
     text = None
     for token in re.findall("<[^>]+>|[^<]+", page):
-        name = re.match("</?([a-z]+)", token)
+        name = re.match("</?([a-z0-9]+)", token)
         if not name:
             if any(e["tag"] == "nav" for e in stack):
                 dark = True
             else:
                 blocks = [e for e in stack if e["tag"] != "a"]
                 articles = [k for k, e in enumerate(stack) if e["tag"] == "article"]
-                text = text or {"parts": [], "parent": blocks[-2]["n"] if len(blocks) > 1 else 0, "group": (stack[articles[0] - 1]["n"] if articles[0] else 0) if articles else -1}
+                text = text or {"parts": [], "parent": blocks[-2]["n"] if len(blocks) > 1 else 0, "heading": blocks[-1]["tag"] == "h2" if blocks else False, "group": (stack[articles[0] - 1]["n"] if articles[0] else 0) if articles else -1}
                 text["parts"].append((token, stack[-1]["ad"] if stack else 0, any(e["tag"] == "a" for e in stack)))
             continue
         opening = token[1] != "/"
@@ -120,12 +137,10 @@ def plainly(page):
     for line, _ in lines:
         for part, ad, link in line["parts"] if line else ():
             free[ad] += 0 if link else len(part.strip())
-    articles, left, zone = any(line and line["group"] >= 0 for line, _ in lines), sum(free), list(range(len(ads) + 1))
+    articles, zone = any(line and line["group"] >= 0 for line, _ in lines), list(range(len(ads) + 1))
     for k in range(len(ads), 0, -1):  # no ad holds another
-        if free[k] and 2 * free[k] >= left and (ads[k - 1]["in_article"] or not articles):
+        if free[k] and 2 * free[k] >= sum(free) and not ads[k - 1]["in_article"] and not articles:
             zone[k] = 0
-        else:
-            left -= free[k]
     ratios = [(zone[line["parts"][0][1]], sum(len(t.strip()) * (0.1 if link else 1) for t, _, link in line["parts"]) * (0.001 if zone[line["parts"][0][1]] else 1) / tags) if line else (-1, 0.0) for line, tags in lines]
     smoothed = []
     for k, (z, _) in enumerate(ratios):
@@ -133,7 +148,9 @@ def plainly(page):
         smoothed.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
     mean = sum(smoothed) / max(1, len(smoothed))
     cut = math.sqrt(sum((x - mean) ** 2 for x in smoothed) / max(1, len(smoothed)))
-    seeds = [k for k, (z, _) in enumerate(ratios) if z >= 0 and smoothed[k] >= cut * (1 - 1e-9)]
+    cut *= 1 - 1e-9
+    upper = [k for k, (z, r) in enumerate(ratios) if z >= 0 and smoothed[k] >= cut and (r >= cut / 4 or z or lines[k][0]["heading"])]
+    seeds = [k for k in upper if any(t.strip() and not link for t, _, link in lines[k][0]["parts"])] or upper
     zones, groups = {0} | {ratios[k][0] for k in seeds}, {lines[k][0]["group"] for k in seeds} - {-1}
     left = [k for k, (z, _) in enumerate(ratios) if z in zones]
     at = [n for n, k in enumerate(left) if k in seeds or lines[k][0]["group"] in groups]
@@ -154,7 +171,7 @@ def test_pages_against_plain_code():
 
     def line():
         n = rnd.choice([1, 3, 8, 30, 90])
-        return rnd.choice([f"<p>{words(n)}</p>"] * 4 + [f"<p><a>{words(3)}</a> {words(1)} <a>{words(2)}</a></p>", f'<div class="ad">{words(n)}</div>', f"<nav><a>{words(2)}</a></nav>"])
+        return rnd.choice([f"<p>{words(n)}</p>"] * 4 + [f"<h2>{words(2)}</h2>", f"<p><a>{words(3)}</a> {words(1)} <a>{words(2)}</a></p>", f'<div class="ad">{words(n)}</div>', f"<nav><a>{words(2)}</a></nav>"])
 
     def section():
         inner = "".join(line() for _ in range(rnd.randint(0, 5)))
