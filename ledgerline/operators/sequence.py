@@ -10,15 +10,18 @@ from ledgerline.sources.tables import materialised
 
 def assign_ids(cases: DataFrame, prefix: str, order: str, taken: DataFrame, reserved: DataFrame | None = None) -> DataFrame:
     """``cases`` with ``id``: their prefix and the next free numbers in ``order``, after those of ``taken`` (prefix, n) and,
-    if given, of ``reserved`` (prefix, n). Prefixes are numbered apart, so the work spreads over them."""
-    base = taken.groupBy(prefix).agg(F.max("n").alias("_a"))
-    rows = cases.join(base, prefix, "left")
+    if given, of ``reserved`` (prefix, n). ``order`` leaves no ties in a prefix. A prefix with most of the cases is no burden: places
+    are had over all of them, and a prefix's first place is taken off. Without a prefix there is no id."""
+    rows = placed(cases, F.col(prefix), F.col(order), name="_place")
+    starts = rows.groupBy(prefix).agg((F.min("_place") - 1).alias("_off"))
+    starts = starts.join(taken.groupBy(prefix).agg(F.max("n").alias("_a")), prefix, "left")
     start = F.coalesce("_a", F.lit(0))
     if reserved is not None:
-        rows = rows.join(reserved.groupBy(prefix).agg(F.max("n").alias("_b")), prefix, "left")
+        starts = starts.join(reserved.groupBy(prefix).agg(F.max("n").alias("_b")), prefix, "left")
         start = F.greatest(start, F.coalesce("_b", F.lit(0)))
-    number = start + F.row_number().over(Window.partitionBy(prefix).orderBy(order))
-    return rows.withColumn("id", F.concat(prefix, F.format_string("%03d", number))).drop("_a", "_b")
+    starts = starts.select(prefix, (start - F.col("_off")).alias("_start"))
+    number = F.col("_start") + F.col("_place")
+    return rows.join(starts, prefix, "left").select(*cases.columns, F.concat(prefix, F.format_string("%03d", number)).alias("id"))
 
 
 def least_deep(rows: DataFrame, keys: list[str], path: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import strip
 
+from .sequence import placed
+
 
 def blank(c: Column, *sentinels: str) -> Column:
     return F.lower(strip(F.coalesce(c.cast("string"), F.lit("")))).isin("", *sentinels)
@@ -82,22 +84,14 @@ def queue_upsert(queue: DataFrame, incoming: DataFrame, key: str | list[str], re
 
 
 def append_absent(log: DataFrame, incoming: DataFrame, unique: str, number: str, order: str, prefix: str) -> DataFrame:
-    """The rows of ``incoming`` whose ``unique`` the log lacks, numbered on after the log's greatest number.
+    """The rows of ``incoming`` whose ``unique`` the log lacks, numbered on without gaps after the log's greatest number.
 
-    ``order`` is a number or a date. Numbers go on without gaps; the place within all new rows comes from counts of ranges
-    of ``order``, so no task sorts all of them. Ranges are cut at fixed values, so that a task that runs again, or another
-    read of them, deals rows out alike.
+    Numbers go by ``order``, ties by ``unique``; of several rows of one ``unique`` the first counts.
     """
     fresh = incoming.groupBy(unique).agg(F.min(order).alias(order)).join(log.select(unique), unique, "left_anti")
     greatest = log.agg(F.coalesce(F.max(F.substring_index(number, "-", -1).try_cast("long")), F.lit(0)).alias("_base"))
-    n = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(fresh.agg(F.percentile_approx(order, [k / n for k in range(1, n)] or [0.5])).first()[0] or []))
-    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda x: x <= F.col(order))) if cuts else F.lit(0)
-    placed = fresh.withColumn("_part", part)
-    counts = placed.groupBy("_part").agg(F.count("*").alias("_c")).withColumn("_before", F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(order))
-    rows = placed.join(F.broadcast(counts), "_part").crossJoin(F.broadcast(greatest))  # a row a range, and one row
-    return rows.select(unique, order, F.concat(F.lit(prefix), F.format_string("%04d", F.col("_base") + F.col("_before") + inside)).alias(number))
+    rows = placed(fresh, F.col(order), F.col(unique), name="_place").crossJoin(F.broadcast(greatest))  # one row
+    return rows.select(unique, order, F.concat(F.lit(prefix), F.format_string("%04d", F.col("_base") + F.col("_place"))).alias(number))
 
 
 def migrate(table: DataFrame, renamed: dict[str, str], target: list[str]) -> DataFrame:

@@ -365,42 +365,54 @@ def subject_grammar(folder: Column, parent: Column) -> Column:
 
     A leading code of three or four digits is the project, else the parent's; letters before a number name the species,
     which holds on for the numbers after it; what fits nothing is flagged."""
-    name = text.strip(folder)
-    phantom = F.contains(F.lower(name), L("phantom"))
-    lead = "^([0-9]{3,4})[_-](.+)$"
-    own, above = F.regexp_extract(name, lead, 1), F.regexp_extract(F.coalesce(parent, L("")), "^([0-9]{3,4})(?![0-9])", 1)
-    rest = F.when(own != "", F.regexp_extract(name, lead, 2)).otherwise(name)
-    tail = "^(.*?)[_-]?([0-9]+(?:h|d|min|w))$"
-    timepoint = F.nullif(F.regexp_extract(rest, tail, 2), L(""))
-    rest = F.when(timepoint.isNotNull(), F.regexp_extract(rest, tail, 1)).otherwise(rest)
-    tokens, animal = F.filter(F.split(rest, "[_-]"), lambda x: x != ""), "^([A-Za-z]?)([0-9]+)$"
-    start = F.struct(L("").alias("species"), F.array().cast("array<string>").alias("found"))
+    lead, tail, animal = "^([0-9]{3,4})[_-](.+)$", "^(.*?)[_-]?([0-9]+(?:h|d|min|w))$", "^([A-Za-z]?)([0-9]+)$"
+    nothing = F.array().cast("array<string>")
+    head = lambda name: F.struct(
+        name.alias("name"),
+        F.regexp_extract(name, lead, 1).alias("own"),
+        F.regexp_extract(F.coalesce(parent, L("")), "^([0-9]{3,4})(?![0-9])", 1).alias("above"),
+        F.regexp_replace(name, "^[0-9]{3,4}[_-](?=.)", "").alias("rest"),
+    )
+    body = lambda h: F.struct(
+        h["own"].alias("own"),
+        h["above"].alias("above"),
+        F.contains(F.lower(h["name"]), L("phantom")).alias("phantom"),
+        F.nullif(F.regexp_extract(h["rest"], tail, 2), L("")).alias("timepoint"),
+        F.filter(F.split(F.regexp_replace(h["rest"], "[_-]?[0-9]+(?:h|d|min|w)$", ""), "[_-]"), lambda x: x != "").alias("tokens"),
+    )
 
     def step(acc: Column, token: Column) -> Column:
-        named = F.lower(F.regexp_extract(token, animal, 1))
-        species = F.when(named != "", named).otherwise(acc["species"])
-        entry = F.concat(F.when(species == "", "?").otherwise(species), F.regexp_replace(F.regexp_extract(token, animal, 2), "^0+(?=.)", ""))
-        return F.when(token.rlike(animal), F.struct(species.alias("species"), F.concat(acc["found"], F.array(entry)).alias("found"))).otherwise(acc)
-
-    animals = F.aggregate(tokens, start, step)["found"]
-    near = (F.length(own) == F.length(above)) & (F.aggregate(F.sequence(L(1), F.greatest(F.length(own), L(1))), L(0), lambda n, k: n + (F.substr(own, k, L(1)) != F.substr(above, k, L(1))).cast("int")) == 1)
-    flags = F.array_compact(
-        F.array(
+        """A number takes the species named with it, else the last one named; other tokens are set aside."""
+
+        def numbered(number: Column) -> Column:
+            named = F.lower(F.regexp_extract(token, animal, 1))
+            species = F.when(named != "", named).otherwise(acc["species"])
+            entry = F.concat(F.when(species == "", "?").otherwise(species), F.regexp_replace(number, "^0+(?=.)", ""))
+            known = F.struct(species.alias("species"), F.concat(acc["found"], F.array(entry)).alias("found"), acc["odd"].alias("odd"))
+            return F.when(number != "", known).otherwise(F.struct(acc["species"].alias("species"), acc["found"].alias("found"), F.concat(acc["odd"], F.array(token)).alias("odd")))
+
+        return lists.let(F.regexp_extract(token, animal, 2), numbered)
+
+    def told(b: Column, seen: Column) -> Column:
+        own, above = b["own"], b["above"]
+        near = (F.length(own) == F.length(above)) & (F.levenshtein(own, above) == 1)
+        project = F.array(
             F.when((own != "") & (above != "") & near, F.concat(L("project-conflict:"), above)),
             F.when((own == "") & (above != ""), "project<-parent"),
             F.when((own == "") & (above == ""), "no-project"),
         )
-    )
-    flags = F.concat(flags, F.transform(F.filter(tokens, lambda x: ~x.rlike(animal)), lambda x: F.concat(L("unparsed:"), x)), F.array_compact(F.array(F.when((F.size(animals) == 0) & timepoint.isNull(), "no-animals"), F.when(F.exists(animals, lambda a: F.startswith(a, L("?"))), "species-unknown"))))
-    project = F.nullif(F.coalesce(F.nullif(own, L("")), above), L(""))
-    nothing = F.array().cast("array<string>")
-    return F.struct(
-        phantom.alias("phantom"),
-        F.when(~phantom, project).alias("project"),
-        F.when(phantom, nothing).otherwise(animals).alias("animals"),
-        F.when(~phantom, timepoint).alias("timepoint"),
-        F.when(phantom, F.array(L("phantom"))).otherwise(flags).alias("flags"),
-    )
+        odd = F.transform(seen["odd"], lambda x: F.concat(L("unparsed:"), x))
+        species = F.array(F.when((F.size(seen["found"]) == 0) & b["timepoint"].isNull(), "no-animals"), F.when(F.exists(seen["found"], lambda a: F.startswith(a, L("?"))), "species-unknown"))
+        return F.struct(
+            b["phantom"].alias("phantom"),
+            F.when(~b["phantom"], F.nullif(F.coalesce(F.nullif(own, L("")), above), L(""))).alias("project"),
+            F.when(b["phantom"], nothing).otherwise(seen["found"]).alias("animals"),
+            F.when(~b["phantom"], b["timepoint"]).alias("timepoint"),
+            F.when(b["phantom"], F.array(L("phantom"))).otherwise(F.array_compact(F.concat(project, odd, species))).alias("flags"),
+        )
+
+    start = F.struct(L("").alias("species"), nothing.alias("found"), nothing.alias("odd"))
+    return lists.let(lists.let(text.strip(folder), head), lambda h: lists.let(body(h), lambda b: lists.let(F.aggregate(b["tokens"], start, step), lambda seen: told(b, seen))))
 
 
 @query(
@@ -431,6 +443,11 @@ LEVELS_BETWEEN = "(?i)^([0-9]{14}_(pet|ct|spect|oi)|(recon|frame|iter)_?[0-9]+|(
 TIME_LEVEL = "(?i)^([0-9]+ *h( *[0-9]+ *min)?|[0-9]+ *min|d[0-9]+|day *[0-9]+)$"
 
 
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with ``columns`` evaluated once a row, however often they are used: projections above a generator are not folded into it."""
+    return rows.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
 def analysed(rows: DataFrame, path: str, size: str, codes: list[str], stem: str, extra_level: str = "EXTRA") -> DataFrame:
     """Nineteen columns from paths year/group/researcher/.../file; a level ``extra_level`` may stand before the researcher.
 
@@ -438,18 +455,19 @@ def analysed(rows: DataFrame, path: str, size: str, codes: list[str], stem: str,
     directory names, else rejected, which the flags tell; so they do of dates that do not agree and of missing levels.
     """
     p = C("_p")
-    rows = rows.withColumn("_p", paths.parts(C(path)))
-    rows = rows.withColumn("_f", paths.by_pattern(F.element_at(p, -1), SCAN, ["stamp", "modality", "algo", "recon"])).where("_f is not null")
+    rows = once(rows, _p=paths.parts(C(path)))
+    rows = once(rows, _f=paths.by_pattern(F.element_at(p, -1), SCAN, ["stamp", "modality", "algo", "recon"])).where("_f is not null")
     rows = rows.withColumn("_at", F.when((F.size(p) > 3) & (F.upper(F.get(p, 2)) == extra_level), 3).otherwise(2)).withColumn("_loose", F.size(p) <= C("_at") + 1)
     rows = rows.withColumn("_dirs", F.when(C("_loose"), F.array().cast("array<string>")).otherwise(F.slice(p, C("_at") + 2, F.greatest(F.size(p) - C("_at") - 2, L(0)))))
-    rows = rows.withColumn("_w", paths.walk_up(C("_dirs"), LEVELS_BETWEEN, TIME_LEVEL))
+    rows = once(rows, _w=paths.walk_up(C("_dirs"), LEVELS_BETWEEN, TIME_LEVEL))
     named = F.regexp_replace(F.regexp_replace(C("_w.subject"), r"(?iu)\b(?:rat|rata|raton|ratón)\s*[_-]?\s*([0-9]+)", "r$1"), r"(?i)\b(?:mouse|mice)\s*[_-]?\s*([0-9]+)", "m$1")
-    rows = rows.withColumn("_g", F.when(C("_w.subject") != "", subject_grammar(named, C("_w.series"))))
+    rows = once(rows, _name=named)
+    rows = once(rows, _g=F.when(C("_w.subject") != "", subject_grammar(C("_name"), C("_w.series"))))
     date = F.coalesce(F.get(F.filter("_dirs", lambda d: d.rlike("^[0-9]{6}$")), 0), L(""))
     given, valid = F.coalesce("_g.project", L("")), F.array(*map(L, codes))
     wrong = (given != "") & ~F.array_contains(valid, given)
     found = F.when(wrong, paths.last_valid(F.transform(F.slice(p, 1, F.size(p) - 1), lambda d: F.regexp_extract(d, "^([0-9]{3,4})(?:[_-]|$)", 1)), valid))
-    rows = rows.withColumns({"_date": date, "_wrong": wrong, "_found": found})
+    rows = once(rows, _date=date, _wrong=wrong, _found=found)
     project = F.when(C("_wrong"), F.coalesce("_found", L(""))).otherwise(given)
     agrees = F.nullif(dates.date_flag(C("_f.stamp"), C("_date")), L(""))
     missing = F.when(C("_w.subject") == "", "no-subject-folder")

@@ -122,3 +122,13 @@ def test_duplicates_with_blank_keys(spark):
 def test_summaries_of_no_files(spark):
     files = spark.createDataFrame([], "folder string, length long, name string")
     assert documents.summarized(files, "folder", {"dcm": F.col("name") == "x"}, {"dcm": {"m": F.max("name")}}).count() == 0
+
+
+def test_numbers_of_a_prefix_that_has_nearly_all(spark):
+    cases = spark.range(5000).selectExpr("if(id % 50 = 0, 'B-', 'A-') as prefix", "id as place").union(spark.createDataFrame([(None, 9)], "prefix string, place long")).repartition(6)
+    taken = spark.createDataFrame([("A-", 7), ("A-", 3), ("C-", 99)], "prefix string, n long")
+    found = sequence.assign_ids(cases, "prefix", "place", taken).collect()
+    order = {p: sorted(r.place for r in found if r.prefix == p) for p in ("A-", "B-")}
+    for r in found:
+        assert r.id == (r.prefix and f"{r.prefix}{order[r.prefix].index(r.place) + (8 if r.prefix == 'A-' else 1):03d}")
+    assert len(found) == 5001
