@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions import lists, paths, values
+from ledgerline.functions import lists, paths, text, values
 from ledgerline.operators import grouping, sequence
 
 from .base import PACKED_SQL, Tables, packed_suppliers, query
@@ -247,3 +247,20 @@ def progress_numbers(t: Tables) -> DataFrame:
 def outcome_counts(t: Tables) -> DataFrame:
     outcome = F.when(C("o_orderstatus") == "P", "pending").when(C("o_orderkey") % 3 == 0, "failed").otherwise("done")
     return t.orders.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query("select l_orderkey, l_returnflag, count(*) as n_objects, min(l_partkey * 1000 + l_suppkey) as first_object from lineitem group by l_orderkey, l_returnflag")
+def series_index(t: Tables) -> DataFrame:
+    """Objects by series: how many, and the first by name."""
+    name = C("l_partkey") * 1000 + C("l_suppkey")
+    return t.lineitem.groupBy("l_orderkey", "l_returnflag").agg(F.count("*").alias("n_objects"), F.min_by(name, name).alias("first_object"))
+
+
+@query("select c_custkey, c_custkey % 2 = 0 and c_custkey % 3 > 0 and trim(c_mktsegment) <> '' and c_acctbal > 0 as complete from customer")
+def db_complete(t: Tables) -> DataFrame:
+    """Whether a record comes from the database and lacks none of the fields that must be known."""
+    source = F.when(C("c_custkey") % 2 == 0, "db").otherwise("pending-db")
+    needed = {"sex": F.when(C("c_custkey") % 3 == 0, "unknown").otherwise("F"), "strain": C("c_mktsegment"), "born": F.when(C("c_acctbal") > 0, C("c_acctbal").cast("string")).otherwise(" ")}
+    plain = {name: F.lower(text.strip(F.coalesce(value, L("")))) for name, value in needed.items()}
+    known = ~plain["sex"].isin("", "unknown") & (plain["strain"] != "") & (plain["born"] != "")
+    return t.customer.select("c_custkey", ((source == "db") & known).alias("complete"))
