@@ -90,7 +90,8 @@ def ordered(rows: DataFrame, measure, rules: tuple[Rule, ...], sample_rows: int
     total = rows.count()
     if not total or len(rules) < 2:
         return [(r, 0.0, 0.0) for r in rules]
-    sample = measure(rows.sample(min(1.0, sample_rows / total), seed)).where(asked).coalesce(1).persist()
+    # Drawn and measured by all tasks; then in one partition, as a job's time is to be that of its rows.
+    sample = measure(rows.sample(min(1.0, sample_rows / total), seed)).where(asked).repartition(1).persist()
     try:
         n = sample.count()
         if not n:
