@@ -13,7 +13,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -176,8 +176,8 @@ def sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_i
     What counts is a text with a letter, a language and an id outside the held-out fold; equal texts of a language count
     once. Every language gives all its texts or as many as any other, so that they are ``sample_docs`` in all; it gives one at
     least, so there are more if there are more languages than that. Texts are drawn by their hash and read whole in the
-    tasks, and a text gives DRAWS stretches at most. Two numbers of each drawn text come to the driver, about twice
-    ``sample_docs`` and thirty more a language.
+    tasks, and a text gives DRAWS stretches at most. A number a language comes to the driver; about twice ``sample_docs`` texts'
+    stretches, and those of thirty more a language, are shuffled.
     """
     known = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang")).where("lang is not null and doc_id is not null")
     known = known.where(F.col("text").rlike("\\p{L}") & ~_held_out(F.col("doc_id"))).withColumn("hash", F.xxhash64("text"))
@@ -186,21 +186,16 @@ def sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_i
     level = _level(list(counts.values()), sample_docs) if counts else 0
     shares = spark.createDataFrame([(k, min(1.0, (2.0 * level + 30) / max(1, n))) for k, n in counts.items()], "_lang string, share double")
     draw = F.pmod("hash", F.lit(1 << 32)) / F.lit(float(1 << 32))
-    drawn = known.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).where(draw < F.col("share"))
-    taken, chosen = dict.fromkeys(counts, 0), []
-    for r in sorted(drawn.select("lang", "hash").distinct().collect(), key=lambda r: (r["hash"] % (1 << 32), r["hash"], r["lang"])):
-        if taken[r["lang"]] < level:
-            taken[r["lang"]] += 1
-            chosen.append((r["lang"], r["hash"]))
-    chosen = spark.createDataFrame(chosen, "_lang string, _hash long")
-    rows = known.join(F.broadcast(chosen), (F.col("lang") == F.col("_lang")) & (F.col("hash") == F.col("_hash"))).select("lang", "hash", "text")
+    rows = known.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).where(draw < F.col("share")).select("lang", "hash", "text")
 
     def batches(parts):
         for part in common.sliced(parts):
             found = [_drawn(*x) for x in zip(part.column(2).to_pylist(), part.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.binary()))], names=["lang", "hash", "stretches"])
 
-    return rows.mapInArrow(batches, "lang string, hash long, stretches array<binary>").dropDuplicates(["lang", "hash"])
+    found = rows.mapInArrow(batches, "lang string, hash long, stretches array<binary>").dropDuplicates(["lang", "hash"])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(draw, "hash"))
+    return found.withColumn("place", place).where(F.col("place") <= level).drop("place")
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
