@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .lists import let
+
 
 def basename(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
@@ -66,14 +68,24 @@ def walk_up(dirs: Column, noise: str, timepoint: str) -> Column:
     """struct(subject, timepoint, series): the innermost directory that is neither noise nor a time point, the innermost time
     point below it, and the next such directory above. A bare number is noise only under a Frames directory."""
     frames, number = "(?i)^(frames?|\\d+\\s*frames?)$", "^\\d+$"
-    plain = lambda d: d.rlike(noise) | d.rlike(timepoint)
-    skipped = F.transform(dirs, lambda d, i: plain(d) | (d.rlike(number) & F.coalesce(F.get(dirs, i - 1).rlike(frames), F.lit(False))))
-    at = F.array_max(F.transform(skipped, lambda s, i: F.when(~s, i).otherwise(-1)))
-    points = F.filter(F.slice(dirs, F.coalesce(at, F.lit(-1)) + 2, F.greatest(F.size(dirs), F.lit(1))), lambda d: d.rlike(timepoint))
-    above = F.filter(F.slice(dirs, 1, F.greatest(F.coalesce(at, F.lit(0)), F.lit(0))), lambda d: ~plain(d))
-    return F.struct(
-        F.when(at >= 0, F.get(dirs, at)).otherwise("").alias("subject"), F.get(points, F.size(points) - 1).alias("timepoint"), F.get(above, F.size(above) - 1).alias("series")
-    )
+    levels = F.transform(dirs, lambda d, i: F.struct(d.alias("name"), i.alias("i"), d.rlike(timepoint).alias("point"), d.rlike(noise).alias("noise")))
+
+    def found(ls: Column) -> Column:
+        indexed = lambda x: x["name"].rlike(number) & F.coalesce(F.get(dirs, x["i"] - 1).rlike(frames), F.lit(False))
+        plain = F.filter(ls, lambda x: ~(x["noise"] | x["point"]))
+        return let(plain, lambda ps: let(F.element_at(F.concat(F.array(F.lit(None).cast(LEVEL)), F.filter(ps, lambda x: ~indexed(x))), -1), lambda at: told(ls, ps, at)))
+
+    def told(ls: Column, ps: Column, at: Column) -> Column:
+        place = F.coalesce(at["i"], F.lit(-1))
+        last = lambda xs: F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.transform(xs, lambda x: x["name"])), -1)
+        return F.struct(
+            F.coalesce(at["name"], F.lit("")).alias("subject"), last(F.filter(ls, lambda x: x["point"] & (x["i"] > place))).alias("timepoint"), last(F.filter(ps, lambda x: x["i"] < place)).alias("series")
+        )
+
+    return let(levels, found)
+
+
+LEVEL = "struct<name:string,i:int,point:boolean,noise:boolean>"
 
 
 def last_valid(codes: Column, valid: Column) -> Column:

@@ -463,9 +463,9 @@ def analysed(rows: DataFrame, path: str, size: str, codes: list[str], stem: str,
     named = F.regexp_replace(F.regexp_replace(C("_w.subject"), r"(?iu)\b(?:rat|rata|raton|ratón)\s*[_-]?\s*([0-9]+)", "r$1"), r"(?i)\b(?:mouse|mice)\s*[_-]?\s*([0-9]+)", "m$1")
     rows = once(rows, _name=named)
     rows = once(rows, _g=F.when(C("_w.subject") != "", subject_grammar(C("_name"), C("_w.series"))))
-    date = F.coalesce(F.get(F.filter("_dirs", lambda d: d.rlike("^[0-9]{6}$")), 0), L(""))
+    date = F.coalesce(F.get(F.filter("_dirs", lambda d: (F.length(d) == 6) & d.rlike("^[0-9]{6}$")), 0), L(""))
     given, valid = F.coalesce("_g.project", L("")), F.array(*map(L, codes))
-    wrong = (given != "") & ~F.array_contains(valid, given)
+    wrong = (given != "") & ~given.isin(*codes)
     found = F.when(wrong, paths.last_valid(F.transform(F.slice(p, 1, F.size(p) - 1), lambda d: F.regexp_extract(d, "^([0-9]{3,4})(?:[_-]|$)", 1)), valid))
     rows = once(rows, _date=date, _wrong=wrong, _found=found)
     project = F.when(C("_wrong"), F.coalesce("_found", L(""))).otherwise(given)
