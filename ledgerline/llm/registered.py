@@ -15,4 +15,4 @@ QUERIES = {
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
 }
 
-ORACLES = {"op1_quality_rules": quality.OP1_SQL, "op6_mixing": mixing.OP6_SQL}
+ORACLES = {"op1_quality_rules": quality.OP1_SQL, "op5_secrets": secrets.OP5_SQL, "op6_mixing": mixing.OP6_SQL}

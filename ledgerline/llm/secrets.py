@@ -207,3 +207,49 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(common.table(spark, sf_dir, "documents"))
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+def _places(kind: str, rank: int, pattern: str, keep: str, group: int = 0) -> str:
+    """Spans of ``pattern`` in SQL: a match begins where the texts between matches and the matches before it end."""
+    return f"""select row_id, {rank} as rank, '{kind}' as kind, start, start + length(m) as stop, m, g from (
+    select row_id, m, g, sum(length(gap) + length(m)) over (partition by row_id order by k) - length(m) as start from (
+      select row_id, unnest(ms) as m, unnest(gs) as g, unnest(gaps[1:len(ms)]) as gap, generate_subscripts(ms, 1) as k from (
+        select row_id, regexp_extract_all(body, '{pattern}') as ms, regexp_extract_all(body, '{pattern}', {group}) as gs, regexp_split_to_array(body, '{pattern}') as gaps from {{source}})))
+    where {keep}"""
+
+
+_ASSIGN_SQL = "(" + "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key"))) + ")[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+_TABLE = [round(SCALE * n * log2(n)) if n else 0 for n in range(WINDOW + 1)]
+_MOST = {k: round(SCALE * WINDOW * (log2(WINDOW) - v)) for k, v in THRESHOLDS.items()}
+
+OP5_SQL = f"""
+with texts as (select row_number() over () as row_id, doc_id, coalesce(text, '') as body from documents),
+base as materialized (
+  {_places("assign", 0, _ASSIGN_SQL, f"length(g) >= {VALUE_CHARS}", 2).format(source="texts")}
+  union all {_places("access", 1, ACCESS, f"length(m) >= {ACCESS_CHARS}").format(source="texts")}
+  union all {_places("hex", 2, "[0-9a-f]+", "length(m) >= 32").format(source="texts")}),
+covered as (select row_id, list({{'a': start, 'b': stop}}) as spans from base group by row_id),
+masked as (
+  select row_id, list_aggregate(list_transform(string_split(body, ''), lambda c, i: case when len(list_filter(spans, lambda s: s.a < i and i <= s.b)) > 0 then ' ' else c end), 'string_agg', '') as body
+  from texts join covered using (row_id) union all select row_id, body from texts anti join covered using (row_id)),
+tokens as (
+  {_places("entropy", 3, "[A-Za-z0-9+/_=-]+", "length(m) >= 20").format(source="masked")}),
+open as (select * from tokens where not regexp_matches(m, '^(?:{"|".join(ALLOW)})$')),
+windows as (select row_id, start, unnest(range(1, length(m) - {WINDOW - 2})) as i, m from open),
+sums as (
+  select row_id, start, list_sum(list_transform(map_values(list_histogram(string_split(substr(m, i, {WINDOW}), ''))), lambda n: ({_TABLE}::bigint[])[n::bigint + 1])) as s from windows),
+random as (
+  select o.row_id, rank, kind, o.start, stop from open o join (select row_id, start, min(s) as least from sums group by all) l on o.row_id = l.row_id and o.start = l.start
+  where least <= case when regexp_matches(m, '^([0-9a-f]+|[0-9A-F]+)$') then {_MOST["hex"]} when regexp_matches(m, '^[A-Za-z0-9]+$') then {_MOST["alnum"]} else {_MOST["symbol"]} end),
+found as (
+  select row_id, rank, kind || ':' || start || ':' || stop as shown, start, stop from base union all select row_id, rank, kind || ':' || start || ':' || stop, start, stop from random),
+listed as (
+  select row_id, coalesce(string_agg(shown, ',' order by start, rank, stop) filter (rank < 3), '') as base_list, string_agg(shown, ',' order by start, rank, stop) as spans,
+    {", ".join(f"count(*) filter (rank = {k}) as n_{kind}" for k, kind in enumerate(KINDS))} from found group by row_id)
+select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in KINDS[:3])}, sha256(coalesce(base_list, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_entropy, 0) as n_entropy
+from texts left join listed using (row_id)
+"""

@@ -7,6 +7,8 @@ import re
 from collections import Counter
 from fractions import Fraction
 
+import duckdb
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import mixing, quality, secrets
@@ -135,6 +137,17 @@ def test_secret_spans(spark, secret_texts):
     assert secrets.scan(docs.where("false")).count() == 0
 
 
+def test_secret_sql(spark, secret_texts):
+    documents = pa.table({"doc_id": pa.array(range(len(secret_texts)), pa.int64()), "text": secret_texts})
+    connection = duckdb.connect()
+    connection.register("documents", documents)
+    columns = ["doc_id", "n_assign", "n_access", "n_hex", "n_entropy", "base_sha256", "spans"]
+    expected = sorted(connection.sql(secrets.OP5_SQL).select(*map(duckdb.ColumnExpression, columns)).fetchall())
+    docs = spark.createDataFrame(list(enumerate(secret_texts)), "doc_id long, text string")
+    assert sorted(map(tuple, secrets.scan(docs).select(*columns).collect())) == expected
+    assert sum(r[4] for r in expected) > 100
+
+
 def test_what_is_left_beside_base_spans(spark):
     docs = spark.createDataFrame([("Zx8Yq3kL0pW7vB2nM5cR/token:abcdefgh9", "x")], "text string, _entropy string")
     found = secrets.redact(docs)
