@@ -323,7 +323,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_civil(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that ``model`` does not call toxic. Null texts are scored as empty."""
+    """The rows of ``docs``, all columns, that ``model`` does not call toxic.
+
+    Null texts are scored as empty. Each row goes by its own text, so repeated rows stay or go together and repeated ids with
+    unlike texts need not; an empty table gives none; no name of a column can clash.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
