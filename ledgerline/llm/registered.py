@@ -1,6 +1,6 @@
 """The queries of this subpackage and, where SQL can express one, its DuckDB SQL."""
 
-from . import byte_bpe, fingerprints, html_text, language, merkle, mixing, quality, secrets, simhash, token_counts, toxicity, trie
+from . import byte_bpe, fingerprints, html_text, language, merkle, mixing, quality, repeats, secrets, simhash, token_counts, toxicity, trie
 
 QUERIES = {
     "op9_language": language.op9_language,
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_mixing": mixing.op6_mixing,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op11_merkle": merkle.op11_merkle,
+    "op12_repeats": repeats.op12_repeats,
     "op13_prefix_trie": trie.op13_prefix_trie,
 }
 
@@ -22,5 +23,6 @@ ORACLES = {
     "op5_secrets": secrets.OP5_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op11_merkle": merkle.OP11_SQL,
+    "op12_repeats": repeats.OP12_SQL,
     "op13_prefix_trie": trie.OP13_SQL,
 }
