@@ -36,7 +36,7 @@ def by_pattern(text: Column, pattern: str, fields: list[str]) -> Column:
     """
     groups = "\x1f".join(f"${k}" for k in range(1, len(fields) + 1))
     found = F.split(F.regexp_replace(text, f"(?s)^.*?(?:{pattern}).*$", "\x1e" + groups), "\x1f")
-    lead = lambda k, c: F.substring(c, 2, 1 << 30) if k == 0 else c
+    lead = lambda k, c: F.substring(c, 2, (1 << 31) - 1) if k == 0 else c
     return F.when(F.startswith(found[0], F.lit("\x1e")), F.struct(*(lead(k, F.get(found, k)).alias(f) for k, f in enumerate(fields))))
 
 
@@ -64,28 +64,28 @@ def template(text: str, values: dict[str, Column], strict: bool) -> Column:
     return F.concat(*out, F.lit(text[at:]))
 
 
-def walk_up(dirs: Column, noise: str, timepoint: str) -> Column:
-    """struct(subject, timepoint, series): the innermost directory that is neither noise nor a time point, the innermost time
-    point below it, and the next such directory above. A bare number is noise only under a Frames directory."""
-    frames, number = "(?i)^(frames?|\\d+\\s*frames?)$", "^\\d+$"
-    levels = F.transform(dirs, lambda d, i: F.struct(d.alias("name"), i.alias("i"), d.rlike(timepoint).alias("point"), d.rlike(noise).alias("noise")))
+def named_like(words: tuple[str, ...]) -> str:
+    """A pattern for whole names in any case, by how they are written: # stands for a number, a space for one separator or none."""
+    spelt = (re.sub(r"[^0-9A-Za-z# ]", lambda m: "\\" + m[0], w).replace("#", "[0-9]+").replace(" ", "[ _-]?") for w in words)
+    return f"(?i)^(?:{'|'.join(spelt)})$"
 
-    def found(ls: Column) -> Column:
-        indexed = lambda x: x["name"].rlike(number) & F.coalesce(F.get(dirs, x["i"] - 1).rlike(frames), F.lit(False))
-        plain = F.filter(ls, lambda x: ~(x["noise"] | x["point"]))
-        return let(plain, lambda ps: let(F.element_at(F.concat(F.array(F.lit(None).cast(LEVEL)), F.filter(ps, lambda x: ~indexed(x))), -1), lambda at: told(ls, ps, at)))
 
-    def told(ls: Column, ps: Column, at: Column) -> Column:
-        place = F.coalesce(at["i"], F.lit(-1))
-        last = lambda xs: F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.transform(xs, lambda x: x["name"])), -1)
-        return F.struct(
-            F.coalesce(at["name"], F.lit("")).alias("subject"), last(F.filter(ls, lambda x: x["point"] & (x["i"] > place))).alias("timepoint"), last(F.filter(ps, lambda x: x["i"] < place)).alias("series")
-        )
+def walk_up(dirs: Column, between: tuple[str, ...], times: tuple[str, ...], indexed: tuple[str, ...] = ()) -> Column:
+    """struct(subject, timepoint, series): the innermost directory that is none of the levels ``between`` and ``times``, the innermost
+    time below it, and the next such directory above. Names of levels are written as for ``named_like``. A bare number is a
+    subject too, unless it stands directly under one of ``indexed``."""
+    kinds = F.transform(dirs, lambda d: F.when(d.rlike(named_like(times)), "t").when(d.rlike(named_like(between)), "-").when(d.rlike("^[0-9]+$"), "#").otherwise("s"))
+    heads = F.transform(dirs, lambda d: d.rlike(named_like(indexed))) if indexed else F.transform(dirs, lambda d: F.lit(False))
 
-    return let(levels, found)
+    def found(ks: Column) -> Column:
+        subjects = F.filter(F.sequence(F.lit(0), F.size(ks)), lambda i: (F.get(ks, i) == "s") | ((F.get(ks, i) == "#") & ~F.coalesce(F.get(heads, i - 1), F.lit(False))))
+        return let(F.coalesce(F.array_max(subjects), F.lit(-1)), lambda at: told(ks, at))
 
+    def told(ks: Column, at: Column) -> Column:
+        last = lambda kinds, after, before: F.get(dirs, F.array_max(F.filter(F.sequence(F.lit(0), F.size(ks)), lambda i: F.get(ks, i).isin(*kinds) & (i > after) & (i < before))))
+        return F.struct(F.coalesce(F.get(dirs, at), F.lit("")).alias("subject"), last("t", at, F.size(ks)).alias("timepoint"), last("s#", -1, at).alias("series"))
 
-LEVEL = "struct<name:string,i:int,point:boolean,noise:boolean>"
+    return let(kinds, found)
 
 
 def last_valid(codes: Column, valid: Column) -> Column:

@@ -51,7 +51,7 @@ def key_transform(c: Column, how: str) -> Column:
         return F.regexp_extract(text, "(?U)^\\s*(\\S*)", 1)
     if how.startswith("strip_prefix:"):
         prefix = how.split(":", 1)[1]
-        return F.when(F.startswith(text, F.lit(prefix)), F.substring(text, len(prefix) + 1, 1 << 30)).otherwise(text) if prefix else text
+        return F.when(F.startswith(text, F.lit(prefix)), F.substring(text, len(prefix) + 1, (1 << 31) - 1)).otherwise(text) if prefix else text
     known = {"lower": F.lower, "upper": F.upper, "strip": strip, "": clean_text}
     if how not in known:
         raise ValueError(f"unknown transform {how!r}")

@@ -221,8 +221,8 @@ ALIASES = ("17-LAB-A-42", "17-lab-a-None", "17-LAB-A-", "x17-LAB-A-NULL", "LAB-A
 
 
 @query(
-    "select c_custkey, case when regexp_matches(id, '^[0-9]+-(?i:LAB-A)-') then case when lower(trim(regexp_extract(id, '^[0-9]+-(?i:LAB-A)-(.*)$', 1))) in ('', 'none', 'null') "
-    "then trim(regexp_extract(id, '^[0-9]+-(?i:LAB-A)-(.*)$', 1)) end when lower(id) like '%-lab-a-none' or lower(id) like '%-lab-a-null' then right(id, 4) when lower(id) like '%-lab-a-' then '' end as broken "
+    "select c_custkey, case when regexp_full_match(id, '[0-9]+-LAB-A-\\s*(none|null|)', 'is') then regexp_extract(id, '-\\s*(none|null|)$', 1, 'is') "
+    "when not regexp_matches(id, '^[0-9]+-LAB-A-', 'i') and regexp_full_match(id, '.*-LAB-A-(none|null|)', 'is') then regexp_extract(id, '-(none|null|)$', 1, 'is') end as broken "
     "from (select c_custkey, trim(" + cases_sql("c_custkey", *(f"'{x}'" for x in ALIASES)) + ") as id from customer)"
 )
 def null_alias(t: Tables) -> DataFrame:
@@ -290,11 +290,11 @@ def datetime_from_parts(t: Tables) -> DataFrame:
     return t.events.select("event_id", dates.from_parts(F.date_format("ts", "yyyyMMdd"), F.date_format("ts", "HHmmss.SSS")).alias("iso"))
 
 
-@query("select o_orderkey, " + cases_sql("o_orderkey", "''", "''", "'date-off-10d'", "'baddate'", "''") + " as flag from orders where day(o_orderdate) > 12")
+@query("select o_orderkey, " + cases_sql("o_orderkey", "''", "''", "'date-off-10d'", "'baddate'", "''") + " as flag from orders")
 def date_flag(t: Tables) -> DataFrame:
     d = F.add_months("o_orderdate", 360)  # two-digit years are read as of this century
     folder = cases(C("o_orderkey"), F.date_format(F.date_add(d, 1), "yyMMdd"), F.date_format(d, "ddMMyy"), F.date_format(F.date_sub(d, 10), "ddMMyy"), "991399", None)
-    return t.orders.where(F.dayofmonth("o_orderdate") > 12).select("o_orderkey", dates.date_flag(F.date_format(d, "yyyyMMdd"), folder).alias("flag"))
+    return t.orders.select("o_orderkey", dates.date_flag(F.date_format(d, "yyyyMMdd"), folder).alias("flag"))
 
 
 # Values
@@ -360,26 +360,33 @@ def mb_round(t: Tables) -> DataFrame:
 # Grammars
 
 
+UNITS = ("h", "min", "d", "w")
+
+
+def _code(name: Column) -> Column:
+    """The digits that lead a name, if they are three or four, else ''."""
+    digits = F.regexp_extract(name, "^[0-9]*", 0)
+    return F.when(F.length(digits).between(3, 4), digits).otherwise("")
+
+
 def subject_grammar(folder: Column, parent: Column) -> Column:
     """struct(phantom, project, animals, timepoint, flags) of folders such as 0522_m1_m2_24h.
 
     A leading code of three or four digits is the project, else the parent's; letters before a number name the species,
-    which holds on for the numbers after it; what fits nothing is flagged."""
-    lead, tail, animal = "^([0-9]{3,4})[_-](.+)$", "^(.*?)[_-]?([0-9]+(?:h|d|min|w))$", "^([A-Za-z]?)([0-9]+)$"
-    nothing = F.array().cast("array<string>")
-    head = lambda name: F.struct(
-        name.alias("name"),
-        F.regexp_extract(name, lead, 1).alias("own"),
-        F.regexp_extract(F.coalesce(parent, L("")), "^([0-9]{3,4})(?![0-9])", 1).alias("above"),
-        F.regexp_replace(name, "^[0-9]{3,4}[_-](?=.)", "").alias("rest"),
-    )
+    which holds on for the numbers after it; what fits nothing is flagged. The flags' texts are fixed values."""
+    animal, nothing = "^([A-Za-z]?)([0-9]+)$", F.array().cast("array<string>")
+    timed = lambda part: part.rlike(f"^[0-9]+(?:{'|'.join(UNITS)})$")
+    head = lambda name: lists.let(F.filter(F.split(name, "[_-]"), lambda x: x != ""), lambda parts: F.struct(
+        parts.alias("parts"),
+        F.when((F.size(parts) > 1) & (_code(parts[0]) == parts[0]), parts[0]).otherwise("").alias("own"),
+        _code(F.coalesce(parent, L(""))).alias("above"),
+        F.contains(F.lower(name), L("phantom")).alias("phantom"),
+        F.when(timed(F.element_at(parts, -1)), F.element_at(parts, -1)).alias("timepoint"),
+    ))
     body = lambda h: F.struct(
-        h["own"].alias("own"),
-        h["above"].alias("above"),
-        F.contains(F.lower(h["name"]), L("phantom")).alias("phantom"),
-        F.nullif(F.regexp_extract(h["rest"], tail, 2), L("")).alias("timepoint"),
-        F.filter(F.split(F.regexp_replace(h["rest"], "[_-]?[0-9]+(?:h|d|min|w)$", ""), "[_-]"), lambda x: x != "").alias("tokens"),
-    )
+        h["own"].alias("own"), h["above"].alias("above"), h["phantom"].alias("phantom"), h["timepoint"].alias("timepoint"),
+        F.slice(h["parts"], F.when(h["own"] != "", 2).otherwise(1), F.size(h["parts"]) - (h["own"] != "").cast("int") - h["timepoint"].isNotNull().cast("int")).alias("tokens"),
+    )
 
     def step(acc: Column, token: Column) -> Column:
         """A number takes the species named with it, else the last one named; other tokens are set aside."""
@@ -427,20 +434,30 @@ def parse_subject_grammar(t: Tables) -> DataFrame:
     return found.select("p_partkey", "s.phantom", "s.project", F.array_join("s.animals", ",").alias("animals"), "s.timepoint", F.array_join("s.flags", ";").alias("flags"))
 
 
-NOISE, POINT = "(?i)^(frames?|dicom|recon.*|\\d{6})$", "(?i)^\\d+ ?(h|d|min)$"
+#: Levels that stand between a subject's folder and its files, times, and folders whose entries are numbered; # is a number.
+BETWEEN = ("slices", "# slices", "exports", "raw", "rebuild #", "part #", "volume", "planar", "######")
+TIMES = ("# hours", "week #")
+INDEXED = ("slices", "# slices")
 
 
-@query("select page_id, " + cases_sql("page_id", "'subj' || page_id", "'subj' || page_id", "page_id::varchar", "''") + " as subject, " + cases_sql("page_id", "'24h'", "null", "null", "'3d'") + " as timepoint from pages")
+@query("select page_id, " + cases_sql("page_id", "'subj' || page_id", "'subj' || page_id", "page_id::varchar", "''") + " as subject, " + cases_sql("page_id", "'24hours'", "null", "null", "'week 3'") + " as timepoint from pages")
 def walkup_non_noise(t: Tables) -> DataFrame:
     name, key = F.concat(L("subj"), C("page_id").cast("string")), C("page_id").cast("string")
-    dirs = cases(C("page_id"), F.array(L("a"), name, L("24h"), L("Frames"), key), F.array(L("a"), name, L("dicom")), F.array(L("a"), L("b"), key), F.array(L("Frames"), L("3d")))
-    return t.pages.select("page_id", paths.walk_up(dirs, NOISE, POINT).alias("s")).select("page_id", "s.subject", "s.timepoint")
+    dirs = cases(C("page_id"), F.array(L("a"), name, L("24hours"), L("Slices"), key), F.array(L("a"), name, L("exports")), F.array(L("a"), L("b"), key), F.array(L("Slices"), L("week 3")))
+    return t.pages.select("page_id", paths.walk_up(dirs, BETWEEN, TIMES, INDEXED).alias("s")).select("page_id", "s.subject", "s.timepoint")
 
 
 STEM, CODES = "LAB-A", ["0522", "0777"]
-SCAN = r"(?i)^([0-9]{14})_(PET|CT|SPECT|OI)_([A-Za-z]+)_([0-9]+)(?:_frame(?:MULTI|[0-9]+))?(?:_iter[0-9]+)?(?:_[^.]+)?[.]dcm$"
-LEVELS_BETWEEN = "(?i)^([0-9]{14}_(pet|ct|spect|oi)|(recon|frame|iter)_?[0-9]+|([0-9]+ *)?frames?|pet|ct|spect|oi|(pet|spect)[_ -]?ct|ct[_ -]?pet|new[ _]?recon.*|dicoms?|images?|data|[0-9]{6})$"
-TIME_LEVEL = "(?i)^([0-9]+ *h( *[0-9]+ *min)?|[0-9]+ *min|d[0-9]+|day *[0-9]+)$"
+KINDS = ("PET", "CT", "MR")
+SPECIES = {"r": ("rat", "rats"), "m": ("mouse", "mice")}
+
+
+def scan_name(name: Column) -> Column:
+    """struct(stamp, modality, algo, recon) of names such as PET.20240102-101112.osem.02.vol, else null; further parts may stand before the ending."""
+    at = lambda n, k: F.get(n, k)
+    fits = lambda n: (F.size(n) > 4) & (F.element_at(n, -1) == "vol") & F.upper(at(n, 0)).isin(*KINDS) & at(n, 1).rlike("^[0-9]{8}-[0-9]{6}$") & at(n, 3).rlike("^[0-9]+$")
+    told = lambda n: F.when(fits(n), F.struct(F.translate(at(n, 1), "-", "").alias("stamp"), at(n, 0).alias("modality"), at(n, 2).alias("algo"), at(n, 3).alias("recon")))
+    return lists.let(F.split(name, "[.]"), told)
 
 
 def once(rows: DataFrame, **columns: Column) -> DataFrame:
@@ -455,18 +472,20 @@ def analysed(rows: DataFrame, path: str, size: str, codes: list[str], stem: str,
     directory names, else rejected, which the flags tell; so they do of dates that do not agree and of missing levels.
     """
     p = C("_p")
+    rows = once(rows.where(F.endswith(path, L(".vol"))), _f=scan_name(paths.basename(C(path)))).where("_f is not null")
     rows = once(rows, _p=paths.parts(C(path)))
-    rows = once(rows, _f=paths.by_pattern(F.element_at(p, -1), SCAN, ["stamp", "modality", "algo", "recon"])).where("_f is not null")
     rows = rows.withColumn("_at", F.when((F.size(p) > 3) & (F.upper(F.get(p, 2)) == extra_level), 3).otherwise(2)).withColumn("_loose", F.size(p) <= C("_at") + 1)
     rows = rows.withColumn("_dirs", F.when(C("_loose"), F.array().cast("array<string>")).otherwise(F.slice(p, C("_at") + 2, F.greatest(F.size(p) - C("_at") - 2, L(0)))))
-    rows = once(rows, _w=paths.walk_up(C("_dirs"), LEVELS_BETWEEN, TIME_LEVEL))
-    named = F.regexp_replace(F.regexp_replace(C("_w.subject"), r"(?iu)\b(?:rat|rata|raton|ratón)\s*[_-]?\s*([0-9]+)", "r$1"), r"(?i)\b(?:mouse|mice)\s*[_-]?\s*([0-9]+)", "m$1")
+    rows = once(rows, _w=paths.walk_up(C("_dirs"), BETWEEN, TIMES, INDEXED))
+    named = C("_w.subject")
+    for letter, words in SPECIES.items():  # species that are spelt out before a number
+        named = F.regexp_replace(named, rf"(?i)(?<![a-z])(?:{'|'.join(words)})[ _-]*(?=[0-9])", letter)
     rows = once(rows, _name=named)
     rows = once(rows, _g=F.when(C("_w.subject") != "", subject_grammar(C("_name"), C("_w.series"))))
-    date = F.coalesce(F.get(F.filter("_dirs", lambda d: (F.length(d) == 6) & d.rlike("^[0-9]{6}$")), 0), L(""))
+    date = F.coalesce(F.get(F.filter("_dirs", lambda d: d.rlike("^[0-9]{6}$")), 0), L(""))
     given, valid = F.coalesce("_g.project", L("")), F.array(*map(L, codes))
     wrong = (given != "") & ~given.isin(*codes)
-    found = F.when(wrong, paths.last_valid(F.transform(F.slice(p, 1, F.size(p) - 1), lambda d: F.regexp_extract(d, "^([0-9]{3,4})(?:[_-]|$)", 1)), valid))
+    found = F.when(wrong, paths.last_valid(F.transform(F.slice(p, 1, F.size(p) - 1), lambda d: F.split(d, "[_-]")[0]), valid))
     rows = once(rows, _date=date, _wrong=wrong, _found=found)
     project = F.when(C("_wrong"), F.coalesce("_found", L(""))).otherwise(given)
     agrees = F.nullif(dates.date_flag(C("_f.stamp"), C("_date")), L(""))
@@ -496,14 +515,14 @@ def _by_order(*texts: str) -> str:
 
 ANALYSED_SQL = f"""with o as (select *, o_orderdate + interval 30 year as d from orders),
 scans as (select *, strftime(d, '%Y%m%d') || '101112' as stamp, case when o_orderkey % 2 = 0 then 'PET' else 'CT' end as mode, 'res' || o_custkey as who, o_custkey::varchar as c, strftime(d, '%Y') as y from o),
-named as (select *, stamp || '_' || mode || '_osem_0' || (o_orderkey % 3 + 1) || '.dcm' as file from scans),
-paths as (select *, y || '/group/' || {_by_order("who || '/0522_m' || c || '_24h/' || strftime(d, '%d%m%y') || '/Frames/3/'", "'Extra/' || who || '/0522 series/RAT' || c || '/recon_1/'", "''", "who || '/1015_x/' || c || '/4h/'", "who || '/0777/9999_m' || c || '/'", "who || '/Phantom NEMA/'")} || file as rel from named)
+named as (select *, mode || '.' || left(stamp, 8) || '-101112.osem.0' || (o_orderkey % 3 + 1) || '.vol' as file from scans),
+paths as (select *, y || '/group/' || {_by_order("who || '/0522_m' || c || '_24h/' || strftime(d, '%d%m%y') || '/Slices/3/'", "'Extra/' || who || '/0522 series/RAT' || c || '/rebuild_1/'", "''", "who || '/1015_x/' || c || '/4 hours/'", "who || '/0777/9999_m' || c || '/'", "who || '/Phantom NEMA/'")} || file as rel from named)
 select o_orderkey, stamp || '_' || mode || '_OSEM_' || (o_orderkey % 3 + 1) as acq_key, strftime(d, '%Y-%m-%d') || 'T10:11:12Z' as acq_datetime, y as year_folder,
   {_by_order("who", "who", "''", "who", "who", "who")} as researcher, mode as modality, 'OSEM' as algo, (o_orderkey % 3 + 1)::int as recon,
   {_by_order("'0522_m' || c || '_24h'", "'RAT' || c", "''", "c", "'9999_m' || c", "'Phantom NEMA'")} as subject_folder, {_by_order("''", "'0522 series'", "''", "'1015_x'", "'0777'", "''")} as series,
   {_by_order("'0522'", "'0522'", "''", "''", "'0777'", "''")} as project, {_by_order("1", "1", "0", "1", "1", "0")}::int as n_animals,
   {_by_order("'m' || c", "'r' || c", "''", "'?' || c", "'m' || c", "''")} as animals, {_by_order("c || '-LAB-A-0522'", "c || '-LAB-A-0522'", "''", "''", "c || '-LAB-A-0777'", "''")} as facility_keys,
-  {_by_order("'24h'", "''", "''", "'4h'", "''", "''")} as timepoint, {_by_order("strftime(d, '%d%m%y')", "''", "''", "''", "''", "''")} as folder_date, {_by_order("''", "''", "''", "''", "''", "'yes'")} as phantom,
+  {_by_order("'24h'", "''", "''", "'4 hours'", "''", "''")} as timepoint, {_by_order("strftime(d, '%d%m%y')", "''", "''", "''", "''", "''")} as folder_date, {_by_order("''", "''", "''", "''", "''", "'yes'")} as phantom,
   {_by_order("''", "'project<-parent'", "'no-subject-folder,no-subject-folder,loose-at-group-root'", "'project<-parent,species-unknown,project-rejected:1015'", "'project-recovered:9999->0777'", "'phantom'")} as flags,
   rel, o_custkey as size_bytes from paths"""
 
@@ -512,9 +531,9 @@ select o_orderkey, stamp || '_' || mode || '_OSEM_' || (o_orderkey % 3 + 1) as a
 def analyse_path(t: Tables) -> DataFrame:
     """Whole paths taken apart; beside the scans stand files that are none."""
     d, who, c = F.add_months("o_orderdate", 360), F.concat(L("res"), C("o_custkey").cast("string")), C("o_custkey").cast("string")
-    file = F.concat(F.date_format(d, "yyyyMMdd"), L("101112_"), F.when(C("o_orderkey") % 2 == 0, "PET").otherwise("CT"), L("_osem_0"), (C("o_orderkey") % 3 + 1).cast("string"), L(".dcm"))
+    file = F.concat(F.when(C("o_orderkey") % 2 == 0, "PET").otherwise("CT"), L("."), F.date_format(d, "yyyyMMdd"), L("-101112.osem.0"), (C("o_orderkey") % 3 + 1).cast("string"), L(".vol"))
     inner = cases(
-        C("o_orderkey"), F.concat(who, L("/0522_m"), c, L("_24h/"), F.date_format(d, "ddMMyy"), L("/Frames/3/")), F.concat(L("Extra/"), who, L("/0522 series/RAT"), c, L("/recon_1/")), L(""), F.concat(who, L("/1015_x/"), c, L("/4h/")), F.concat(who, L("/0777/9999_m"), c, L("/")), F.concat(who, L("/Phantom NEMA/"))
+        C("o_orderkey"), F.concat(who, L("/0522_m"), c, L("_24h/"), F.date_format(d, "ddMMyy"), L("/Slices/3/")), F.concat(L("Extra/"), who, L("/0522 series/RAT"), c, L("/rebuild_1/")), L(""), F.concat(who, L("/1015_x/"), c, L("/4 hours/")), F.concat(who, L("/0777/9999_m"), c, L("/")), F.concat(who, L("/Phantom NEMA/"))
     )
     folder = F.concat(F.date_format(d, "yyyy"), L("/group/"), inner)
     rows = t.orders.select("o_orderkey", C("o_custkey").alias("bytes"), F.explode(F.array(F.concat(folder, file), F.concat(folder, L("notes.txt")))).alias("path"))

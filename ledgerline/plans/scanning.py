@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import paths, text
-from ledgerline.sources import documents, tables
+from ledgerline.sources import documents, headers, tables, trees
 from ledgerline.streaming import incremental
 
 from .base import Tables, query
@@ -78,6 +78,53 @@ def files_by_magic(t: Tables) -> DataFrame:
     return documents.files_with_magic(t.spark, root, b"DICM").select(nation_of_path().alias("nation"))
 
 
+@query("select n_nationkey::bigint as nation, length(n_name)::bigint + 1 as length, sha256(n_name || chr(10)) as sha256 from nation")
+def file_checksums(t: Tables) -> DataFrame:
+    """Files hashed block by block where they lie."""
+    files = documents.discovered(t.spark, nation_files(t, C("n_name")), "part-*.txt")
+    return files.join(headers.checksums(files), "path").select(nation_of_path().alias("nation"), "length", "sha256")
+
+
+def header_text(**elements: Column) -> Column:
+    """A header of explicit elements; names tell their tags, kinds and order."""
+    texts = [F.concat(L(bytes.fromhex(name[1:9]).decode() + name[-2:]), F.chr(F.octet_length(e)), L("\0"), e) for name, e in elements.items()]
+    return F.concat(F.repeat(L("0"), 128), L("DICM"), *texts)
+
+
+PLACED = {"name": (0x0010, 0x0010), "model": (0x0008, 0x1070), "weight": (0x0010, 0x1030)}
+
+
+@query("select n_regionkey::varchar as region, '' as name, (select n_name from nation m where m.n_regionkey = n.n_regionkey and m.n_nationkey % 4 <> 3 order by (m.n_nationkey % 4 = 1), m.n_nationkey::varchar limit 1) as model, case when bool_or(n_nationkey % 4 = 1) then 'MR/SR' else 'MR' end as modalities from nation n where n_nationkey % 4 <> 3 group by n_regionkey")
+def folder_headers(t: Tables) -> DataFrame:
+    """Headers of a folder's files: reports give way to images, denied fields are never read, files without the mark are none."""
+    kind = F.when(C("n_nationkey") % 4 == 1, "SR").otherwise("MR")
+    header = header_text(t08006000CS=kind, t08007010LO=C("n_name"), t10001000PN=L("A PERSON"))
+    root = nation_files(t, F.when(C("n_nationkey") % 4 == 3, "no header").otherwise(header))
+    files = documents.discovered(t.spark, root, "part-*.txt").select(F.regexp_extract("path", "region=([0-9]+)/", 1).alias("folder"), "path")
+    found = headers.folder_headers(files, PLACED, {PLACED["name"]}, parsed=1000)
+    return found.select(C("folder").alias("region"), "name", "model", "modalities")
+
+
+@query(
+    "select n_regionkey::varchar as region, format, count(*) as files, sum(length(content) + 1)::bigint as bytes, case format when 'json' then '' when 'dicom' then 'CT' else '##TITLE=x' end as detail from "
+    "(select *, case n_nationkey % 3 when 0 then 'dicom' when 1 then 'parameters' else 'json' end as format, case n_nationkey % 3 when 0 then repeat('0', 142) when 1 then '##TITLE=x' || chr(10) || n_name else '{\"n\":' || n_nationkey || '}' end as content from nation) "
+    "group by all"
+)
+def folder_contents(t: Tables) -> DataFrame:
+    """What the folders of a tree hold, told by the bytes of their files and not by their names."""
+    content = cases(C("n_nationkey"), header_text(t08006000CS=L("CT")), F.concat(L("##TITLE=x\n"), "n_name"), F.concat(L('{"n":'), "n_nationkey", L("}")))
+    files = documents.discovered(t.spark, nation_files(t, content), "part-*.txt").withColumn("folder", F.regexp_extract("path", "region=([0-9]+)/", 1))
+    return headers.folder_contents(t.spark, files).withColumnRenamed("folder", "region")
+
+
+@query("select distinct unnest(['region=' || n_regionkey, 'region=' || n_regionkey || '/nation=' || n_nationkey]) as folder from nation where n_regionkey < 3")
+def tree_walk(t: Tables) -> DataFrame:
+    """A walk down to folders that are anchors: what lies in them is never listed, nor what lies beside a path's prefix."""
+    root = nation_files(t, C("n_name"), "n_regionkey < 3")
+    rows = trees.walked(t.spark, root, "^nation=").where("below = 0 and is_dir")
+    return rows.select(F.regexp_extract("path", "(region=.*)$", 1).alias("folder")).where("folder <> ''")
+
+
 @query("select n_nationkey::bigint as nation, length(n_name)::bigint + 1 as length from nation")
 def glob_discovery(t: Tables) -> DataFrame:
     """Files by their names, at any depth; no file is opened, and others beside them are not seen."""
@@ -224,7 +271,7 @@ def glob_like_filter(t: Tables) -> DataFrame:
 
 @query("select page_id, p[2] as lang, p[3] as leaf from (select page_id, string_split(regexp_replace(url, '^https?://', ''), '/') as p from pages where url like 'https://%') where p[2] in ('en', 'fr') and regexp_matches(p[len(p)], '^[0-9]+')")
 def path_listing_scan(t: Tables) -> DataFrame:
-    rows = t.pages.where(F.startswith("url", L("https://"))).select("page_id", F.split(F.substring("url", 9, 10_000), "/").alias("p"))
+    rows = t.pages.where(F.startswith("url", L("https://"))).select("page_id", F.split(F.substring("url", 9, (1 << 31) - 1), "/").alias("p"))
     kept = rows.where(F.get("p", 1).isin("en", "fr") & F.element_at("p", -1).rlike("^[0-9]+"))
     return kept.select("page_id", F.get("p", 1).alias("lang"), F.get("p", 2).alias("leaf"))
 

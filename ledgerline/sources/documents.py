@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import strip
 
+from .headers import with_magic
+
 
 def _last_wins(entries: Column) -> Column:
     """A map from an array of (key, value) in which a later entry replaces an earlier one of its key."""
@@ -58,9 +60,9 @@ def has_magic(content: Column, magic: bytes, at: int = 128) -> Column:
 
 
 def files_with_magic(spark: SparkSession, root: str, magic: bytes, at: int = 128) -> DataFrame:
-    """Files under ``root`` by their bytes. Contents are dropped at once; only path, length and time go on."""
+    """Files under ``root`` by their bytes: path, length, modificationTime. Only the bytes in question are read, so files may have any size."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.where(has_magic(F.col("content"), magic, at)).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length", "modificationTime")
+    return with_magic(files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length", "modificationTime"), magic, at)
 
 
 def allowed(rows: DataFrame, allow: list[str], deny: list[str]) -> DataFrame:
