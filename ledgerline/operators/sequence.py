@@ -30,15 +30,23 @@ def least_deep(rows: DataFrame, keys: list[str], path: str) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(depth, path))).where("_n = 1").drop("_n")
 
 
+def with_summary(rows: DataFrame, key: Column, **summary: Column) -> DataFrame:
+    """``rows`` with aggregates over all rows of their ``key``, nulls being one key. The aggregates are summed up before they are shuffled and
+    joined, so Spark can split a key that most rows have, as it cannot under a window."""
+    keyed = rows.withColumn("_key", key)
+    found = keyed.groupBy("_key").agg(*(value.alias(name) for name, value in summary.items())).withColumnRenamed("_key", "_of")
+    return keyed.join(found, F.col("_key").eqNullSafe(F.col("_of")), "left").drop("_key", "_of")
+
+
 def claim_names(wanted: DataFrame, name: str, order: str, eligible: Column, taken: DataFrame, taken_name: str) -> DataFrame:
     """``wanted`` with ``claim``: raw-missing, collision or new. Only eligible rows claim; of several claims of one name, in
-    any case, the first in ``order`` wins; names in ``taken`` are gone."""
+    any case, the least by ``order``, which leaves no ties, wins; names in ``taken`` are gone."""
     gone = taken.select(F.lower(taken_name).alias("_t")).distinct()
     rows = wanted.withColumns({"_e": eligible, "_l": F.lower(name)}).join(gone, F.col("_l") == F.col("_t"), "left")
     free = F.col("_e") & F.col("_t").isNull()
-    first = F.row_number().over(Window.partitionBy("_l", free).orderBy(order)) == 1
-    claim = F.when(~F.col("_e"), "raw-missing").when(F.col("_t").isNotNull(), "collision").when(first, "new").otherwise("collision")
-    return rows.withColumn("claim", claim).drop("_e", "_l", "_t")
+    rows = with_summary(rows, F.col("_l"), _first=F.min(F.when(free, F.col(order))))
+    claim = F.when(~F.col("_e"), "raw-missing").when(F.col("_t").isNotNull(), "collision").when(F.col(order) == F.col("_first"), "new").otherwise("collision")
+    return rows.withColumn("claim", claim).drop("_e", "_l", "_t", "_first")
 
 
 def after_limit(rows: DataFrame, order: str, counts: Column, limit: int) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import lists, paths, text
-from ledgerline.operators import lookup
+from ledgerline.operators import lookup, sequence
 
 from .base import ACQ_SQL, PACKED_SQL, Tables, acquisitions, packed_suppliers, query
 from .scalars import cases, cases_sql
@@ -252,5 +252,6 @@ def rename_plan(t: Tables) -> DataFrame:
     new = text.normalize_name(F.concat_ws(" ", "c_mktsegment", C("c_nationkey").cast("string")))
     rows = t.customer.select("c_custkey", F.concat(new, F.when(C("c_custkey") % 40 == 0, ":").otherwise("")).alias("new_name"))
     rows = rows.withColumn("errors", F.array_join(text.name_errors(C("new_name")), ";"))
-    earlier = F.row_number().over(Window.partitionBy(F.lower("new_name")).orderBy("c_custkey")) > 1
+    rows = sequence.with_summary(rows, F.lower("new_name"), first=F.min("c_custkey"))
+    earlier = C("c_custkey") > C("first")
     return rows.select("c_custkey", "new_name", F.when(C("errors") != "", C("errors")).when(earlier, "collides").otherwise("").alias("problem"))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import paths, text
-from ledgerline.sources import documents, headers, tables, trees
-from ledgerline.streaming import incremental
+from ledgerline.sources import documents, headers, parsers, tables, trees
+from ledgerline.streaming import incremental, queues
 
 from .base import Tables, query
 from .scalars import cases, cases_sql, json_with_gaps
@@ -144,11 +144,11 @@ def database_scan(t: Tables) -> DataFrame:
 
 @query("select c_custkey, case when c_custkey % 4 = 0 then 'new' else c_mktsegment end as segment from customer where c_custkey % 4 < 3")
 def publish_versions(t: Tables) -> DataFrame:
-    """A table rewritten from itself. A writer that died on the way leaves a version that no reader takes for whole."""
+    """A table rewritten from itself. A writer that died on the way leaves files that no version names."""
     path = tables.scratch(t.spark, "published")
     tables.publish(t.customer.select("c_custkey", C("c_mktsegment").alias("segment")), path)
     dead = t.customer.select("c_custkey", L("half").alias("segment"))
-    dead.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/v=00000002")
+    dead.write.parquet(f"{path}/data-dead")
     tables.publish(tables.current(t.spark, path).where("c_custkey % 4 < 3"), path)
     now = tables.current(t.spark, path)
     tables.publish(now.withColumn("segment", F.when(C("c_custkey") % 4 == 0, "new").otherwise(C("segment"))), path)
@@ -230,6 +230,37 @@ def parse_kv_header_lines(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", m.alias("m")).select("doc_id", C("m")["NAME"].alias("name"), C("m")["SIZE"].alias("size"), C("m")["LAST"].alias("last"))
 
 
+@query(
+    "select p_partkey, 'v' || chr(10) || p_name as text, p_size::bigint as second, 3::bigint as n, p_brand as inner_text, p_retailprice::double as price, 'two words' as plain, case when p_partkey % 2 = 0 then 'late' else 'early' end as again, null::varchar as hidden from part"
+)
+def parse_parameter_arrays(t: Tables) -> DataFrame:
+    """Sized arrays, tuples with strings in them, strings over lines, comments, and a key given twice."""
+    size, late = C("p_size").cast("string"), F.when(C("p_partkey") % 2 == 0, L("\n##AGAIN=late")).otherwise("")
+    header = F.concat(
+        L("##$TEXT=( 64 )\n<v\n"), "p_name", L(">\n$$ ##HIDDEN=1\n##$SIZES=( 3 )\n7 "), size, L("\n-1\n##$PAIR=(<"), "p_brand", L(", x>, "), C("p_retailprice").cast("double").cast("string"), L(") (1, 2)\n##PLAIN=two words\n##AGAIN=early"), late, L("\n##END=")
+    )
+    doc = t.part.select("p_partkey", parsers.parameter_records(header).alias("d"))
+    get = lambda path, kind: F.try_variant_get("d", path, kind)
+    return doc.select(
+        "p_partkey", get("$.TEXT", "string").alias("text"), get("$.SIZES[1]", "long").alias("second"), F.size(F.try_variant_get("d", "$.SIZES", "array<long>")).cast("long").alias("n"), F.split(get("$.PAIR[0][0]", "string"), ", ")[0].alias("inner_text"),
+        get("$.PAIR[0][1]", "double").alias("price"), get("$.PLAIN", "string").alias("plain"), get("$.AGAIN", "string").alias("again"), get("$.HIDDEN", "string").alias("hidden"),
+    )
+
+
+@query(
+    "select page_id, case when page_id % 3 = 2 then null else url end as url, case when page_id % 3 = 0 then split_part(url, '/', 4) end as lang, case when page_id % 3 = 1 then 2 end::bigint as links, page_id % 3 = 2 as broken from pages"
+)
+def xml_documents(t: Tables) -> DataFrame:
+    """XML of unlike depth: elements that repeat are lists, texts that are no XML are empty documents."""
+    url = F.replace("url", L("&"), L("&amp;"))
+    lang = F.split("url", "/")[3]
+    doc = cases(C("page_id"), F.concat(L("<w><page><url>"), url, L("</url><meta><lang> "), lang, L("\n</lang></meta></page><other/></w>")), F.concat(L("<w><page><url>"), url, L("</url><link>1</link><link><to>2</to></link></page></w>")), F.concat(L("<w><page>"), url))
+    rows = t.pages.select("page_id", parsers.xml_document(doc).alias("d"))
+    get = lambda path, kind: F.try_variant_get("d", path, kind)
+    links = F.size(get("$.link", "array<variant>")).cast("long")
+    return rows.select("page_id", get("$.url", "string").alias("url"), get("$.meta.lang", "string").alias("lang"), F.when(links >= 0, links).alias("links"), get("$.url", "string").isNull().alias("broken"))
+
+
 COLON = "'k: old' || chr(10) || 'k:  ' || source || chr(10) || 'no colon' || chr(10) || 'url: x:' || lang || chr(10) || case when doc_id % 2 = 0 then 'more :' || n_chars else '' end"
 
 
@@ -365,6 +396,29 @@ def stream_append(t: Tables) -> DataFrame:
     return t.spark.read.schema(rows.schema).parquet(f"{base}/registry")
 
 
+STEPS = [("pending", "view", "seen"), ("seen", "click", "chosen"), ("chosen", "purchase", "bought"), ("seen", "purchase", "bought"), ("bought", "view", "seen")]
+EVENTS_SQL = "select user_id, event_type, ts, row_number() over (partition by user_id order by ts, event_type) as k from events"
+STEPS_SQL = " ".join(f"when status = '{a}' and event_type = '{b}' then '{c}'" for a, b, c in STEPS)
+
+
+@query(
+    f"with recursive e as ({EVENTS_SQL}), walk as (select user_id, 0::bigint as k, 0::bigint as step, 'pending' as status from (select distinct user_id from events) union all "
+    f"select w.user_id, e.k, step + (case {STEPS_SQL} end is not null)::int, coalesce(case {STEPS_SQL} end, status) from walk w join e on e.user_id = w.user_id and e.k = w.k + 1) "
+    "select user_id::varchar as key, max(step)::bigint as steps, arg_max(status, k) as status from walk group by user_id having max(step) > 0"
+)
+def queue_stream(t: Tables) -> DataFrame:
+    """Items that advance with a stream of events, stopped half way and started again from its checkpoint."""
+    base = tables.scratch(t.spark, "queue")
+    rows = t.events.select(C("user_id").cast("string").alias("key"), C("event_type").alias("event"), C("ts").alias("at"))
+    middle = rows.agg(F.percentile_approx("at", 0.5)).first()[0]
+    for half in (C("at") <= middle, C("at") > middle):
+        rows.where(half).write.mode("append").parquet(f"{base}/in")
+        stream = t.spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        queues.drained(queues.advancing(stream, STEPS), f"{base}/changes", f"{base}/state")
+    changes = t.spark.read.schema(queues.RESULT).parquet(f"{base}/changes")
+    return changes.groupBy("key").agg(F.max("step").alias("steps"), F.max_by("status", "step").alias("status"))
+
+
 @query("select strftime(time_bucket(interval 6 hour, ts), '%Y-%m-%d %H:%M') as start, event_type, count(*) as n, round(sum(value), 2) as total from events group by all")
 def window_counts(t: Tables) -> DataFrame:
     """An extension: tumbling windows of event time."""

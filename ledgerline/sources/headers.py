@@ -142,9 +142,8 @@ def folder_headers(files: DataFrame, fields: dict[str, tuple[int, int]], denied:
                 best = found
             if best.get(MODALITY, "") not in NO_IMAGES and len(modalities) > 1:
                 break
-        if best is None:
-            return pd.DataFrame({c: [] for c in names})
-        return pd.DataFrame([[key[0], *(best.get(tag, "") for tag in fields.values()), "/".join(sorted(modalities)), seen, read_bytes]], columns=names)
+        told = pd.DataFrame([[key[0], *((best or {}).get(tag, "") for tag in fields.values()), "/".join(sorted(modalities)), seen, read_bytes]], columns=names)
+        return told if best is not None else told.iloc[:0]
 
     names = ["folder", *fields, "modalities", "instances", "bytes_read"]
     return some.groupBy("folder").applyInPandas(read, ", ".join(["folder string", *(f"`{f}` string" for f in fields), "modalities string, instances long, bytes_read long"]))
