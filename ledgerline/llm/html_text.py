@@ -8,9 +8,12 @@ for a thousandth, unless it holds an article, main or most of the text outside l
 What is content is decided by ratios. Each line has a ratio of its characters, those in links at a tenth, to the tags met
 with it. Ratios are smoothed along the page by a Gaussian that does not reach across the border of a zone, and split in
 two clusters by a threshold at their standard deviation; the upper one is the seeds, but for lines that owe their place to
-their neighbours alone: links, and what is under a quarter of the threshold and no heading. A zone without a seed goes. The text is
+their neighbours alone: links, and what is under the threshold itself and no heading, unless it has a quarter of it and the
+same parent as a line above it. A zone without a seed goes. The text is
 the region from the first to the last line that is a seed or stands in an article or main that has one, or in one beside
-it, with the lines around it that share a parent with those; all lines of the region are kept, short ones included.
+it, with the lines around it that share a parent with those, or a block around a list, and the heading of a list; all lines of
+the region are kept, short ones included. So names in class and id do decide what becomes of a zone that is neither an
+article nor most of the page.
 """
 
 from __future__ import annotations
@@ -30,9 +33,9 @@ PIECE = 1 << 16
 SIGMA = 1.0
 IN_LINKS, IN_ZONES, OWN_SHARE = 0.1, 0.001, 0.25
 
-BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-OUTSIDE = frozenset("nav header footer aside button select textarea script style noscript template iframe svg head title dialog object canvas audio video menu".split())
+OUTSIDE = frozenset("nav header footer aside button select textarea script style noscript template iframe svg head title dialog object canvas audio video".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 #: Parts of class and id values, split at anything but letters, that name what is no article.
 NAMES = frozenset(
@@ -48,7 +51,10 @@ OWNERS = frozenset("article post entry story content".split())
 OF_ARTICLES = frozenset("ad ads advert advertisement sponsored promo promotion related recommended comment comments reply replies".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 HEADING_TAGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-LISTS, TABLES = ("ul", "ol", "dl", "table", "select"), ("table", "select")
+LISTS, TABLES = ("ul", "ol", "dl", "menu", "table", "select"), ("table", "select")
+#: Blocks that only arrange others, and blocks of running text.
+LISTING = frozenset("ul ol dl menu li dt dd table thead tbody tfoot tr td th".split())
+PARAGRAPHS = HEADING_TAGS | frozenset("p pre blockquote address li dt dd body html".split())
 
 _part = re.compile(r"[a-z]+")
 _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -83,11 +89,13 @@ def _hints(tag: str, attrs: list, in_article: bool) -> set[str]:
 
 
 class Lines(HTMLParser):
-    """Gathers lines from events: (parts, tags, article, group, parent, heading).
+    """Gathers lines from events: (parts, tags, article, group, parent, around, heading).
 
     A part is (text, the innermost hinted element around it, whether in a link); ``parts`` is empty for what is excluded.
     ``article`` numbers the innermost article or main, ``group`` the block around the outermost one, -1 for none, 
-    ``parent`` the block around the line's own, and ``heading`` is whether that is one. Open elements are also listed by tag, so no event walks the stack.
+    ``parent`` the block around the line's own, ``around`` the nearest that is no list or table, and ``heading`` is whether its own is one.
+    The page itself is a parent, 0, of paragraphs only: other blocks in it have nothing to do with each other. Open elements
+    are also listed by tag, so no event walks the stack.
     """
 
     def __init__(self):
@@ -95,13 +103,14 @@ class Lines(HTMLParser):
         self.stack: list[tuple[str, bool, int, int, int, int, bool]] = []  # tag, outside, article, group, number, hinted, in a link
         self.open: dict[str, list[int]] = defaultdict(list)  # where each tag is in the stack
         self.blocks: list[int] = []  # where blocks are
-        self.lines: list[tuple[list, int, int, int, int, bool]] = []
+        self.arounds: list[int] = []  # for each of them the nearest one that is no list, itself included
+        self.lines: list[tuple[list, int, int, int, int, int, bool]] = []
         self.parts: list[tuple[str, int, bool]] = []
         self.hinted: list[tuple[int, bool, bool]] = [(0, False, False)]  # the one around it, in an article, names of OF_ARTICLES only
         self.free: list[int] = [0]  # characters outside links, directly in each of hinted
         self.articles: dict[int, tuple[int, bool]] = {}  # the hinted around it, whether main
         self.filled: set[int] = set()  # articles that have text
-        self.tags, self.count, self.dark, self.spot = 0, 0, False, (0, -1, 0, False)
+        self.tags, self.count, self.dark, self.spot, self.menu = 0, 0, False, (0, -1, 0, 0, False), False
 
     def innermost(self, tags) -> int:
         """Where the innermost open element of one of ``tags`` is in the stack, -1 if there is none."""
@@ -114,7 +123,15 @@ class Lines(HTMLParser):
         tag, *_, number, _, _ = self.stack[self.blocks[-up]]
         return 0 if tag in ("html", "body") else number
 
+    def place(self) -> tuple[int, int, bool]:
+        """parent, around and heading of a line that begins here."""
+        tag, *_, number, _, _ = self.stack[self.blocks[-1]] if self.blocks else ("body", 0, 0, 0)
+        parent = self.parent(2)
+        return parent if parent or tag in PARAGRAPHS else -number, self.arounds[-2] if len(self.blocks) > 1 else 0, tag in HEADING_TAGS
+
     def flush(self) -> None:
+        if self.menu and all(link for *_, link in self.parts):  # a menu that leads elsewhere
+            self.dark, self.parts = self.dark or bool(self.parts), []
         if self.parts or self.dark:
             self.lines.append((self.parts, self.tags, *self.spot))
             self.tags, self.dark = 0, False
@@ -155,6 +172,7 @@ class Lines(HTMLParser):
             self.open[tag].pop()
             if tag in BLOCKS:
                 self.blocks.pop()
+                self.arounds.pop()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
@@ -188,6 +206,7 @@ class Lines(HTMLParser):
         self.open[tag].append(len(self.stack))
         if tag in BLOCKS:
             self.blocks.append(len(self.stack))
+            self.arounds.append(0 if tag in ("html", "body") else self.count if tag not in LISTING else self.arounds[-1] if self.arounds else 0)
         self.stack.append((tag, outside, article, group, self.count, hinted, link or tag == "a"))
 
     def handle_endtag(self, tag: str) -> None:
@@ -207,7 +226,7 @@ class Lines(HTMLParser):
         if not self.parts:
             if blank:
                 return
-            self.spot = article, group, self.parent(2), bool(self.blocks) and self.stack[self.blocks[-1]][0] in HEADING_TAGS
+            self.spot, self.menu = (article, group, *self.place()), bool(self.open["menu"])
         self.parts.append((data, hinted, link))
         if not link:
             self.free[hinted] += len(data.strip())
@@ -228,11 +247,15 @@ def smooth(ratios: np.ndarray, zones: np.ndarray, sigma: float = SIGMA) -> np.nd
     return total / mass
 
 
-def seeds(smoothed: np.ndarray, ratios: np.ndarray, zones: np.ndarray, headings: np.ndarray, linked: np.ndarray) -> np.ndarray:
+def seeds(smoothed: np.ndarray, ratios: np.ndarray, zones: np.ndarray, headings: np.ndarray, linked: np.ndarray, parents: np.ndarray) -> np.ndarray:
     """Which are of the upper cluster, not below the standard deviation of all, and there not by their neighbours alone: smoothing carries over to
-    what stands beside content, though not into another zone."""
+    what stands beside content, though not into another zone. What would not be there by its own ratio needs a quarter of the threshold and a
+    line with the same parent that would, or is a heading."""
     cut = smoothed.std() * (1 - 1e-9)
-    upper = (zones >= 0) & (smoothed >= cut) & ((ratios >= OWN_SHARE * cut) | headings | (zones > 0))
+    upper = (zones >= 0) & (smoothed >= cut)
+    strong = upper & (ratios >= cut) & ~linked
+    near = np.isin(parents, parents[strong]) | (not strong.any())
+    upper &= (ratios >= cut) | headings | (zones > 0) | (near & (ratios >= OWN_SHARE * cut))
     return upper & ~linked if (upper & ~linked).any() else upper
 
 
@@ -242,8 +265,8 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
         page.feed(html[k : k + PIECE])
     page.close()
     zones = page.zones()
-    cells: list[tuple[int, int, float, bool, bool]] = []  # line, zone, ratio, heading, links only: a line's text in one zone
-    for k, (parts, tags, *_, heading) in enumerate(page.lines):
+    cells: list[tuple[int, int, float, bool, bool, int]] = []  # line, zone, ratio, heading, links only: a line's text in one zone
+    for k, (parts, tags, _, _, parent, _, heading) in enumerate(page.lines):
         size: dict[int, float] = {}
         free: set[int] = set()
         for text, hinted, link in parts:
@@ -251,12 +274,12 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
             size[zone] = size.get(zone, 0.0) + n * (IN_LINKS if link else 1.0) * (IN_ZONES if zone else 1.0)
             if n and not link:
                 free.add(zone)
-        cells += [(k, zone, n / max(1, tags), heading, zone not in free) for zone, n in size.items()] or [(k, -1, 0.0, False, True)]
+        cells += [(k, zone, n / max(1, tags), heading, zone not in free, parent) for zone, n in size.items()] or [(k, -1, 0.0, False, True, 0)]
     if not cells:
         return ""
-    of_line, of_zone, ratios, headings, linked = (np.array(x) for x in zip(*cells))
+    of_line, of_zone, ratios, headings, linked, of_parent = (np.array(x) for x in zip(*cells))
     ratios = ratios.astype(float)
-    seed = seeds(smooth(ratios, of_zone, sigma), ratios, of_zone, headings, linked)
+    seed = seeds(smooth(ratios, of_zone, sigma), ratios, of_zone, headings, linked, of_parent)
     kept_zones = {0} | set(of_zone[seed].tolist())
     seeded = set(of_line[seed].tolist())
     texts = ["".join(text for text, hinted, _ in parts if zones[hinted] in kept_zones) for parts, *_ in page.lines]
@@ -266,10 +289,19 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
     if not at:
         return ""
     parents = {page.lines[k][4] for k in seeded if page.lines[k][3] < 0} | groups - {0}
+    arounds = {page.lines[k][5] for k in seeded if page.lines[k][3] < 0} - {0}
+    free = set(of_line[~linked].tolist())  # lines that are not links only
+
+    def goes_on(n: int, beside: int) -> bool:
+        """Whether a line next to the region belongs to it: by its parent, by the block around a list, or as the heading of one."""
+        k = inside[n][0]
+        *_, parent, around, heading = page.lines[k]
+        return parent in parents or (around in arounds and k in free) or (heading and beside > n and parent == page.lines[inside[beside][0]][5])
+
     first, last = at[0], at[-1]
-    while first and page.lines[inside[first - 1][0]][4] in parents:
+    while first and goes_on(first - 1, first):
         first -= 1
-    while last + 1 < len(inside) and page.lines[inside[last + 1][0]][4] in parents:
+    while last + 1 < len(inside) and goes_on(last + 1, last):
         last += 1
     return "\n".join(t for _, t in inside[first : last + 1])
 
@@ -283,7 +315,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     view = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"), pages[html_col].cast("string").alias("html"))
 
     def batches(parts):
-        for part in parts:
+        for part in common.sliced(parts):
             texts = [main_text(x) if x else "" for x in part.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -88,6 +88,26 @@ def test_lines_do_not_live_on_their_neighbours():
     assert html_text.main_text(menu) == "One\nTwo"  # nothing else there
 
 
+SENTENCES = "A long paragraph with many words that tell of something in full sentences, as articles do. " * 4
+FOOT = "© 2024 Example Ltd. All rights reserved. Printed in some town, by somebody."
+BY_HAND = {
+    f"<div><a>Home</a> <a>News</a> <a>About us</a></div><div><h1>T</h1><p>{SENTENCES}</p><p>{SENTENCES}</p></div><div>{FOOT}</div>": ["T", SENTENCES, SENTENCES],
+    f"<div><a>Home</a> <a>News</a></div><div><h1>T</h1><p>{SENTENCES}</p><p>{SENTENCES}</p></div><div><p>{FOOT}</p></div>": ["T", SENTENCES, SENTENCES],
+    f"<body><div>Home News</div><h1>T</h1><p>{SENTENCES * 2}</p><p>{SENTENCES}</p><p>End.</p><div>{FOOT}</div></body>": ["T", SENTENCES * 2, SENTENCES, "End."],
+    f"<div><h1>T</h1><ol><li>{SENTENCES}</li><li>Step two is short.</li></ol></div><div><ul><li><a>x</a></li><li><a>y</a></li></ul></div>": ["T", SENTENCES, "Step two is short."],
+    f"<body><h1>T</h1><ol><li>{SENTENCES}</li><li>Second.</li></ol><p>End.</p></body>": ["T", SENTENCES, "Second.", "End."],
+    f"<div><h2>T</h2><p>Take:</p><ul><li>{SENTENCES}</li></ul><p>Done.</p></div><div><ul><li>One</li></ul></div>": ["T", "Take:", SENTENCES, "Done."],
+    f"<article><h1>Soup</h1><menu><li>Cut the roots.</li><li>Boil them.</li></menu><p>{SENTENCES}</p></article>": ["Soup", "Cut the roots.", "Boil them.", SENTENCES],
+    f"<menu><li><a>One</a></li><li><a>Two</a></li></menu><div><p>{SENTENCES}</p></div>": [SENTENCES],
+    f"<article><p>{SENTENCES}</p><menu><li><a>Share</a></li></menu></article>": [SENTENCES],
+}
+
+
+@pytest.mark.parametrize("html", BY_HAND)
+def test_pages_without_telling_names(html):
+    assert html_text.main_text(html) == "\n".join(x.strip() for x in BY_HAND[html])
+
+
 def test_deep_pages_take_linear_time():
     def seconds(page):
         began = time.process_time()
@@ -111,7 +131,9 @@ def plainly(page):
             else:
                 blocks = [e for e in stack if e["tag"] != "a"]
                 articles = [k for k, e in enumerate(stack) if e["tag"] == "article"]
-                text = text or {"parts": [], "parent": blocks[-2]["n"] if len(blocks) > 1 else 0, "heading": blocks[-1]["tag"] == "h2" if blocks else False, "group": (stack[articles[0] - 1]["n"] if articles[0] else 0) if articles else -1}
+                around = blocks[-2]["n"] if len(blocks) > 1 else 0
+                apart = len(blocks) == 1 and blocks[0]["tag"] not in ("p", "h2")  # a block of the page's own
+                text = text or {"parts": [], "parent": -blocks[0]["n"] if apart else around, "around": around, "heading": blocks[-1]["tag"] == "h2" if blocks else False, "group": (stack[articles[0] - 1]["n"] if articles[0] else 0) if articles else -1}
                 text["parts"].append((token, stack[-1]["ad"] if stack else 0, any(e["tag"] == "a" for e in stack)))
             continue
         opening = token[1] != "/"
@@ -149,7 +171,9 @@ def plainly(page):
     mean = sum(smoothed) / max(1, len(smoothed))
     cut = math.sqrt(sum((x - mean) ** 2 for x in smoothed) / max(1, len(smoothed)))
     cut *= 1 - 1e-9
-    upper = [k for k, (z, r) in enumerate(ratios) if z >= 0 and smoothed[k] >= cut and (r >= cut / 4 or z or lines[k][0]["heading"])]
+    linked = [not line or not any(t.strip() and not link for t, _, link in line["parts"]) for line, _ in lines]
+    strong = {lines[k][0]["parent"] for k, (z, r) in enumerate(ratios) if z >= 0 and smoothed[k] >= cut and r >= cut and not linked[k]}
+    upper = [k for k, (z, r) in enumerate(ratios) if z >= 0 and smoothed[k] >= cut and (r >= cut or (r >= cut / 4 and (not strong or lines[k][0]["parent"] in strong)) or z or lines[k][0]["heading"])]
     seeds = [k for k in upper if any(t.strip() and not link for t, _, link in lines[k][0]["parts"])] or upper
     zones, groups = {0} | {ratios[k][0] for k in seeds}, {lines[k][0]["group"] for k in seeds} - {-1}
     left = [k for k, (z, _) in enumerate(ratios) if z in zones]
@@ -158,7 +182,8 @@ def plainly(page):
         return ""
     parents = {lines[k][0]["parent"] for k in seeds if lines[k][0]["group"] < 0} | groups - {0}
     first, last = at[0], at[-1]
-    while first and lines[left[first - 1]][0]["parent"] in parents:
+    heads = lambda n: lines[left[n]][0]["heading"] and lines[left[n]][0]["parent"] == lines[left[n + 1]][0]["around"]
+    while first and (lines[left[first - 1]][0]["parent"] in parents or heads(first - 1)):
         first -= 1
     while last + 1 < len(left) and lines[left[last + 1]][0]["parent"] in parents:
         last += 1
