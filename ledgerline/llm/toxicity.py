@@ -1,7 +1,8 @@
 """Toxicity of texts by noisy-channel deobfuscation.
 
 Spans that look disguised (digits or signs among letters, spaced-out letters, letters repeated thrice) become lattices: a
-sign stands for letters it resembles, a repeated character or up to three separators between spaced letters or signs may be nothing. Viterbi
+sign stands for letters it resembles, two stars or more for any letters; of a letter written thrice or more often one may be left, of a run of
+signs one letter or two; up to three separators between spaced letters or signs may be nothing. A single sign, or any number of plus signs, after a word's only letter stays. Viterbi
 decoding under a character language model picks the likeliest reading; text outside such spans has one reading only and
 stays. A logistic model over the words, and the beginnings of words, of the restored text gives the score.
 
@@ -38,7 +39,8 @@ SIGNS = "".join(LOOKALIKES)
 MEMBERS = SIGNS.translate(dict.fromkeys(map(ord, "0123456789*")))
 MOST_APART = 3
 TAILS = "!.,;:?"
-COSTS = {"stands for": 1.0, "stays": 9.0, "repeated": 0.7, "kept apart": 4.0, "dropped": 0.3}
+COSTS = {"stands for": 1.0, "stays": 9.0, "repeated": 0.7, "one of two": 3.0, "any letter": 2.0, "kept apart": 4.0, "dropped": 0.3}
+ANY, CONSONANTS = "*", "bcdfghjklmnpqrstvwxyz"
 #: Language-model symbols: 0 between words, 1 to 26 letters without their accents, 27 other letters.
 SYMBOLS = 28
 
@@ -114,8 +116,17 @@ class Restorer:
             return [("", 0.0)] + [(x, COSTS["stands for"]) for x in LOOKALIKES.get(char, "")]
         found = [(run[0] if run else char, COSTS["kept apart"] if run else COSTS["stays"] if char in LOOKALIKES else 0.0)]
         found += [(x, COSTS["stands for"]) for x in LOOKALIKES.get(char, "")]
-        if k and char == span[k - 1]:
-            found.append(("", COSTS["repeated"]))
+        first, beyond = k, k + 1
+        while first and span[first - 1] == char:
+            first -= 1
+        while beyond < len(span) and beyond - first < 3 and span[beyond] == char:
+            beyond += 1
+        if char == ANY and beyond - first > 1:
+            found += [(x, COSTS["any letter"]) for x in CONSONANTS]
+        if k > first and (beyond - first > 2 or k - first > 1):
+            found.append(("", COSTS["repeated"] if char not in LOOKALIKES or k - first > 1 else COSTS["one of two"]))
+        elif k > first and char in LOOKALIKES:
+            found.append(("", COSTS["one of two"]))
         if run and len(run[0]) <= MOST_APART:
             found.append(("", COSTS["dropped"]))
         return found
@@ -149,6 +160,9 @@ class Restorer:
         hits = []
         for m in _sign.finditer(text):
             i, j = m.span()
+            alone = i and text[i - 1].isalpha() and not text[j : j + 1].isalpha() and not (i > 1 and text[i - 2].isalnum())
+            if alone and (j - i == 1 or set(m[0]) == {"+"}):
+                continue  # as in c++
             if j < len(text) and text[j].isalpha() or i and text[i - 1].isalpha() and not _closing.fullmatch(m[0]):
                 hits.append(i)
         hits += [m.start() for m in _repeat.finditer(text)]

@@ -159,6 +159,20 @@ def test_caches_hold_no_long_words(spark):
     assert all(len(x) <= toxicity.CACHED for x in model.of_word)
 
 
+SAID = "an asshole is stupid and the code of a book fuck that stoopid thing so all will call the boss"
+READ = {
+    "A$$hole": "asshole", "st00000pid": "stoopid", "f**k": "fuck", "st*pid": "stupid", "stuuuupid": "stupid", "b0$$": "boss", "s t u p i d": "stupid",
+    "C++ code": "c++ code", "c+ grade": "c+ grade", "R$ 5": "r$ 5", "a book, all of it!!!": "a book, all of it!!!", "call the boss": "call the boss",
+}
+
+
+@pytest.mark.parametrize("text", READ)
+def test_runs_of_signs_and_plain_text(text):
+    codes = toxicity._codes("\n\n" + "\n\n".join(SAID.split() * 50) + "\n\n")
+    counts = np.bincount((codes[:-2] * 28 + codes[1:-1]) * 28 + codes[2:], minlength=28**3)
+    assert toxicity.Restorer(counts).restore(text) == READ[text]
+
+
 def test_best_readings_are_the_best_of_all(spark):
     rng = random.Random(6)
     counts = np.array([rng.randint(0, 60) for _ in range(28**3)])
