@@ -143,7 +143,8 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     nodes = common.materialised(nodes.unionByName(root))
     children = nodes.where("up is not null").groupBy(F.col("up").alias("node")).agg(F.count("*").alias("n_children"))
     parents = nodes.select(F.col("node").alias("up"), F.col("conv_id").alias("parent_conv_id"))
-    nodes = nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))).join(parents, "up", "left")
+    # Written before it is grouped by parent: else Spark groups where it has joined, and all children of the root meet in one task.
+    nodes = common.materialised(nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))).join(parents, "up", "left"))
     own = {"n_leaves": (F.col("n_children") == 0).cast("long"), "saved_tokens": (F.col("n_convs") - 1) * F.col("bytes")}
     summed = subtree_sums(nodes.withColumns(own).drop("bytes"), list(own))
     lengths = convs.withColumnRenamed("length", "depth")
