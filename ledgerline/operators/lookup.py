@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.keywords import first_keyword
 from ledgerline.functions.text import strip
 
 
@@ -64,6 +65,9 @@ def exact_then_prefix(rows: DataFrame, key: str, table: DataFrame, table_key: st
     return found.withColumn("found", F.coalesce("_exact", "_prefix")).drop("_e", "_p", "_exact", "_prefix")
 
 
+CASE_WORDS = 50
+
+
 def first_match(text: Column, rules: list[tuple[str, str]], otherwise: str | None = None) -> Column:
     """The value of the first rule (pattern, value) whose pattern is in the text. The table of rules becomes one CASE."""
     found = None
@@ -73,9 +77,14 @@ def first_match(text: Column, rules: list[tuple[str, str]], otherwise: str | Non
 
 
 def longest_keyword(text: Column, words: dict[str, str], preferred: dict[str, str] | None = None) -> Column:
-    """The value of a preferred word in the text, else of the longest word in it; of words as long the first listed."""
+    """The value of a preferred word in the text, else of the longest word in it; of words as long the first listed.
+
+    A few words become one CASE, which asks for each; more become an automaton, which reads a text once. Both say the same.
+    """
     low = F.lower(text)
     order = list((preferred or {}).items()) + sorted(words.items(), key=lambda w: -len(w[0]))
+    if len(order) > CASE_WORDS:
+        return first_keyword(text, order)
     return F.coalesce(*(F.when(F.contains(low, F.lit(w.lower())), v) for w, v in order), F.lit(None).cast("string"))
 
 

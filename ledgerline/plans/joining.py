@@ -168,6 +168,13 @@ def longest_keyword_match(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", lookup.longest_keyword(C("text"), WORDS, LINES).alias("region"))
 
 
+@query("select p.page_id, arg_min('P' || w.page_id, (-length(w.page_id::varchar), w.page_id)) as longest from pages p join pages w on contains(p.url, w.page_id::varchar) group by p.page_id union all select page_id, null from pages p where not exists (select 1 from pages w where contains(p.url, w.page_id::varchar))")
+def vocabulary_match(t: Tables) -> DataFrame:
+    """The longest word of a vocabulary of some size, a table's keys, in each text."""
+    keys = [r[0] for r in t.pages.select("page_id").orderBy("page_id").collect()]  # a vocabulary is bounded by keywords.MOST_CHARS
+    return t.pages.select("page_id", lookup.longest_keyword(C("url"), {str(k): f"P{k}" for k in keys}).alias("longest"))
+
+
 RULES = [("(?i)phantom|promo", "skip"), ("(?i)small.*ring|ring.*small", "tiny ring"), ("(?i)\\bred\\b", "red thing"), ("(?i)ring|bolt", "hardware")]
 
 

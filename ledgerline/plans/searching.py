@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import lists, text
-from ledgerline.operators import search, sequence
+from ledgerline.operators import postings, search, sequence
+from ledgerline.sources import tables
 from ledgerline.sources.tables import materialised
 
 from .base import ACQ_SQL, PACKED_SQL, Tables, acquisitions, packed_suppliers, query
@@ -55,6 +56,18 @@ def search_freetext(t: Tables) -> DataFrame:
     return rows.select("o_orderkey", "acq_id")
 
 
+@query(f"with {ACQ_SQL} select o_orderkey, acq_id from acq where contains(lower(concat_ws(' ', acq_id, day, instrument)), '-hig-10')")
+def search_postings(t: Tables) -> DataFrame:
+    """The search again, over a registry and a table of trigrams that both grew by appends."""
+    base = tables.scratch(t.spark, "postings")
+    rows = acquisitions(t).select("o_orderkey", "acq_id", search.search_blob("acq_id", "day", "instrument").alias("blob"))
+    for part in (C("o_orderkey") % 3 > 0, C("o_orderkey") % 3 == 0):
+        rows.where(part).sort("o_orderkey").write.mode("append").parquet(f"{base}/registry")
+        postings.add(rows.where(part), "o_orderkey", "blob", f"{base}/grams")
+    registry = t.spark.read.schema(rows.schema).parquet(f"{base}/registry")
+    return postings.searched(registry, "o_orderkey", "blob", f"{base}/grams", "-HIG-10").select("o_orderkey", "acq_id")
+
+
 @query("select o_orderkey, o_orderpriority from orders where lower(o_orderpriority) = '1-urgent'")
 def filter_eq_ci(t: Tables) -> DataFrame:
     return t.orders.where(search.matches(search.Filters(equal=(("o_orderpriority", "1-Urgent"),)), L(""), L(""))).select("o_orderkey", "o_orderpriority")
