@@ -74,18 +74,18 @@ def walk_up(dirs: Column, between: tuple[str, ...], times: tuple[str, ...], inde
     """struct(subject, timepoint, series): the innermost directory that is none of the levels ``between`` and ``times``, the innermost
     time below it, and the next such directory above. Names of levels are written as for ``named_like``. A bare number is a
     subject too, unless it stands directly under one of ``indexed``."""
-    kinds = F.transform(dirs, lambda d: F.when(d.rlike(named_like(times)), "t").when(d.rlike(named_like(between)), "-").when(d.rlike("^[0-9]+$"), "#").otherwise("s"))
-    heads = F.transform(dirs, lambda d: d.rlike(named_like(indexed))) if indexed else F.transform(dirs, lambda d: F.lit(False))
-
-    def found(ks: Column) -> Column:
-        subjects = F.filter(F.sequence(F.lit(0), F.size(ks)), lambda i: (F.get(ks, i) == "s") | ((F.get(ks, i) == "#") & ~F.coalesce(F.get(heads, i - 1), F.lit(False))))
-        return let(F.coalesce(F.array_max(subjects), F.lit(-1)), lambda at: told(ks, at))
-
-    def told(ks: Column, at: Column) -> Column:
-        last = lambda kinds, after, before: F.get(dirs, F.array_max(F.filter(F.sequence(F.lit(0), F.size(ks)), lambda i: F.get(ks, i).isin(*kinds) & (i > after) & (i < before))))
-        return F.struct(F.coalesce(F.get(dirs, at), F.lit("")).alias("subject"), last("t", at, F.size(ks)).alias("timepoint"), last("s#", -1, at).alias("series"))
-
-    return let(kinds, found)
+    under = lambda i: F.coalesce(F.get(dirs, i - 1).rlike(named_like(indexed)), F.lit(False)) if indexed else F.lit(False)
+    kind = lambda d, i: F.when(d.rlike(named_like(times)), "t").when(d.rlike(named_like(between)), "-").when(~d.rlike("^[0-9]+$"), "s").when(under(i), "i").otherwise("n")
+    kinds = F.array_join(F.transform(dirs, kind), "")  # a letter a level: what is sought next are places in a short text
+    last = lambda ks, letters: F.length(F.regexp_extract(ks, f"^.*[{letters}]", 0)) - 1
+
+    def told(ks: Column) -> Column:
+        at = last(ks, "sn")
+        point, above = last(ks, "t"), last(F.substring(ks, F.lit(1), F.greatest(at, F.lit(0))), "sni")
+        name = lambda place, holds: F.when(holds, F.get(dirs, place))
+        return F.struct(F.coalesce(name(at, at >= 0), F.lit("")).alias("subject"), name(point, point > at).alias("timepoint"), name(above, above >= 0).alias("series"))
+
+    return let(kinds, told)
 
 
 def last_valid(codes: Column, valid: Column) -> Column:

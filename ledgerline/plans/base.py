@@ -38,6 +38,12 @@ def query(sql: str | None = None):
     return add
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows``, narrow ones, for work that is costly a row: dealt out evenly if their files make fewer tasks than there are cores."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 FEW = 2_000_000
 
 

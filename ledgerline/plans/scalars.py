@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, lists, paths, text, values
 
-from .base import PACKED_SQL, Tables, packed_suppliers, query
+from .base import PACKED_SQL, Tables, packed_suppliers, query, spread
 
 C, L = F.col, F.lit
 
@@ -536,7 +536,8 @@ def analyse_path(t: Tables) -> DataFrame:
         C("o_orderkey"), F.concat(who, L("/0522_m"), c, L("_24h/"), F.date_format(d, "ddMMyy"), L("/Slices/3/")), F.concat(L("Extra/"), who, L("/0522 series/RAT"), c, L("/rebuild_1/")), L(""), F.concat(who, L("/1015_x/"), c, L("/4 hours/")), F.concat(who, L("/0777/9999_m"), c, L("/")), F.concat(who, L("/Phantom NEMA/"))
     )
     folder = F.concat(F.date_format(d, "yyyy"), L("/group/"), inner)
-    rows = t.orders.select("o_orderkey", C("o_custkey").alias("bytes"), F.explode(F.array(F.concat(folder, file), F.concat(folder, L("notes.txt")))).alias("path"))
+    orders = spread(t.orders.select("o_orderkey", "o_orderdate", "o_custkey"))
+    rows = orders.select("o_orderkey", C("o_custkey").alias("bytes"), F.explode(F.array(F.concat(folder, file), F.concat(folder, L("notes.txt")))).alias("path"))
     return analysed(rows, "path", "bytes", CODES, STEM).drop("bytes", "path")
 
 
