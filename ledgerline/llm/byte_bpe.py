@@ -298,7 +298,7 @@ def _digest(chunks: Iterable[bytes]) -> str:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_tokens, ids; with ``decoded`` also decoded_sha256, of the bytes the ids decode to. Null texts count as empty and give no ids; repeated rows give a row each."""
+    """Per row of ``docs``: doc_id, n_tokens, ids; with ``decoded`` also decoded_sha256, of the bytes the ids decode to. Null texts count as empty and give no ids; repeated rows give a row each. An empty table gives no rows; other columns are ignored, whatever their names."""
     ranks, view = _ranks(docs.sparkSession, ranks_path), common.docs_view(docs, id_col, text_col)
 
     def batches(parts: Iterable[pa.RecordBatch]):
@@ -314,7 +314,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str = "", id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """Per row of ``encoded``: doc_id, text. Null or no ids give an empty text; bytes that are no UTF-8 give U+FFFD."""
+    """Per row of ``encoded``: doc_id, text. Null or no ids give an empty text; bytes that are no UTF-8 give U+FFFD; repeated rows give a row each. An empty table gives no rows; other columns are ignored, whatever their names."""
     ranks = _ranks(encoded.sparkSession, ranks_path)
     view = encoded.select(encoded[id_col].alias("doc_id"), encoded[ids_col].alias("ids"))
 

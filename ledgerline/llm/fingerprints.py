@@ -115,7 +115,7 @@ def likeness(a: str, b: str) -> float:
 
 
 def fingerprint(docs: DataFrame, levels: tuple = LEVELS, bins: int = BINS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, fingerprint. Null counts as empty; equal texts have equal fingerprints."""
+    """Per row of ``docs``: doc_id, fingerprint. Null counts as empty; equal texts have equal fingerprints; repeated rows give a row each. An empty table gives no rows; other columns are ignored, whatever their names."""
     view = common.docs_view(docs, id_col, text_col)
 
     def batches(parts):

@@ -47,7 +47,7 @@ def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, seed: int = SEED, hashed: bool = False) -> DataFrame:
-    """Per row of ``docs``: doc_id, fp (signed long); with ``hashed`` also text_hash, the text's XXH64. Null texts and texts without words have fingerprint zero."""
+    """Per row of ``docs``: doc_id, fp (signed long); with ``hashed`` also text_hash, the text's XXH64. Null texts and texts without words have fingerprint zero; repeated rows give a row each. An empty table gives no rows; other columns are ignored, whatever their names."""
     view = common.docs_view(docs, id_col, text_col)
     view = view.withColumn("text_hash", F.xxhash64("text")) if hashed else view
     names = ["doc_id", "fp", *view.columns[2:]]
