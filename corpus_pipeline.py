@@ -16,24 +16,29 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows scored under the threshold, all columns; null and empty texts are scored like any other, repeated rows alike. An empty table gives no rows."""
     common.small_batches(spark)
     return toxicity.keep_civil(docs, toxicity.fit(docs, common.table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each group of near-duplicates, as ``simhash.keep_one`` says; null and empty texts are one group. An empty table gives no rows."""
     common.small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, secrets in their texts masked and n_chars counted again; a null text stays null, repeated rows stay. An empty table gives no rows."""
     return _counted(secrets.redact(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix takes them; those without words are not taken, null is a source of its own. An empty table gives no rows."""
     return _counted(mixing.mixture(docs))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids and the digest of what they decode to, per row; a null text has none, repeated rows stay. An empty table gives no rows."""
     common.small_batches(spark)
     return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, decoded=True)
 
