@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -61,3 +62,16 @@ def materialised(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder: later reads survive lost executors and do not compute it again."""
     ensure_checkpoints(df.sparkSession)
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """The path of a new folder below the shared checkpoint folder, not made yet."""
+    ensure_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as Parquet in the shared folder: later reads take the columns they need only, and each row has a place in a file."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

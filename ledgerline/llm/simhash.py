@@ -9,9 +9,14 @@ most 65 members; which they are fits a 64-bit mask of flipped bits and one flag,
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
+from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +28,9 @@ SHINGLE = 3
 SEED = 42
 BLOCK = 1 << 16
 VARIANTS_A_PART = 4_000_000
-BUCKET_BITS = 1 << 15  # of one bitmap that bitmap_construct_agg makes
-BITS = 1 << 26
+BLOCK_ROWS = 1 << 10
+LEAST_PARTS = 64
+ROWS_A_PART = 1 << 18
 
 
 def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED) -> int:
@@ -46,10 +52,9 @@ def fingerprint(text: str, width: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, seed: int = SEED, hashed: bool = False) -> DataFrame:
-    """Per row of ``docs``: doc_id, fp (signed long); with ``hashed`` also text_hash, the text's XXH64. Null texts and texts without words have fingerprint zero; repeated rows give a row each. An empty table gives no rows; other columns are ignored, whatever their names."""
-    view = common.docs_view(docs, id_col, text_col)
-    view = view.withColumn("text_hash", F.xxhash64("text")) if hashed else view
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, seed: int = SEED, also: Sequence[Column] = ()) -> DataFrame:
+    """Per row of ``docs``: doc_id, fp (signed long) and the columns ``also``, longs of other names. Null texts and texts without words have fingerprint zero; repeated rows give a row each. An empty table gives no rows; other columns are ignored, whatever their names."""
+    view = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), *also)
     names = ["doc_id", "fp", *view.columns[2:]]
 
     def batches(parts):
@@ -57,7 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = [fingerprint(x, width, seed) if x else 0 for x in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps, pa.int64()), *part.columns[2:]], names=names)
 
-    return view.mapInArrow(batches, common.with_id(view, "fp long, text_hash long" if hashed else "fp long"))
+    return view.mapInArrow(batches, common.with_id(view, ", ".join(["fp long", *(f"{c} long" for c in view.columns[2:])])))
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -99,40 +104,84 @@ def _components(marked: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that stand for their component: one each.
 
-    It is the one with the least id, null ids last, and of several texts under that id the one with the least XXH64. Of rows
-    alike in id and text the one whose other columns hash least is kept. Null and empty texts stand for each other, as they
-    share fingerprint zero; an empty table gives no rows; no name of a column can clash.
+    It is the one with the least id, null ids last, of several texts under that id the one with the least XXH64, and of rows
+    alike in id and text the one whose other columns (maps aside) hash least. Null and empty texts stand for each other, as
+    they share fingerprint zero; an empty table gives no rows; no name of a column can clash.
 
-    Texts hardly move: which rows stay is settled on (id, XXH64 of the text) alone, and two bitmaps of BITS bits, of keys
-    that stay and of keys that go, are sent to all tasks, 2 * BITS / 8 bytes at any size of ``docs``. A row whose bit is set in one
-    of them is settled where it is read; only rows with both set, by a clash or as repeated rows, are shuffled and compared exactly.
+    Texts are never shuffled. A row's place is the file it is read from and its number there; which places stay is settled on
+    ids, hashes and places alone and written to the shared folder, by blocks of BLOCK_ROWS rows of a file. A task then looks
+    up the blocks it reads, so no task holds more of them than a block, at any size of ``docs``. Rows that no Parquet file
+    holds, or of which several come from one place, as above a join, are written first; Parquet must know their types.
     """
-    marked = common.materialised(fingerprints(docs, id_col, text_col, hashed=True))
-    key = F.xxhash64("doc_id", "text_hash").alias("key")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    best = marked.join(_components(marked), "fp").groupBy("root").agg(F.min(order).alias("best")).select("best.*")
-    kept = common.materialised(best.select(key, "text_hash"))
-    keys = marked.select(key, "text_hash").groupBy("key", "text_hash").agg((F.count("*") > 1).alias("repeated"))
-    keys = keys.join(kept.withColumn("stays", F.lit(True)), ["key", "text_hash"], "left")
-    place = F.pmod("key", F.lit(BITS))
-    bucket, bit = F.floor(place / BUCKET_BITS).cast("long").alias("bucket"), place % BUCKET_BITS
-    stays, goes = F.when(F.col("stays"), bit), F.when(F.col("stays").isNull() | F.col("repeated"), bit)
-    maps = common.materialised(keys.groupBy(bucket).agg(F.bitmap_construct_agg(stays).alias("stay"), F.bitmap_construct_agg(goes).alias("go")))
-
-    text_hash = F.xxhash64(docs[text_col].cast("string"))
-    plain = [c for c, kind in docs.dtypes if "map<" not in kind]
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), text_hash.alias("text_hash"), F.xxhash64(docs[id_col], text_hash).alias("key"), F.xxhash64(*(docs[c] for c in plain)).alias("all"))
-    rows = rows.withColumn("bucket", bucket).join(F.broadcast(maps), "bucket").select("row", "key", "text_hash", "all", _has("stay", bit).alias("stay"), _has("go", bit).alias("go"))
-    # Not a semi join: the optimizer would move one below the bitmaps, where it shuffles all texts. Keys in kept are distinct.
-    doubtful = rows.where("stay and go").join(kept, ["key", "text_hash"])
-    settled = doubtful.groupBy("key", "text_hash").agg(F.min_by("row", "all").alias("row"))
-    return rows.where("stay and not go").select("row.*").union(settled.select("row.*"))
-
-
-def _has(bitmap: str, bit: Column) -> Column:
-    """Whether ``bit`` is set in the binary column ``bitmap``."""
-    byte = F.conv(F.hex(F.substring(bitmap, F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.call_function("shiftright", byte, (bit % 8).cast("int")) % 2 == 1
+    found, marked = docs, None
+    if _place(docs):
+        marked = _marked(docs, id_col, text_col)
+        if marked.groupBy("file", "at").count().where("count > 1").head(1):
+            marked = None
+    if marked is None:
+        found = common.written(docs, "rows")
+        marked = _marked(found, id_col, text_col)
+
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "rest", "file", "at")
+    best = marked.groupBy("fp").agg(F.min(order).alias("best")).join(_components(marked), "fp").groupBy("root").agg(F.min("best").alias("best"))
+    block = F.floor(F.col("at") / BLOCK_ROWS).cast("long")
+    parts = max(LEAST_PARTS, -(-marked.count() // ROWS_A_PART))
+    part = F.pmod(F.xxhash64("file", block), F.lit(parts)).cast("int")
+    best = best.select("best.file", "best.at").select(part.alias("part"), "file", block.alias("block"), "at")
+    folder = common.shared_folder(docs.sparkSession, "places")
+    best.repartition("part").sortWithinPartitions("part", "file", "block").write.partitionBy("part").parquet(folder)
+
+    rows = found.select(F.struct(*(found[c] for c in found.columns)).alias("row"), *_place(found))
+    return rows.where(_stays(folder)(part, "file", block, "at")).select("row.*")
+
+
+def _place(docs: DataFrame) -> list[Column]:
+    """The columns ``file`` (a hash of its path) and ``at`` (the row's number in it); none where ``docs`` is not read from Parquet files."""
+    try:
+        hidden = docs.metadataColumn("_metadata")
+        place = [F.xxhash64(hidden["file_path"]).alias("file"), hidden["row_index"].alias("at")]
+        docs.select(*place)
+    except AnalysisException:
+        return []
+    return place
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row of ``docs``: doc_id, fp, hashes of the text and of all columns, and the row's place."""
+    plain = [docs[c] for c, kind in docs.dtypes if "map<" not in kind]
+    also = [F.xxhash64(docs[text_col].cast("string")).alias("text_hash"), F.xxhash64(*plain).alias("rest"), *_place(docs)]
+    return common.materialised(fingerprints(docs, id_col, text_col, also=also))
+
+
+def _stays(folder: str):
+    """A function of a row's part, file, block and number: whether ``folder`` holds its place."""
+    held: dict[tuple, np.ndarray] = {}
+
+    def numbers(part: int, file: int, block: int) -> np.ndarray:
+        store, root = fs.FileSystem.from_uri(folder)
+        whole, places = store.get_file_info([f"{root}/_SUCCESS", f"{root}/part={part}"])
+        if whole.type == fs.FileType.NotFound:
+            raise FileNotFoundError(f"{folder} is not whole")
+        if places.type == fs.FileType.NotFound:
+            return np.zeros(0, np.int64)
+        asked = [("file", "=", file), ("block", "=", block)]
+        return pq.read_table(places.path, columns=["at"], filters=asked, filesystem=store, partitioning=None).column(0).to_numpy()
+
+    @F.arrow_udf("boolean")
+    def stays(part: pa.Array, file: pa.Array, block: pa.Array, at: pa.Array) -> pa.Array:
+        keys = np.column_stack([c.to_numpy(zero_copy_only=False) for c in (part, file, block)])
+        found = np.zeros(len(keys), bool)
+        changes = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1  # rows come in the order of their file
+        for some in np.split(np.arange(len(keys)), changes):
+            if len(some):
+                key = tuple(keys[some[0]].tolist())
+                if key not in held:
+                    held.clear()
+                    held[key] = numbers(*key)
+                found[some] = np.isin(at.to_numpy(zero_copy_only=False)[some], held[key])
+        return pa.array(found)
+
+    return stays
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

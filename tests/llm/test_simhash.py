@@ -102,9 +102,10 @@ def test_documents(spark, rows):
     assert simhash.near_duplicates(docs.where("false")).count() == 0
 
 
-@pytest.mark.parametrize("bits", [simhash.BITS, simhash.BUCKET_BITS, 8])
-def test_one_row_stands_for_each_component(spark, monkeypatch, bits):
-    monkeypatch.setattr(simhash, "BITS", bits)  # with 8 bits nearly all rows are in doubt
+@pytest.mark.parametrize("rows_a_part, block_rows", [(simhash.ROWS_A_PART, simhash.BLOCK_ROWS), (1, 1), (2, 3)])
+def test_one_row_stands_for_each_component(spark, monkeypatch, rows_a_part, block_rows):
+    monkeypatch.setattr(simhash, "ROWS_A_PART", rows_a_part)
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", block_rows)
     long, other = "one two three four five six seven eight", "nothing here is like the rest of it at all"
     rows = [(5, long, "x"), (5, other, "x"), (3, other, "x"), (None, "alone without an id here", "x"), (None, "alone without an id here", "x"), (None, long, "x"), (None, "another text of its own", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, more string").repartition(3)
@@ -115,10 +116,10 @@ def test_one_row_stands_for_each_component(spark, monkeypatch, bits):
         assert sorted((r.doc_id or 0, r.text) for r in found) == kept
 
 
-@pytest.mark.parametrize("bits", [simhash.BITS, 8])
-def test_kept_rows_have_their_own_columns(spark, monkeypatch, bits):
-    monkeypatch.setattr(simhash, "BITS", bits)
-    names = ["doc_id", "text", "row", "key", "bucket", "stay", "go", "all", "fp", "root", "text_hash", "_row", "_text"]
+@pytest.mark.parametrize("block_rows", [simhash.BLOCK_ROWS, 2])
+def test_kept_rows_have_their_own_columns(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", block_rows)
+    names = ["doc_id", "text", "row", "key", "file", "at", "part", "block", "rest", "_metadata", "fp", "root", "text_hash", "_row", "_text"]
     texts = ["one two three four five six", "one two three four five six", None, "", "quite unlike any other text of these"] * 40
     rows = [(k % 150, t, *(f"{n} {k}" for n in names[2:])) for k, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, ", ".join(f"{n} {'long' if n == 'doc_id' else 'string'}" for n in names))
@@ -127,3 +128,33 @@ def test_kept_rows_have_their_own_columns(spark, monkeypatch, bits):
     assert sorted(map(tuple, found), key=str) == sorted(map(tuple, simhash.keep_one(docs.repartition(2)).collect()), key=str)
     assert len(found) == 3 and {tuple(r) for r in found} <= set(rows) and {r.doc_id for r in found} == {0, 2, 4}
     assert simhash.keep_one(docs.where("false")).count() == 0
+
+
+def _kept_by_rule(docs):
+    """Of the rows of ``docs`` the one of each component, by the groups that near_duplicates tells."""
+    component = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    return sorted(r.doc_id for r in docs.collect() if component[r.doc_id] == r.doc_id)
+
+
+def test_rows_of_files_are_told_by_place_and_texts_are_not_shuffled(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs.repartition(7).write.option("parquet.block.size", 100_000).parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    kept = simhash.keep_one(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert sorted(r.doc_id for r in kept.collect()) == _kept_by_rule(docs)
+    whole = {r.doc_id: r for r in docs.collect()}
+    assert all(r == whole[r.doc_id] for r in kept.collect())
+    some = docs.where("doc_id % 3 > 0").select("text", "doc_id")
+    assert sorted(r.doc_id for r in simhash.keep_one(some).collect()) == _kept_by_rule(some)
+
+
+def test_several_rows_of_one_place(spark, tmp_path):
+    words = "one two three four five six seven eight"
+    spark.createDataFrame([(1, words), (2, "nothing here is like the rest of it")], "k long, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs")).selectExpr("explode(array(10 * k, 10 * k + 1)) as doc_id", "text")
+    twice = docs.unionByName(docs)
+    joined = docs.join(spark.createDataFrame([(10,), (11,), (11,), (21,)], "doc_id long"), "doc_id")
+    for frame, expected in ((docs, [10, 20]), (twice, [10, 20]), (joined, [10, 21])):
+        assert sorted(r.doc_id for r in simhash.keep_one(frame).collect()) == expected
