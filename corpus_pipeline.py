@@ -56,8 +56,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. What a stage keeps is written to the checkpoint folder before the next reads it."""
+    """All stages over ``documents``. What a stage keeps is written as Parquet to the checkpoint folder before the next reads it."""
     docs = common.table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = common.materialised(stage(spark, docs, sf_dir))
+    for name, stage in STAGES[:-1]:
+        docs = common.written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
