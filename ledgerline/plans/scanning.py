@@ -121,7 +121,7 @@ def folder_contents(t: Tables) -> DataFrame:
 def tree_walk(t: Tables) -> DataFrame:
     """A walk down to folders that are anchors: what lies in them is never listed, nor what lies beside a path's prefix."""
     root = nation_files(t, C("n_name"), "n_regionkey < 3")
-    rows = trees.walked(t.spark, root, "^nation=").where("below = 0 and is_dir")
+    rows = trees.walked(t.spark, root, "^nation=", below=0).where("is_dir")
     return rows.select(F.regexp_extract("path", "(region=.*)$", 1).alias("folder")).where("folder <> ''")
 
 

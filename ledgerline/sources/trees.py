@@ -1,12 +1,13 @@
-"""Directory trees as a data source: a folder that filters rule out is never listed.
+"""Directory trees as a data source: a folder that the bounds of a walk rule out is never listed.
 
     spark.dataSource.register(TreeSource)
-    spark.read.format("tree").option("anchor", "^scan_").load("/data").where("below = 0")
+    spark.read.format("tree").option("anchor", "^scan_").option("below", 0).load("/data")
 
 Rows are folders and files, with ``below``, the number of levels under the nearest folder above whose name the anchor fits: 0
 for the anchor itself and for what is under none. The driver lists the upper levels; each folder found there is a partition,
-whose task walks it. Filters that Spark pushes down stop the walk: below = 0 or below <= n at an anchor, depth <= n at a
-level, a prefix of the path beside it.
+whose task walks it. Bounds stop the walk: below at an anchor, depth at a level, a prefix of the path beside it. They are
+options of a load, not filters that Spark hands down: it keeps those by loaded table, so of two uses of one DataFrame with
+unlike filters one would miss rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from collections.abc import Iterator
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition, LessThan, LessThanOrEqual, StringStartsWith
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "path string, name string, depth int, below int, is_dir boolean, length long, modified timestamp"
 
@@ -42,31 +44,19 @@ class Subtree(InputPartition):
 
 
 class TreeReader(DataSourceReader):
-    def __init__(self, root: str, anchor: str | None, spread: int):
+    def __init__(self, root: str, anchor: str | None = None, spread: int = 1, below: int | None = None, depth: int | None = None, prefix: str = ""):
         self.root, self.anchor, self.spread = root, anchor, spread
-        self.deepest, self.most_below, self.prefixes = None, None, []
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Notes what prunes; Spark checks all filters again on the rows."""
-        for f in filters:
-            less = isinstance(f, LessThan)
-            if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)) and f.attribute in (("depth",), ("below",)):
-                name = "deepest" if f.attribute == ("depth",) else "most_below"
-                known = getattr(self, name)
-                setattr(self, name, f.value - less if known is None else min(known, f.value - less))
-            elif isinstance(f, StringStartsWith) and f.attribute == ("path",):
-                self.prefixes.append(f.value)
-            yield f
+        self.most_below, self.deepest, self.prefix = below, depth, prefix
 
     def _wanted(self, path: str, depth: int, below: int) -> bool:
-        """Whether what is in the folder can pass the filters."""
+        """Whether what is in the folder can be within the bounds."""
         if self.deepest is not None and depth + 1 > self.deepest:
             return False
         anchored = below > 0 or self._is_anchor(path)
         if self.most_below is not None and anchored and below + 1 > self.most_below:
             return False
         inside = path.rstrip("/") + "/"
-        return all(inside.startswith(p) or p.startswith(inside) for p in self.prefixes)
+        return inside.startswith(self.prefix) or self.prefix.startswith(inside)
 
     def _is_anchor(self, path: str) -> bool:
         return self.anchor is not None and re.search(self.anchor, path.rpartition("/")[2]) is not None
@@ -98,7 +88,7 @@ class TreeReader(DataSourceReader):
 
 
 class TreeSource(DataSource):
-    """Options: path; anchor, a pattern of folder names; spread, the levels that the driver lists, 1 if not given."""
+    """Options: path; anchor, a pattern of folder names; spread, the levels that the driver lists, 1 if not given; the bounds below, depth and prefix."""
 
     @classmethod
     def name(cls) -> str:
@@ -108,12 +98,15 @@ class TreeSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> TreeReader:
-        return TreeReader(self.options["path"], self.options.get("anchor"), int(self.options.get("spread", 1)))
+        bounds = {k: int(self.options[k]) for k in ("below", "depth") if k in self.options}
+        return TreeReader(self.options["path"], self.options.get("anchor"), int(self.options.get("spread", 1)), prefix=self.options.get("prefix", ""), **bounds)
 
 
-def walked(spark: SparkSession, root: str, anchor: str | None = None, spread: int = 1) -> DataFrame:
-    """The folders and files under ``root``; filters on path, depth and below prune the walk."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def walked(spark: SparkSession, root: str, anchor: str | None = None, spread: int = 1, below: int | None = None, depth: int | None = None, prefix: str | None = None) -> DataFrame:
+    """The folders and files under ``root`` within the bounds that are given: at most ``below`` and ``depth``, a path that begins with ``prefix``."""
     spark.dataSource.register(TreeSource)
-    rows = spark.read.format("tree").option("spread", spread)
-    return (rows.option("anchor", anchor) if anchor else rows).load(root)
+    options = {"anchor": anchor, "spread": spread, "below": below, "depth": depth, "prefix": prefix}
+    rows = spark.read.format("tree").options(**{k: v for k, v in options.items() if v is not None}).load(root)
+    rows = rows if below is None else rows.where(F.col("below") <= below)
+    rows = rows if depth is None else rows.where(F.col("depth") <= depth)
+    return rows if prefix is None else rows.where(F.startswith("path", F.lit(prefix)))

@@ -36,34 +36,44 @@ def all_below(root):
 
 @pytest.mark.parametrize("spread", [0, 1, 2, 9])
 def test_walks_are_pruned(spark, tree, spread):
-    rows = trees.walked(spark, f"file://{tree}", "^scan_", spread)
-    got = lambda where: {(r.path, r.depth, r.below) for r in rows.where(where).collect()}
+    def got(**bounds):
+        rows = trees.walked(spark, f"file://{tree}", "^scan_", spread, **bounds)
+        return {(r.path, r.depth, r.below) for r in rows.collect()}
+
+    whole = all_below(tree)
+    assert got() == whole and trees.walked(spark, str(tree), spread=spread).where("not is_dir and length = 2").count() == 3
+    assert got(below=0) == {x for x in whole if x[2] == 0}
+    assert got(below=1, depth=4) == {x for x in whole if x[2] < 2 and x[1] <= 4}
+    assert got(prefix=f"{tree}/b/mid1") == {x for x in whole if x[0].startswith(f"{tree}/b/mid1")}
+
+
+def test_uses_of_one_walk_do_not_narrow_each_other(spark, tree):
     whole = all_below(tree)
-    assert got("true") == whole and rows.where("not is_dir and length = 2").count() == 3
-    assert got("below = 0") == {x for x in whole if x[2] == 0}
-    assert got("below < 2 and depth <= 4") == {x for x in whole if x[2] < 2 and x[1] <= 4}
-    assert got(F.startswith("path", F.lit(f"{tree}/b/mid1"))) == {x for x in whole if x[0].startswith(f"{tree}/b/mid1")}
+    rows = trees.walked(spark, str(tree), "^scan_")
+    few, more = rows.where("depth <= 1"), rows.where("below = 0")
+    shallow, above = {x for x in whole if x[1] <= 1}, {x for x in whole if x[2] == 0}
+    assert (few.count(), rows.count(), more.count()) == (len(shallow), len(whole), len(above))
+    assert more.unionByName(few).count() == few.unionByName(more).count() == len(shallow) + len(above)
+    assert rows.join(few, "path", "left_anti").count() == len(whole) - len(shallow)
 
 
 def test_pruned_folders_are_never_listed(spark, tree, monkeypatch):
     seen, plain = [], trees.listed
     monkeypatch.setattr(trees, "listed", lambda files, folder: seen.append(os.path.relpath(folder, tree)) or plain(files, folder))
 
-    def listed(*filters):
+    def listed(**bounds):
         seen.clear()
-        reader = trees.TreeReader(str(tree), "^scan_", 1)
-        assert list(reader.pushFilters(list(filters))) == list(filters)
+        reader = trees.TreeReader(str(tree), "^scan_", 1, **bounds)
         for part in reader.partitions():
             list(reader.read(part))
         return sorted(seen)
 
     assert len(listed()) == 1 + 3 + 9 + 9 + 9 + 9
-    anchored = listed(trees.EqualTo(("below",), 0))
+    anchored = listed(below=0)
     assert len(anchored) == 1 + 3 + 9 and not any("scan_" in x for x in anchored)
-    assert listed(trees.LessThanOrEqual(("depth",), 2)) == [".", "a", "b", "c"]
-    assert listed(trees.StringStartsWith(("path",), f"{tree}/b/mid1"), trees.EqualTo(("below",), 0)) == [".", "b", "b/mid1"]
-    explained = trees.walked(spark, str(tree), "^scan_").where("below = 0").count()
-    assert explained == 3 + 3 + 9 + 9
+    assert listed(depth=2) == [".", "a", "b", "c"]
+    assert listed(prefix=f"{tree}/b/mid1", below=0) == [".", "b", "b/mid1"]
+    assert trees.walked(spark, str(tree), "^scan_", below=0).count() == 3 + 3 + 9 + 9
 
 
 def element(tag, kind, value, explicit=True):
