@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import paths, text
-from ledgerline.sources import documents, headers, parsers, tables, trees
+from ledgerline.sources import databases, documents, headers, parsers, tables, trees
 from ledgerline.streaming import incremental, queues
 
 from .base import Tables, query
@@ -135,11 +133,11 @@ def glob_discovery(t: Tables) -> DataFrame:
 
 @query("select p_partkey, p_name from part where p_size > 10")
 def database_scan(t: Tables) -> DataFrame:
-    """A table of a database, here one in this process's memory, read by JDBC in four parts; the filter is the database's work."""
-    url, driver = f"jdbc:derby:memory:scan{uuid.uuid4().hex};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    t.part.select("p_partkey", "p_name", "p_size").coalesce(1).write.jdbc(url, "parts", properties=driver)
-    ends = t.part.agg(F.min("p_partkey"), F.max("p_partkey")).first()
-    return documents.allowed(tables.database_table(t.spark, url, "parts", driver, "p_partkey", tuple(ends), 4).where("p_size > 10"), ["p_partkey", "p_name"], [])
+    """A table in database files on the shared folder, read by the executors in ranges of rows; the filter is the database's work."""
+    path = tables.scratch(t.spark, "database")
+    databases.write_database(t.part.select("p_partkey", "p_name", "p_size"), path, "parts")
+    rows = databases.database_rows(t.spark, path, "parts", "p_partkey long, p_name string, p_size int", parts=4, where=[("p_size", ">", 10)])
+    return rows.select("p_partkey", "p_name")
 
 
 @query("select c_custkey, case when c_custkey % 4 = 0 then 'new' else c_mktsegment end as segment from customer where c_custkey % 4 < 3")
