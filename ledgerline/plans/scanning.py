@@ -422,3 +422,19 @@ def window_counts(t: Tables) -> DataFrame:
     """An extension: tumbling windows of event time."""
     rows = incremental.windowed(t.events, "ts", "6 hours", ["event_type"], total=F.round(F.sum("value"), 2))
     return rows.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm"))
+
+
+@query(
+    "with w as (select time_bucket(interval 6 hour, ts) as start, event_type, count(*) as n, round(sum(value), 2) as total from events group by all) "
+    "select strftime(start, '%Y-%m-%d %H:%M') as start, event_type, n, total from w where start + interval 6 hour <= (select max(ts) from events) - interval 1 day"
+)
+def window_stream(t: Tables) -> DataFrame:
+    """An extension: the windows that a stream of events has closed, stopped half way and started again from its checkpoint."""
+    base = tables.scratch(t.spark, "windows")
+    middle = t.events.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    for half in (C("ts") <= middle, C("ts") > middle):
+        t.events.select("ts", "event_type", "value").where(half).write.mode("append").parquet(f"{base}/in")
+        stream = t.spark.readStream.schema("ts timestamp_ntz, event_type string, value double").parquet(f"{base}/in")
+        incremental.closed_windows(stream, f"{base}/out", f"{base}/state", "ts", "6 hours", ["event_type"], "1 day", total=F.round(F.sum("value"), 2))
+    rows = t.spark.read.schema("start timestamp_ntz, event_type string, n long, total double").parquet(f"{base}/out")
+    return rows.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm"))

@@ -16,11 +16,30 @@ from ledgerline.functions.text import strip
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors share: under ``spark.checkpoint.dir``; in local mode the warehouse will do."""
+    """A new folder that all executors share: under ``spark.checkpoint.dir``; in local mode the warehouse will do.
+
+    It lies in a folder of this application, which is deleted when the application ends, however it does but for a killed driver,
+    or before by ``discard``.
+    """
+    folder = _application_folder(spark)
+    files, of = _files(spark, folder)
+    files.mkdirs(of(folder))
+    files.deleteOnExit(of(folder))
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+    return f"{(base or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/scratch/{spark.sparkContext.applicationId}"
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application: for long ones, between jobs. What still reads them fails afterwards."""
+    folder = _application_folder(spark)
+    files, of = _files(spark, folder)
+    files.delete(of(folder), True)
 
 
 def materialised(rows: DataFrame, name: str) -> DataFrame:

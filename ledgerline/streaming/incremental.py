@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def new_rows(incoming: DataFrame, registry: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,8 +54,37 @@ def reconciled(queue: DataFrame, present: DataFrame, key: str, status: str, open
     return rows.withColumn(status, F.when((F.col(status) == open_) & F.coalesce("_there", F.lit(False)), done).otherwise(F.col(status))).drop("_k", "_there")
 
 
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
+def _instant(time: Column) -> Column:
+    """A time without a zone as an instant of UTC, by seconds since 1970: differences of instants would go by the session's clock."""
+    seconds = (time - F.expr(EPOCH)).cast("interval second").cast("decimal(18, 6)")
+    return F.timestamp_micros((seconds * 1_000_000).cast("long"))
+
+
+def _without_zone(instant: Column) -> Column:
+    return F.expr(EPOCH) + (F.unix_micros(instant).cast("decimal(18, 0)") / 1_000_000).cast("decimal(18, 6)").cast("interval second")
+
+
 def windowed(events: DataFrame, time: str, size: str, by: list[str], late: str | None = None, **measures: Column) -> DataFrame:
-    """Counts and ``measures`` by tumbling windows of event time, for batches and, with ``late``, streams."""
-    rows = events.withWatermark(time, late) if late else events
+    """Counts and ``measures`` by tumbling windows of event time, for batches and, with ``late``, streams.
+
+    Watermarks need instants, so a time without a zone stands for that of UTC meanwhile, whatever the session's zone: windows are the same either way.
+    """
+    wall = bool(late) and events.schema[time].dataType == T.TimestampNTZType()
+    rows = events.withColumn(time, _instant(F.col(time))) if wall else events
+    rows = rows.withWatermark(time, late) if late else rows
     found = rows.groupBy(F.window(time, size).alias("w"), *by).agg(F.count("*").alias("n"), *(m.alias(k) for k, m in measures.items()))
-    return found.select(F.col("w.start").alias("start"), *by, "n", *measures)
+    return found.select((_without_zone(F.col("w.start")) if wall else F.col("w.start")).alias("start"), *by, "n", *measures)
+
+
+def closed_windows(events: DataFrame, path: str, checkpoint: str, time: str, size: str, by: list[str], late: str, **measures: Column) -> None:
+    """Append to the parquet table ``path`` those windows of a stream that are closed by now, then stop; the next call goes on.
+
+    A window is closed once an event ``late`` after its end was seen; it is then written once, whatever fails and is run again,
+    and its state is dropped, so what is kept does not grow with the stream. Events of closed windows, and those
+    without a time, are in none.
+    """
+    found = windowed(events.where(F.col(time).isNotNull()), time, size, by, late, **measures)
+    found.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
