@@ -48,12 +48,12 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
         def __init__(self, master):
             self.sparkContext = self.conf = self
-            self.master = master
+            self.master, self.applicationId = master, "app-1"
 
         def get(self, name, *otherwise):
             return otherwise[0] if otherwise else "/warehouse"
 
-    assert tables.scratch(Session("local[2]"), "x").startswith("/warehouse/scratch/x-")
+    assert tables._application_folder(Session("local[2]")) == "/warehouse/scratch/app-1"
     with pytest.raises(ValueError):
         tables.scratch(Session("spark://host:7077"), "x")
 
