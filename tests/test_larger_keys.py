@@ -31,6 +31,10 @@ def test_analyse_path_with_customers_of_six_digits_and_more(spark, tmp_path):
     agrees(spark, tmp_path, "analyse_path", orders=more("orders", 6, o_orderkey=1500, o_custkey=199_999))
 
 
+def test_walkup_non_noise_with_pages_of_six_digits_and_more(spark, tmp_path):
+    agrees(spark, tmp_path, "walkup_non_noise", pages=more("pages", 6, page_id=199_999))
+
+
 @pytest.mark.parametrize(
     "dirs, subject, series, date",
     [
