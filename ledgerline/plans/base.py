@@ -65,12 +65,10 @@ def packed_suppliers(t: Tables, of: DataFrame | None = None) -> DataFrame:
 PACKED_SQL = "packed as (select l_orderkey as order_key, string_agg('S' || l_suppkey, ';' order by l_linenumber, l_suppkey, l_partkey) as cell from lineitem group by l_orderkey)"
 
 
-def acquisitions(t: Tables, narrowed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Orders in the form of a registry: acq_id, day ('' for some), instrument, status, subjects, project_key, cell.
-
-    ``narrowed`` picks rows by all but the cell; lines of others are not shuffled."""
+def acquisition_heads(t: Tables) -> DataFrame:
+    """Orders in the form of a registry, without their lines: acq_id, day ('' for some), instrument, status, project_key, price. No shuffle."""
     blank = F.col("o_orderkey") % 11 == 0
-    orders = t.orders.select(
+    return t.orders.select(
         "o_orderkey",
         F.concat(F.lit("ACQ-"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("-"), F.regexp_replace(F.substring("o_orderpriority", 3, 3), "[^A-Z]", "X"), F.lit("-"), F.format_string("%03d", F.col("o_orderkey") % 1200)).alias("acq_id"),
         F.when(blank, "").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
@@ -79,6 +77,11 @@ def acquisitions(t: Tables, narrowed: Callable[[DataFrame], DataFrame] | None =
         F.col("o_custkey").alias("project_key"),
         F.col("o_totalprice").alias("price"),
     )
+
+
+def acquisitions(t: Tables, narrowed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``acquisition_heads`` with the cell of each. ``narrowed`` picks rows by all but the cell; lines of others are not shuffled."""
+    orders = acquisition_heads(t)
     orders = narrowed(orders) if narrowed else orders
     packed = packed_suppliers(t, orders if narrowed else None)
     return orders.join(packed, orders["o_orderkey"] == packed["order_key"], "left").drop("order_key").withColumn("cell", F.coalesce("cell", F.lit("")))

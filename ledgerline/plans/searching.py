@@ -10,7 +10,7 @@ from ledgerline.operators import postings, search, sequence
 from ledgerline.sources import tables
 from ledgerline.sources.tables import materialised
 
-from .base import ACQ_SQL, PACKED_SQL, Tables, acquisitions, packed_suppliers, query
+from .base import ACQ_SQL, PACKED_SQL, Tables, acquisition_heads, acquisitions, packed_suppliers, query, spread
 from .scalars import cases, cases_sql
 
 C, L = F.col, F.lit
@@ -60,7 +60,7 @@ def search_freetext(t: Tables) -> DataFrame:
 def search_postings(t: Tables) -> DataFrame:
     """The search again, over a registry and a table of trigrams that both grew by appends."""
     base = tables.scratch(t.spark, "postings")
-    rows = acquisitions(t).select("o_orderkey", "acq_id", search.search_blob("acq_id", "day", "instrument").alias("blob"))
+    rows = spread(acquisition_heads(t).select("o_orderkey", "acq_id", search.search_blob("acq_id", "day", "instrument").alias("blob")))
     for part in (C("o_orderkey") % 3 > 0, C("o_orderkey") % 3 == 0):
         rows.where(part).sort("o_orderkey").write.mode("append").parquet(f"{base}/registry")
         postings.add(rows.where(part), "o_orderkey", "blob", f"{base}/grams")

@@ -86,3 +86,16 @@ def test_a_search_reads_few_buckets(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket", "bucket") or "bucket#" in plan.split("PartitionFilters")[1][:200]
     assert "In(gram" in plan
+
+
+def test_postings_are_packed_by_block_and_no_lines_are_read(spark, tmp_path, monkeypatch):
+    from ledgerline.plans.base import QUERIES, Tables
+
+    df = spark.createDataFrame([(1, "abcabc"), (2, "xabc"), (3, "äbc\U0001f600d"), (None, "abc"), (4, None), (1, "abc")], "k long, blob string").coalesce(1)
+    for block in (1 << 20, 1):  # one block, or one a batch
+        monkeypatch.setattr(postings, "BLOCK", block)
+        found = {r.gram: sorted(r["keys"]) for r in postings.postings(df, "k", "blob").collect()}
+        assert found == {"abc": [1, 1, 2], "bca": [1], "cab": [1], "xab": [2], "äbc": [3], "bc\U0001f600": [3], "c\U0001f600d": [3]}
+    read, plain = [], Tables.__getattr__
+    monkeypatch.setattr(Tables, "__getattr__", lambda self, name: read.append(name) or plain(self, name))
+    assert QUERIES["search_postings"](spark, "/root/testdata/sf0.001").count() > 0 and set(read) == {"orders"}
