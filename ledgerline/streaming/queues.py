@@ -26,36 +26,37 @@ class Advancing(StatefulProcessor):
         self.handle = handle
         self.status = handle.getValueState("status", "status string, step long, until long")
 
-    def _held(self) -> tuple[str, int, int]:
-        return tuple(self.status.get()) if self.status.exists() else (self.start, 0, 0)
-
-    def _keep(self, status: str, step: int, until: int, at_ms: int) -> int:
-        """The state after a change, and the timer that goes with it."""
-        if until:
-            self.handle.deleteTimer(until)
-        until = at_ms + self.deadline_ms if self.deadline_ms and status == self.waiting else 0
-        if until:
-            self.handle.registerTimer(until)
-        self.status.update((status, step, until))
-        return until
+    def _held(self) -> tuple[str, int, int] | None:
+        return self.status.get()
+
+    def _keep(self, status: str, step: int, until: int, due: int) -> None:
+        """The state after the changes of a batch, and the timer that goes with it: each costs a call to the JVM, so there is one a batch."""
+        if until != due:
+            if until:
+                self.handle.deleteTimer(until)
+            if due:
+                self.handle.registerTimer(due)
+        self.status.update((status, step, due))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values(["at", "event"])
-        status, step, until = self._held()
-        if not self.status.exists() and self.deadline_ms and status == self.waiting:
-            until = self._keep(status, step, 0, int(events["at"].iloc[0].timestamp() * 1000))
-        changes = []
-        for event, at in zip(events["event"], events["at"]):
+        parts = [(part["at"], part["event"]) for part in rows]
+        events = sorted((at, event) for times, names in parts for at, event in zip(times, names))
+        held = self._held()
+        status, step, until = held or (self.start, 0, 0)
+        timed = lambda status, at: int(at.timestamp() * 1000) + self.deadline_ms if self.deadline_ms and status == self.waiting else 0
+        due, changes = until if held else timed(status, events[0][0]), []
+        for at, event in events:
             after = self.table.get((status, event))
             if after is not None:
-                status, step = after, step + 1
-                until = self._keep(status, step, until, int(at.timestamp() * 1000))
+                status, step, due = after, step + 1, timed(after, at)
                 changes.append((key[0], step, status, event, at))
+        if changes or due != until:
+            self._keep(status, step, until, due)
         if changes:
             yield pd.DataFrame(changes, columns=["key", "step", "status", "event", "at"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        status, step, until = self._held()
+        status, step, until = self._held() or (self.start, 0, 0)
         at = expiredTimerInfo.getExpiryTimeInMs()
         if status == self.waiting and until == at:
             self.status.update((self.expired, step + 1, 0))

@@ -80,3 +80,44 @@ def test_export_has_a_folder_for_each_project_and_one_to_move_for_each_task(spar
     assert len(folders) == len({r.project for r in rows}) == len(rows) > 1
     tasks = {folder.name: {Path(f).name.split("-")[1] for f in folder.glob("*/part-*")} for folder in (tmp_path / "export").glob("part=*")}
     assert len(tasks) > 1 and all(len(of) == 1 for of in tasks.values())
+
+
+def test_a_batch_of_events_costs_a_read_and_a_write_of_the_state(monkeypatch):
+    import pandas as pd
+
+    from ledgerline.streaming.queues import Advancing
+
+    calls, kept = [], {}
+
+    class State:
+        def exists(self):
+            calls.append("exists")
+            return "s" in kept
+
+        def get(self):
+            calls.append("get")
+            return kept.get("s")
+
+        def update(self, value):
+            calls.append("update")
+            kept["s"] = value
+
+    class Handle:
+        def registerTimer(self, at):
+            calls.append("timer")
+            kept["t"] = at
+
+        def deleteTimer(self, at):
+            assert kept.pop("t") == at
+
+    item = Advancing([("a", "x", "b"), ("b", "y", "a")], "a", "b", "late", 1000)
+    item.handle, item.status = Handle(), State()
+    times = pd.date_range("2024-01-01", periods=9, freq="s")
+    events = pd.DataFrame({"at": times, "event": ["x", "y"] * 4 + ["x"]}).sample(frac=1, random_state=1)
+    (found,) = item.handleInputRows(("k",), iter([events[:4], events[4:]]), None)
+    due = int(times[-1].timestamp() * 1000) + 1000
+    assert found["step"].tolist() == list(range(1, 10)) and found["status"].tolist() == ["b", "a"] * 4 + ["b"]
+    assert kept == {"s": ("b", 9, due), "t": due} and calls == ["get", "timer", "update"]
+    assert list(item.handleInputRows(("k",), iter([events[events["event"] == "x"]]), None)) == [] and calls[3:] == ["get"]
+    list(item.handleInputRows(("k",), iter([pd.DataFrame({"at": [times[-1]], "event": ["y"]})]), None))
+    assert kept == {"s": ("a", 10, 0)}
