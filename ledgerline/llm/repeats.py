@@ -5,7 +5,8 @@ each window the ANCHOR words that hash least are its anchor, and windows of one
 a path without branches that is counted and compared as one. A window can repeat only where its anchor does, so segments whose
 anchor is alone in the corpus are done with. Of the others, an anchor that has one segment only repeats with all its windows;
 segments that differ about one anchor are told apart window by window, each distinct segment once, whatever its number of
-copies. Repeated segments that follow each other wherever either occurs are joined, round by round, to paths.
+copies. Repeated segments that follow each other wherever either occurs are joined to paths. Their first copies follow each other
+too, in one text, so a path is a run of representatives of one text, and no rounds over the graph are needed.
 
 Names are hashes, so source coordinates verify them: a digest of 128 bits over the words of a segment's representative is held
 against the words at each place where the segment is said to be, before anything there counts as repeated.
@@ -19,11 +20,10 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .components import connected_components
 
 WINDOW = 35
 ANCHOR = 8
@@ -154,25 +154,29 @@ def repeated_segments(docs: DataFrame, found: DataFrame, window: int = WINDOW) -
     least = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
     distinct = found.groupBy("anchor", "name").agg(F.count("*").alias("copies"), least, F.first("n").alias("n"), F.first("mixed").alias("mixed"), F.min("follows").alias("follows"), F.max("follows").alias("last"))
     distinct = common.materialised(distinct)
-    known = common.materialised(representatives(docs, distinct, window).dropDuplicates(["anchor", "name"]))
-    known = distinct.drop("first").join(known, ["anchor", "name"])
+    known = common.materialised(distinct.join(representatives(docs, distinct, window).dropDuplicates(["anchor", "name"]), ["anchor", "name"]))
+    # A window is never twice in one segment, as its anchor would then be at two places of it: it occurs as often as the segments that have it.
     each = known.where("mixed").select("anchor", "name", "copies", F.posexplode("windows").alias("k", "hash"))
-    # A window is never twice in one segment, as its anchor would then be at two places of it.
-    twice = each.groupBy("hash").agg(((F.max("copies") > 1) | (F.min("name") != F.max("name"))).alias("twice")).where("twice").drop("twice")
-    masks = each.join(twice, "hash").groupBy("anchor", "name").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("k"))).alias("bits"))
-    whole = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("n")) - 1
-    mask = F.when(F.col("mixed"), F.col("bits")).otherwise(whole)
-    masked = common.materialised(known.drop("windows").join(masks, ["anchor", "name"], "left").withColumn("mask", mask).where("mask is not null").drop("bits", "mixed"))
-    return masked.join(_paths(masked), "name").select("anchor", "name", "copies", "high", "low", "mask", "path")
-
-
-def _paths(masked: DataFrame) -> DataFrame:
-    """Per name: path. A segment and the next are of one path if each of its copies is followed by that, which occurs as often, and both repeat where they touch."""
-    ends = masked.where((F.col("follows") == F.col("last")) & (F.col("follows") != 0) & (F.call_function("shiftright", F.col("mask"), F.col("n") - 1) == 1))
-    starts = masked.where("mask & 1 = 1").select(F.col("name").alias("to"), F.col("copies").alias("to_copies"))
-    links = ends.join(starts, F.col("follows") == F.col("to")).where("copies = to_copies and name <> to")
-    roots = connected_components(links.select("name", "to"), "name", "to").toDF("name", "path")
-    return masked.select("name").distinct().join(roots, "name", "left").select("name", F.coalesce("path", "name").alias("path"))
+    twice = each.groupBy("hash").agg(F.sum("copies").alias("times")).where("times > 1").drop("times")
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("k"))).alias("mask")
+    masks = each.where("copies = 1").drop("copies").join(twice, "hash").groupBy("anchor", "name").agg(bits)
+    known = known.drop("windows", "mixed")
+    whole = known.where("copies > 1").withColumn("mask", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("n")) - 1)
+    masked = whole.unionByName(known.where("copies = 1").join(masks, ["anchor", "name"]))
+    return _with_paths(masked).select("anchor", "name", "copies", "high", "low", "mask", "path")
+
+
+def _with_paths(masked: DataFrame) -> DataFrame:
+    """``masked`` with path, the least name on it. A segment and the next are of one path if each of its copies is followed by that, which occurs as often,
+    and both repeat where they touch. The next one's copies are then those behind its own, so their first ones are neighbours, too."""
+    rows = masked.select("*", "first.*").drop("first")  # columns of their own: all windows are then over one shuffle
+    text = Window.partitionBy("doc_id", "text_hash")
+    before = F.lag(F.struct("name", "n", "copies", "mask", "follows", "last", "place")).over(text.orderBy("place"))
+    ends = (F.col("_b.follows") == F.col("_b.last")) & (F.call_function("shiftright", F.col("_b.mask"), F.col("_b.n") - 1) == 1)
+    meets = (F.col("_b.follows") == F.col("name")) & (F.col("_b.place") + F.col("_b.n") == F.col("place"))
+    linked = ends & meets & (F.col("mask").bitwiseAND(1) == 1) & (F.col("_b.copies") == F.col("copies")) & (F.col("_b.name") != F.col("name"))
+    runs = rows.withColumn("_b", before).withColumn("_run", F.sum(F.when(linked, 0).otherwise(1)).over(text.orderBy("place")))
+    return runs.withColumn("path", F.min("name").over(Window.partitionBy("doc_id", "text_hash", "_run"))).drop("_b", "_run")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:

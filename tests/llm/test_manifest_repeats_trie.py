@@ -4,12 +4,13 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import merkle, ordered, repeats, trie
+from ledgerline.llm import common, merkle, ordered, repeats, trie
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -156,6 +157,47 @@ def test_repeated_copies_are_one_path(spark):
     assert len(paths[0] & paths[1] & paths[2]) == 1 and all(len(found[k].spans) <= 8 for k in range(3))  # the middle is compacted to one path
 
 
+def test_long_paths_need_no_more_steps_than_short_ones(spark):
+    common.ensure_checkpoints(spark)
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+
+    def steps(words):
+        shared = " ".join(f"w{k}" for k in range(words))
+        before = set(folder.glob("rdd-*"))
+        spans = without(spark, [f"a b {shared} c", f"d {shared} e f", "none"])[0].spans
+        assert {s.path for s in spans if 100 < s.start < words - 100} <= {spans[len(spans) // 2].path}
+        return len(set(folder.glob("rdd-*")) - before)
+
+    assert steps(4000) == steps(120)
+
+
+def test_paths_are_the_components_of_their_links(spark):
+    draw = random.Random(3)
+    pool = [" ".join(f"p{p}w{k}" for k in range(draw.randint(20, 300))) for p in range(8)]
+    rows = [(draw.choice([None, k]), " ".join(draw.choice(pool) if draw.random() < 0.6 else f"own{k}x{j}" for j in range(12))) for k in range(40)]
+    docs = spark.createDataFrame(rows + rows[:5], "doc_id int, text string").withColumn("text_hash", F.xxhash64("text"))
+    kept = {}
+    with pytest.MonkeyPatch.context() as patch:
+        plain = repeats._with_paths
+        patch.setattr(repeats, "_with_paths", lambda masked: plain(kept.setdefault("masked", common.materialised(masked))))
+        found = {r.name: r.path for r in repeats.repeated_segments(docs, repeats.candidates(docs)).collect()}
+    segments = {r.name: r for r in kept["masked"].collect()}
+    root = {name: name for name in segments}
+
+    def top(name):
+        while root[name] != name:
+            name = root[name]
+        return name
+
+    for name, s in segments.items():
+        to = segments.get(s.follows)
+        if to and s.follows == s["last"] and s.follows != name and s.mask >> (s.n - 1) == 1 and to.mask & 1 and s.copies == to.copies:
+            a, b = sorted((top(name), top(s.follows)))
+            root[b] = a
+    assert len(set(found.values())) < len(found) == len(segments)
+    assert found == {name: top(name) for name in segments}
+
+
 def test_repeats_edges(spark):
     assert repeats.without_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     text = " ".join(map(str, range(40)))
