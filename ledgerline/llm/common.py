@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -64,6 +65,12 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Ask the driver to collect its garbage: Spark removes shuffles and checkpoints that nothing refers to only once it has, so those of a finished step may stay on disk to the end."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """The path of a new folder below the shared checkpoint folder, not made yet."""
     ensure_checkpoints(spark)

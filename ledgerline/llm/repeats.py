@@ -154,7 +154,10 @@ def repeated_segments(docs: DataFrame, found: DataFrame, window: int = WINDOW) -
     least = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
     distinct = found.groupBy("anchor", "name").agg(F.count("*").alias("copies"), least, F.first("n").alias("n"), F.first("mixed").alias("mixed"), F.min("follows").alias("follows"), F.max("follows").alias("last"))
     distinct = common.materialised(distinct)
+    common.release(docs.sparkSession)
     known = common.materialised(distinct.join(representatives(docs, distinct, window).dropDuplicates(["anchor", "name"]), ["anchor", "name"]))
+    del distinct
+    common.release(docs.sparkSession)
     # A window is never twice in one segment, as its anchor would then be at two places of it: it occurs as often as the segments that have it.
     each = known.where("mixed").select("anchor", "name", "copies", F.posexplode("windows").alias("k", "hash"))
     twice = each.groupBy("hash").agg(F.sum("copies").alias("times")).where("times > 1").drop("times")
@@ -189,10 +192,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     view = common.docs_view(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     found = candidates(view, window, anchor)
+    common.release(docs.sparkSession)
     known = common.materialised(repeated_segments(view, found, window))
+    common.release(docs.sparkSession)
     marks = found.select("doc_id", "text_hash", "place", "n", "anchor", "name").join(known, ["anchor", "name"])
     marks = marks.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("place", "n", "mask", "path", "high", "low")).alias("marks"))
     marks = common.materialised(marks)
+    del found, known
+    common.release(docs.sparkSession)
     names = ["doc_id", "n_words", "n_removed", "kept", "spans"]
 
     def batches(parts):
